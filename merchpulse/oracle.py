@@ -318,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["all_quotas"] = _q("SELECT * FROM quotas")
     q["all_quotas_single_pass"] = q["all_quotas"]
+    q["all_quotas_hybrid"] = q["all_quotas"]
     q["quota_scores"] = _q("SELECT * FROM scores", _scores_cte())
     q["final_scores"] = _q("SELECT * FROM final", _scores_cte() + ",\n" + _final_cte())
     q["final_score_one"] = _q(

@@ -13,7 +13,7 @@ from merchpulse.plans import general, single_pass
 from merchpulse.plans.periods import periods
 from merchpulse.schema import KEY, WEIGHTS, WINDOW_MONTHS
 
-STRATEGIES = ("general", "single_pass")
+STRATEGIES = ("hybrid", "general", "single_pass")
 
 
 @dataclass
@@ -23,25 +23,57 @@ class ScoreRun:
     final: DataFrame
 
 
-def compute_quotas(metrics: DataFrame, as_of, strategy: str = "general", n: int = WINDOW_MONTHS,
-                   on_bad: str = "fail") -> DataFrame:
-    """Q12 by the chosen plan."""
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once for several consumers.
+
+    ``checkpoint`` writes it to the cluster's checkpoint folder (survives
+    executor loss, cuts lineage); ``persist`` caches it on the executors
+    (lost blocks are recomputed from lineage); ``none`` leaves it lazy.
+    """
+    if how == "checkpoint":
+        return cut_lineage(df)
+    if how == "persist":
+        return df.persist()
+    if how == "none":
+        return df
+    raise ValueError("how must be 'checkpoint', 'persist' or 'none'")
+
+
+def compute_quotas(metrics: DataFrame, as_of, strategy: str = "hybrid", n: int = WINDOW_MONTHS,
+                   on_bad: str = "fail", materialize_base: str = "checkpoint") -> DataFrame:
+    """Q12 by the chosen plan.
+
+    * ``hybrid`` (default): merchant fold + growth operator; exact for any
+      input, about four shuffles.
+    * ``general``: one sub-plan per quota merged by the cogroup operator
+      (the published job's shape); exact, many small shuffles.
+    * ``single_pass``: one fold, two shuffles; raises if a merchant has two
+      sales values for one month.
+
+    Plans that read the de-duplicated base more than once get it
+    materialised (``materialize_base``): otherwise Catalyst pushes each
+    consumer's code filter into the source and every consumer re-reads it.
+    """
     p = periods(as_of, n)
     base = base_values(metrics, p, on_bad=on_bad)
+    if strategy == "hybrid":
+        return single_pass.all_quotas_hybrid(materialize(base, materialize_base), p)
     if strategy == "general":
-        return general.all_quotas(base, p)
+        return general.all_quotas(materialize(base, materialize_base), p)
     if strategy == "single_pass":
         return single_pass.all_quotas(base, p)
     raise ValueError(f"strategy must be one of {STRATEGIES}")
 
 
 def score_all(metrics: DataFrame, as_of, bands="as_published", weights: dict = WEIGHTS,
-              strategy: str = "general", n: int = WINDOW_MONTHS, on_bad: str = "fail") -> ScoreRun:
+              strategy: str = "hybrid", n: int = WINDOW_MONTHS, on_bad: str = "fail",
+              materialize_base: str = "checkpoint") -> ScoreRun:
     """Quotas, scores and final score for every merchant.
 
-    Lazy: nothing runs until an output is written or collected.
+    With the general plan the de-duplicated base is materialised when this
+    is called; everything after it is lazy.
     """
-    quotas = compute_quotas(metrics, as_of, strategy, n, on_bad)
+    quotas = compute_quotas(metrics, as_of, strategy, n, on_bad, materialize_base)
     scores = score_quotas(quotas, bands)
     return ScoreRun(quotas, scores, final_scores(scores, weights))
 
@@ -55,17 +87,13 @@ def score_one(metrics: DataFrame, uuid: str, as_of, **kw) -> ScoreRun:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's checkpoint folder.
 
-    The folder comes from the session (``spark.checkpoint.dir``); the job
-    never invents a machine-local one.  Unlike a local checkpoint this
-    survives the loss of an executor.
+    The folder comes from the session (``spark.checkpoint.dir``); only a
+    local session without one gets a scratch folder.  Unlike a local
+    checkpoint this survives the loss of an executor.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running the job")
-        sc.setCheckpointDir(folder)
+    from merchpulse.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -21,7 +21,7 @@ from merchpulse.operators.merge import cogroup_frames, first_or_default, merge_q
 from merchpulse.operators.scoring import final_scores, score_quotas
 from merchpulse.operators.slices import base_values, metric_slice
 from merchpulse.plans import general, single_pass
-from merchpulse.plans.job import score_all, score_one
+from merchpulse.plans.job import materialize, score_all, score_one
 from merchpulse.plans.periods import periods
 from merchpulse.schema import (
     CODE,
@@ -55,6 +55,11 @@ def _base(spark, sf_dir):
     return base_values(_metrics(spark, sf_dir), P)
 
 
+def _shared_base(spark, sf_dir):
+    """The base for queries with several quota sub-plans: computed once."""
+    return materialize(_base(spark, sf_dir))
+
+
 def _rounded(df: DataFrame, name: str) -> DataFrame:
     """A single quota as it appears in the quota table (2 places)."""
     return df.select(KEY, retain_decimal(F.col(name), 2).alias(name))
@@ -85,7 +90,7 @@ def q_avg_deal_cnt(spark, sf_dir):
 
 
 def q_refund_rate(spark, sf_dir):
-    return _rounded(quotas.refund_rate(_base(spark, sf_dir), P), "refund_rate")
+    return _rounded(quotas.refund_rate(_shared_base(spark, sf_dir), P), "refund_rate")
 
 
 def q_sale_amount_cv(spark, sf_dir):
@@ -97,15 +102,15 @@ def q_cust_price_cv(spark, sf_dir):
 
 
 def q_top3_goods_share(spark, sf_dir):
-    return _rounded(quotas.top3_goods_share(_base(spark, sf_dir), P), "top3_goods_share")
+    return _rounded(quotas.top3_goods_share(_shared_base(spark, sf_dir), P), "top3_goods_share")
 
 
 def q_top10_cust_share(spark, sf_dir):
-    return _rounded(quotas.top10_cust_share(_base(spark, sf_dir), P), "top10_cust_share")
+    return _rounded(quotas.top10_cust_share(_shared_base(spark, sf_dir), P), "top10_cust_share")
 
 
 def q_yoy_growth_rate(spark, sf_dir):
-    return _rounded(quotas.yoy_growth_rate(_base(spark, sf_dir), P), "yoy_growth_rate")
+    return _rounded(quotas.yoy_growth_rate(_shared_base(spark, sf_dir), P), "yoy_growth_rate")
 
 
 def q_growth_pairs(spark, sf_dir):
@@ -122,13 +127,17 @@ def q_increase_month_num(spark, sf_dir):
 
 
 def q_all_quotas(spark, sf_dir):
-    return general.all_quotas(_base(spark, sf_dir), P)
+    return general.all_quotas(_shared_base(spark, sf_dir), P)
 
 
 def q_all_quotas_single_pass(spark, sf_dir):
     return single_pass.all_quotas(_base(spark, sf_dir), P)
 
 
+def q_all_quotas_hybrid(spark, sf_dir):
+    return single_pass.all_quotas_hybrid(_shared_base(spark, sf_dir), P)
+
+
 def q_quota_scores(spark, sf_dir):
     return score_all(_metrics(spark, sf_dir), AS_OF).scores
 
@@ -146,14 +155,14 @@ COGROUP6_NAMES = ("sale", "deals", "price", "refund", "top3", "top10")
 
 def q_cogroup6(spark, sf_dir):
     """The six code slices of the window merged on the merchant."""
-    base = _base(spark, sf_dir)
+    base = _shared_base(spark, sf_dir)
     frames = [quotas.code_slice(base, c, P) for c in METRIC_CODES]
     return cogroup_frames(frames, KEY, "value", names=COGROUP6_NAMES, counts=True)
 
 
 def q_cogroup10(spark, sf_dir):
     """The ten quota results merged on the merchant, with element counts."""
-    frames = general.quota_frames(_base(spark, sf_dir), P)
+    frames = general.quota_frames(_shared_base(spark, sf_dir), P)
     merged = cogroup_frames([frames[q] for q in QUOTAS], KEY, list(QUOTAS), names=list(QUOTAS), counts=True)
     return merged.select(KEY, *[f"{q}_count" for q in QUOTAS])
 
@@ -276,7 +285,7 @@ def q_retain_decimal(spark, sf_dir):
 def q_first_or_default(spark, sf_dir):
     """Per merchant with sales, the deal count of its earliest window
     month with deals, or -1."""
-    base = _base(spark, sf_dir)
+    base = _shared_base(spark, sf_dir)
     sales = quotas.code_slice(base, SALE_AMOUNT, P).select(KEY).distinct()
     deals = quotas.code_slice(base, DEAL_CUST_CNT, P)
     first = deals.groupBy(KEY).agg(first_or_default(F.col("value").cast("bigint"), order=F.col(MONTH)).alias("d"))
@@ -302,6 +311,7 @@ QUERIES = {
     "increase_month_num": q_increase_month_num,
     "all_quotas": q_all_quotas,
     "all_quotas_single_pass": q_all_quotas_single_pass,
+    "all_quotas_hybrid": q_all_quotas_hybrid,
     "quota_scores": q_quota_scores,
     "final_scores": q_final_scores,
     "final_score_one": q_final_score_one,

@@ -37,9 +37,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running the job")
         folder = tempfile.mkdtemp(prefix="merchpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     sc.setCheckpointDir(folder)
     return folder

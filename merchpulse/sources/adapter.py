@@ -14,11 +14,13 @@ Per (merchant, month), with ``x = price * (1 - discount)`` per line:
 * ``M_TOP3_GOODS_REVENUE`` sum of the 3 largest part totals / 10
 * ``M_TOP10_CUST_REVENUE`` sum of the 10 largest customer totals / 10
 
-Plan: lineitem and orders are joined on the order key (both shuffled on
-it); order-level sums then need no further shuffle, customer- and
-part-level sums one each, and the top-N lists use ``row_number`` with a
-limit, which Spark turns into a per-partition group limit before the
-shuffle, so a hot (supplier, month) ships at most N rows per map task.
+Plan: lineitem joins orders on the order key for the customer id
+(broadcast only when the planner's size estimate of orders is under the
+threshold, else a shuffle join); part totals need no join.  Order-,
+customer- and part-level sums are partial-aggregated before each shuffle,
+and the top-N lists use ``row_number`` with a limit, which Spark turns into
+a per-partition group limit before the shuffle, so a hot (supplier, month)
+ships at most N rows per map task.
 """
 
 from __future__ import annotations
@@ -56,36 +58,51 @@ def _text(e: Column) -> Column:
 
 
 def _top_sum(df: DataFrame, item: str, amount: str, n: int, name: str) -> DataFrame:
-    w = Window.partitionBy(KEY, MONTH).orderBy(F.col(amount).desc(), F.col(item))
+    w = Window.partitionBy("sk", "ym").orderBy(F.col(amount).desc(), F.col(item))
     return (
         df.withColumn("rn", F.row_number().over(w))
         .where(F.col("rn") <= n)
-        .groupBy(KEY, MONTH)
+        .groupBy("sk", "ym")
         .agg(F.sum(amount).alias(name))
     )
 
 
+def _line_units(price: Column, discount: Column) -> Column:
+    """``price * (1 - discount)`` in exact units of 1/10000, as a bigint:
+    price in cents times the remaining discount percent.  Sums of these
+    stay in fast 64-bit arithmetic; they become decimals only per month."""
+    cents = (price.cast("decimal(18,2)") * F.lit(100)).cast("bigint")
+    pct = (discount.cast("decimal(4,2)") * F.lit(100)).cast("bigint")
+    return cents * (F.lit(100) - pct)
+
+
+def _from_units(c: str) -> Column:
+    return (F.col(c).cast("decimal(20,0)") / F.lit(10000)).cast("decimal(18,4)")
+
+
 def monthly_metrics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Wide form: one row per (merchant, month) with the six values as text."""
+    """Wide form: one row per (merchant, month) with the six values as text.
+
+    Line-level work keeps numeric keys (supplier, ``yyyyMM`` as an int) and
+    integer amounts; keys and values become text on the month-level rows.
+    """
     lines = lineitem.select(
-        F.col("l_suppkey").cast("string").alias(KEY),
-        F.date_format("l_shipdate", "yyyyMM").alias(MONTH),
+        F.col("l_suppkey").alias("sk"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("ym"),
         F.col("l_orderkey").alias("ok"),
         F.col("l_partkey").alias("pk"),
         (F.col("l_returnflag") == "R").alias("is_r"),
-        (F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias(
-            "x"
-        ),
+        _line_units(F.col("l_extendedprice"), F.col("l_discount")).alias("x"),
     )
     joined = lines.join(orders.select(F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck")), "ok")
-    by_order = joined.groupBy(KEY, MONTH, "ck", "ok").agg(
+    by_order = joined.groupBy("sk", "ym", "ck", "ok").agg(
         F.sum("x").alias("ox"), F.sum(F.when(F.col("is_r"), F.col("x")).otherwise(F.lit(0))).alias("orx")
     )
-    by_cust = by_order.groupBy(KEY, MONTH, "ck").agg(
+    by_cust = by_order.groupBy("sk", "ym", "ck").agg(
         F.sum("ox").alias("cx"), F.sum("orx").alias("crx"), F.count(F.lit(1)).alias("n_orders")
     )
-    by_part = joined.groupBy(KEY, MONTH, "pk").agg(F.sum("x").alias("px"))
-    month = by_cust.groupBy(KEY, MONTH).agg(
+    by_part = lines.groupBy("sk", "ym", "pk").agg(F.sum("x").alias("px"))
+    month = by_cust.groupBy("sk", "ym").agg(
         F.sum("cx").alias("sx"),
         F.sum("crx").alias("rx"),
         F.sum("n_orders").alias("deals"),
@@ -93,7 +110,20 @@ def monthly_metrics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
     top3 = _top_sum(by_part, "pk", "px", 3, "t3")
     top10 = _top_sum(by_cust, "ck", "cx", 10, "t10")
-    m = month.join(top3, [KEY, MONTH], "left").join(top10, [KEY, MONTH], "left")
+    m = (
+        month.join(top3, ["sk", "ym"], "left")
+        .join(top10, ["sk", "ym"], "left")
+        .select(
+            F.col("sk").cast("string").alias(KEY),
+            F.col("ym").cast("string").alias(MONTH),
+            _from_units("sx").alias("sx"),
+            _from_units("rx").alias("rx"),
+            "deals",
+            "n_cust",
+            _from_units("t3").alias("t3"),
+            _from_units("t10").alias("t10"),
+        )
+    )
     units = _units(F.col("sx"))
     cents = F.expr(f"{_units_sql('sx')} div (1000 * n_cust)")
     hundredths = F.expr(f"{_units_sql('rx')} * 10000 div {_units_sql('sx')}")

@@ -56,3 +56,9 @@ def test_one_merchant(spark):
     run = score_one(metrics_frame(spark), "A", AS_OF)
     assert _by_key(run.quotas, QUOTAS) == {"A": EXPECTED_QUOTAS["A"]}
     assert [r.final_score for r in run.final.collect()] == [73]
+
+
+def test_three_strategies_agree(spark):
+    for strategy in ("hybrid", "general"):
+        run = score_all(metrics_frame(spark), AS_OF, strategy=strategy)
+        assert _by_key(run.quotas, QUOTAS) == EXPECTED_QUOTAS, strategy
