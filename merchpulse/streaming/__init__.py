@@ -1,0 +1 @@
+"""Structured Streaming: on-request ("online") scoring of merchants."""
