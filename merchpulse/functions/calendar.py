@@ -54,16 +54,22 @@ def months_ago_with_max_day(ts, m: int = 0, fmt: str = "yyyy-MM-dd") -> Column:
 
 def week_bounds(ts, m: int = 0, fmt: str = "yyyy-MM-dd") -> tuple[Column, Column]:
     """Monday and Sunday of the ISO week ``m`` weeks before (a Sunday
-    belongs to the week that started the Monday before)."""
-    monday = F.date_sub(F.to_date(F.date_trunc("week", _c(ts))), 7 * int(m))
+    belongs to the week that started the Monday before).  Computed on the
+    calendar date, so wall-clock timestamps give the same week in any
+    session time zone."""
+    d = F.to_date(_c(ts))
+    # dayofweek: Sunday = 1 ... Saturday = 7; days since Monday = (dow + 5) mod 7
+    monday = F.date_sub(F.date_sub(d, F.pmod(F.dayofweek(d) + F.lit(5), F.lit(7))), 7 * int(m))
     return F.date_format(monday, fmt), F.date_format(F.date_add(monday, 6), fmt)
 
 
 def quarter_start(ts, fmt: str = "yyyy-MM-dd") -> Column:
-    """First day of the quarter, keeping the time of day."""
-    t = _c(ts).cast("timestamp")
-    time_of_day = F.unix_micros(t) - F.unix_micros(F.date_trunc("day", t))
-    start = F.timestamp_micros(F.unix_micros(F.date_trunc("quarter", t)) + time_of_day)
+    """First day of the quarter, keeping the time of day (built from the
+    timestamp's own fields, so it does not depend on the session zone)."""
+    t = _c(ts)
+    seconds = F.date_format(t, "ss.SSSSSS").cast("decimal(8,6)")
+    first_month = (F.quarter(t) - F.lit(1)) * F.lit(3) + F.lit(1)
+    start = F.make_timestamp_ntz(F.year(t), first_month, F.lit(1), F.hour(t), F.minute(t), seconds)
     return F.date_format(start, fmt)
 
 

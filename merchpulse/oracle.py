@@ -298,6 +298,7 @@ def oracle_sql() -> dict[str, str]:
         f"FROM metric_long WHERE metric_dim_code = 'M_REFUND_RATE' AND target_time >= '{P.start}' "
         f"AND target_time <= '{P.end}'"
     )
+    q["base_values"] = _q("SELECT k AS property_uuid, m AS target_time, c AS metric_dim_code, v AS value FROM base")
     single = {
         "avg_sale_amount": "q1",
         "refund_rate": "q3",

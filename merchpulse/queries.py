@@ -81,6 +81,12 @@ def q_percent_slice(spark, sf_dir):
     return metric_slice(_metrics(spark, sf_dir), REFUND_RATE, P.start, P.end)
 
 
+def q_base_values(spark, sf_dir):
+    """P1-P4 over all six codes: window + year-earlier sales, parsed per
+    code, distinct after parsing."""
+    return _base(spark, sf_dir).select(KEY, MONTH, CODE, "value")
+
+
 def q_avg_sale_amount(spark, sf_dir):
     return _rounded(quotas.avg_sale_amount(_base(spark, sf_dir), P), "avg_sale_amount")
 
@@ -298,6 +304,7 @@ QUERIES = {
     "merchant_scan": q_merchant_scan,
     "metric_slice": q_metric_slice,
     "percent_slice": q_percent_slice,
+    "base_values": q_base_values,
     "avg_sale_amount": q_avg_sale_amount,
     "avg_deal_cnt": q_avg_deal_cnt,
     "refund_rate": q_refund_rate,
