@@ -4,34 +4,37 @@ A growth pair is a sales value ``a`` of month ``m`` and a value ``b`` of
 month ``m-1``, both in the window; its ratio is ``a / b``.  Normally each
 month holds one value, but conflicting values are kept (P4), and then
 every value of ``m`` pairs with every value of ``m-1``.  Rather than
-emitting those pairs, each ``(merchant, m)`` group is solved with a window
-over the values of both months sorted on one axis:
-
-* the pair count is ``count(a) * count(b != 0)``;
-* the ratio sum is ``sum over b of (sum a) / b``;
-* the number of ratios ``>= 1.1`` for a divisor ``b`` is a running count:
-  for ``b > 0`` the qualifying ``a`` are those at or above about ``1.1 b``,
-  for ``b < 0`` those at or below.  Only values within a relative 2^-50 of
-  ``1.1 b`` are close enough for the rounding of ``a / b`` to matter; they
-  are few (at most about 17 distinct doubles, and at most about 33 other
-  divisors share that neighbourhood), so they are tested exactly as
-  ``a / b >= 1.1`` from a bounded frame of neighbouring rows.
+emitting those pairs, each ``(merchant, m)`` is solved as counting:
+
+* pair count = ``count(a) * count(b != 0)``; ratio sum = ``sum over b of
+  (sum a) / b`` -- plain aggregates;
+* ratios ``>= 1.1`` for a divisor ``b``: ``a / b`` is monotone in ``a``, so
+  the qualifying ``a`` are those at or above (``b > 0``) or at or below
+  (``b < 0``) one threshold.  The threshold is found exactly by testing
+  ``a / b >= 1.1`` on the few doubles around ``1.1 * b`` (it lies within
+  three units in the last place of it), so what remains is a rank query.
+
+The rank query is distributed: values and thresholds are range-partitioned
+on ``(merchant, m, value)`` -- Spark samples the bounds, so one hot
+``(merchant, m)`` spreads over many partitions -- each range counts
+locally with a window, and a small per-range table adds the counts of the
+ranges before it.  No group is ever gathered in one task.
 
 A pair whose divisor is 0 has no ratio and is left out of mean and count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchpulse.functions.numeric import as_double, money
 from merchpulse.plans.periods import Periods, next_month
 from merchpulse.schema import CODE, GROWTH_THRESHOLD, KEY, MONTH, SALE_AMOUNT
 
-# rows on each side of a divisor that can hold the values near its boundary
-_NEIGHBOURS = 64
-_BAND = 2.0**-50
+# candidates k * step around 1.1 * b, step at most a quarter of a unit in
+# the last place even if log2 is off by one either way
+_STEPS = 48
 
 
 def _next_month_expr(months: tuple[str, ...]):
@@ -41,63 +44,86 @@ def _next_month_expr(months: tuple[str, ...]):
     return F.create_map(*mapping)[F.col(MONTH)]
 
 
+def exact_threshold(b: Column, threshold: float) -> Column:
+    """For ``b > 0`` the smallest double ``a`` with ``a / b >= threshold``;
+    for ``b < 0`` the largest.  Raises if the search window does not
+    bracket the boundary (only possible for non-normal numbers)."""
+    t = b * F.lit(threshold)
+    step = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(t))) - F.lit(55))
+    cands = F.transform(F.sequence(F.lit(-_STEPS), F.lit(_STEPS)), lambda k: t + k.cast("double") * step)
+    ok = F.filter(cands, lambda x: x / b >= F.lit(threshold))
+    lowest, highest = t - F.lit(float(_STEPS)) * step, t + F.lit(float(_STEPS)) * step
+    low_ok, high_ok = lowest / b >= F.lit(threshold), highest / b >= F.lit(threshold)
+    bracketed = F.when(b > 0, ~low_ok & high_ok).otherwise(low_ok & ~high_ok)
+    found = F.when(b > 0, F.array_min(ok)).otherwise(F.array_max(ok))
+    return F.when(bracketed, found).otherwise(
+        F.raise_error(F.concat(F.lit("growth threshold not bracketed for divisor "), b.cast("string")))
+    )
+
+
 def growth_month_stats(base: DataFrame, p: Periods, threshold: float = GROWTH_THRESHOLD) -> DataFrame:
     """Per ``(merchant, m)`` with values in both ``m`` and ``m-1``:
     ``pairs`` (ratios with a non-zero divisor), ``ratio_sum`` and ``up``
-    (ratios ``>= threshold``)."""
+    (ratios ``>= threshold``).
+
+    The range partitioner samples its input in a separate pass, so give
+    this a materialised ``base`` (the plans do).
+    """
     sales = base.where((F.col(CODE) == SALE_AMOUNT) & F.col(MONTH).between(p.start, p.end))
+    # A rows sort between the two kinds of probe at an equal key:
+    # b > 0 probes (tb 0) count A strictly below, b < 0 probes (tb 2) A at or below
     later = sales.where(F.col(MONTH).isin(list(p.months[1:]))).select(
         KEY,
         F.col(MONTH).alias("m"),
         F.col("value").alias("sort_key"),
+        F.lit(1).alias("tb"),
         F.lit(1).alias("is_a"),
         F.lit(None).cast("double").alias("b"),
     )
-    prod = F.col("value") * F.lit(threshold)
-    eps = F.abs(prod) * F.lit(_BAND)
-    earlier = sales.where(F.col(MONTH).isin(list(p.months[:-1])) & (F.col("value") != 0)).select(
+    b = F.col("value")
+    earlier = sales.where(F.col(MONTH).isin(list(p.months[:-1])) & (b != 0)).select(
         KEY,
         _next_month_expr(p.months[:-1]).alias("m"),
-        F.when(F.col("value") > 0, prod + eps).otherwise(prod - eps).alias("sort_key"),
+        exact_threshold(b, threshold).alias("sort_key"),
+        F.when(b > 0, F.lit(0)).otherwise(F.lit(2)).alias("tb"),
         F.lit(0).alias("is_a"),
-        F.col("value").alias("b"),
+        b.alias("b"),
     )
-    group = Window.partitionBy(KEY, "m")
-    ordered = group.orderBy("sort_key", "is_a")
-    rows = (
+    ranged = (
         later.unionByName(earlier)
-        .withColumn("n_a", F.sum("is_a").over(group))
-        .withColumn("sum_a", F.sum(F.when(F.col("is_a") == 1, money("sort_key"))).over(group))
-        .withColumn("one_a", F.max(F.when(F.col("is_a") == 1, F.col("sort_key"))).over(group))
-        # A values strictly below this row's key (A rows sort after equal-key probes)
-        .withColumn("a_below", F.sum("is_a").over(ordered))
-        .withColumn(
-            "near",
-            F.collect_list(F.when(F.col("is_a") == 1, F.col("sort_key"))).over(
-                ordered.rowsBetween(-_NEIGHBOURS, _NEIGHBOURS)
-            ),
-        )
+        .repartitionByRange(KEY, "m", "sort_key", "tb")
+        .withColumn("part", F.spark_partition_id())
     )
-    b = F.col("b")
-    prod_b = b * F.lit(threshold)
-    eps_b = F.abs(prod_b) * F.lit(_BAND)
-    lo, hi = prod_b - eps_b, prod_b + eps_b
-    # certain: b > 0 -> a >= hi ; b < 0 -> a < lo.  Band tested exactly.
-    certain = F.when(b > 0, F.col("n_a") - F.col("a_below")).otherwise(F.col("a_below"))
-    band = F.filter(
-        "near",
-        lambda x: F.when(b > 0, (x >= lo) & (x < hi)).otherwise((x >= lo) & (x <= hi)) & (x / b >= F.lit(threshold)),
+    # Local ranks first: the range id is computed once, in the stage that
+    # reads the range shuffle, and everything below derives from that.
+    local = Window.partitionBy(KEY, "m", "part").orderBy("sort_key", "tb")
+    ranked = ranged.withColumn("a_local", F.sum("is_a").over(local))
+    # per range: A count, exact A sum and the A value (for one-value months)
+    parts = ranked.groupBy(KEY, "m", "part").agg(
+        F.sum("is_a").alias("n_part"),
+        F.sum(F.when(F.col("is_a") == 1, money("sort_key"))).alias("s_part"),
+        F.max(F.when(F.col("is_a") == 1, F.col("sort_key"))).alias("v_part"),
     )
-    a_total = F.when(F.col("n_a") == 1, F.col("one_a")).otherwise(as_double(F.col("sum_a")))
-    probes = rows.where((F.col("is_a") == 0) & (F.col("n_a") > 0)).select(
+    group = Window.partitionBy(KEY, "m")
+    parts = parts.select(
         KEY,
         "m",
-        F.col("n_a").cast("bigint").alias("pairs"),
-        (a_total / b).alias("ratio_sum"),
-        (certain + F.size(band)).cast("bigint").alias("up"),
+        "part",
+        F.coalesce(
+            F.sum("n_part").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("a_before"),
+        F.sum("n_part").over(group).alias("n_a"),
+        F.sum("s_part").over(group).alias("sum_a"),
+        F.max("v_part").over(group).alias("one_a"),
     )
+    probes = ranked.where(F.col("is_a") == 0).join(parts, [KEY, "m", "part"]).where(F.col("n_a") > 0)
+    below = F.col("a_before") + F.col("a_local")
+    up = F.when(F.col("b") > 0, F.col("n_a") - below).otherwise(below)
+    a_total = F.when(F.col("n_a") == 1, F.col("one_a")).otherwise(as_double(F.col("sum_a")))
     return probes.groupBy(KEY, "m").agg(
-        F.sum("pairs").alias("pairs"), F.sum("ratio_sum").alias("ratio_sum"), F.sum("up").alias("up")
+        F.sum("n_a").cast("bigint").alias("pairs"),
+        F.sum(a_total / F.col("b")).alias("ratio_sum"),
+        F.sum(up).cast("bigint").alias("up"),
     )
 
 

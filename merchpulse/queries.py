@@ -120,16 +120,16 @@ def q_yoy_growth_rate(spark, sf_dir):
 
 
 def q_growth_pairs(spark, sf_dir):
-    st = growth.growth_month_stats(_base(spark, sf_dir), P)
+    st = growth.growth_month_stats(_shared_base(spark, sf_dir), P)
     return st.select(KEY, F.col("m").alias(MONTH), "pairs", "ratio_sum", "up")
 
 
 def q_growth_multiple(spark, sf_dir):
-    return _rounded(growth.growth_multiple(_base(spark, sf_dir), P), "growth_multiple")
+    return _rounded(growth.growth_multiple(_shared_base(spark, sf_dir), P), "growth_multiple")
 
 
 def q_increase_month_num(spark, sf_dir):
-    return growth.increase_month_num(_base(spark, sf_dir), P)
+    return growth.increase_month_num(_shared_base(spark, sf_dir), P)
 
 
 def q_all_quotas(spark, sf_dir):

@@ -100,3 +100,28 @@ def test_boundary_ratio_is_exact(spark):
     got = {r["property_uuid"]: r["increase_month_num"]
            for r in growth_per_merchant(growth_month_stats(base, P)).collect()}
     assert got == {"x": 1, "y": 1 if _next_below(110.0) / 100 >= 1.1 else 0}
+
+
+def test_hot_month_spreads_over_ranges(spark):
+    """One merchant-month with hundreds of values: the range partitioner
+    splits it, and counts must still equal brute force."""
+    rnd = random.Random(5)
+    prev = {round(rnd.uniform(-50, 400), 2) for _ in range(300)} | {100.0, 250.0}
+    cur = {round(rnd.uniform(-60, 500), 2) for _ in range(600)}
+    for b in list(prev)[:40]:
+        if b:
+            t = b * 1.1
+            cur |= {t, _next_below(t), _next_above(t)}
+    rows = [("hot", "201510", "M_SALE_AMOUNT", repr(v)) for v in prev]
+    rows += [("hot", "201511", "M_SALE_AMOUNT", repr(v)) for v in cur]
+    rows += [("cold", "201510", "M_SALE_AMOUNT", "10"), ("cold", "201511", "M_SALE_AMOUNT", "11")]
+    base = base_values(spark.createDataFrame(rows, METRIC_LONG), P)
+    stats = growth_month_stats(base, P)
+    assert stats.count() == 2
+    got = {r["property_uuid"]: (r["growth_multiple"], r["increase_month_num"])
+           for r in growth_per_merchant(stats).collect()}
+    want = _brute(rows)
+    assert got["hot"][1] == want["hot"][1] and got["cold"][1] == want["cold"][1] == 1
+    assert math.isclose(got["hot"][0], want["hot"][0], rel_tol=1e-9)
+    ranged_parts = base.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    assert int(ranged_parts) > 1
