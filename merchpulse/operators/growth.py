@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from merchpulse.functions.numeric import as_double, money
 from merchpulse.plans.periods import Periods, next_month
 from merchpulse.schema import CODE, GROWTH_THRESHOLD, KEY, MONTH, SALE_AMOUNT
+from merchpulse.session import cut_lineage
 
 # candidates k * step around 1.1 * b, step at most a quarter of a unit in
 # the last place even if log2 is off by one either way
@@ -67,7 +68,8 @@ def growth_month_stats(base: DataFrame, p: Periods, threshold: float = GROWTH_TH
     (ratios ``>= threshold``).
 
     The range partitioner samples its input in a separate pass, so give
-    this a materialised ``base`` (the plans do).
+    this a materialised ``base`` (the plans do).  Runs one checkpoint job
+    when called.
     """
     sales = base.where((F.col(CODE) == SALE_AMOUNT) & F.col(MONTH).between(p.start, p.end))
     # A rows sort between the two kinds of probe at an equal key:
@@ -94,10 +96,11 @@ def growth_month_stats(base: DataFrame, p: Periods, threshold: float = GROWTH_TH
         .repartitionByRange(KEY, "m", "sort_key", "tb")
         .withColumn("part", F.spark_partition_id())
     )
-    # Local ranks first: the range id is computed once, in the stage that
-    # reads the range shuffle, and everything below derives from that.
+    # Local ranks, then one materialisation: the range bounds come from a
+    # sampling pass seeded per run, so the two uses below must read the same
+    # computed ranges rather than each re-running the range shuffle.
     local = Window.partitionBy(KEY, "m", "part").orderBy("sort_key", "tb")
-    ranked = ranged.withColumn("a_local", F.sum("is_a").over(local))
+    ranked = cut_lineage(ranged.withColumn("a_local", F.sum("is_a").over(local)))
     # per range: A count, exact A sum and the A value (for one-value months)
     parts = ranked.groupBy(KEY, "m", "part").agg(
         F.sum("is_a").alias("n_part"),

@@ -49,8 +49,7 @@ def cogroup_frames(
     names = list(names) if names is not None else [f"v{i}" for i in range(n)]
     values = [value] * n if isinstance(value, str) else list(value)
     if types is None:
-        types = [dict(f.dtypes).get(v) for f, v in zip(frames, values)]
-        types = [T._parse_datatype_string(t) for t in types]
+        types = [f.schema[v].dataType for f, v in zip(frames, values)]
     stacked = None
     for i, (f, v) in enumerate(zip(frames, values)):
         part = f.select(

@@ -12,6 +12,7 @@ from merchpulse.operators.slices import base_values
 from merchpulse.plans import general, single_pass
 from merchpulse.plans.periods import periods
 from merchpulse.schema import KEY, WEIGHTS, WINDOW_MONTHS
+from merchpulse.session import cut_lineage
 
 STRATEGIES = ("hybrid", "general", "single_pass")
 
@@ -84,19 +85,6 @@ def score_one(metrics: DataFrame, uuid: str, as_of, **kw) -> ScoreRun:
     return score_all(metrics.where(F.col(KEY) == F.lit(uuid)), as_of, **kw)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's checkpoint folder.
-
-    The folder comes from the session (``spark.checkpoint.dir``); only a
-    local session without one gets a scratch folder.  Unlike a local
-    checkpoint this survives the loss of an executor.
-    """
-    from merchpulse.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def run_and_write(metrics: DataFrame, as_of, base_path: str, uuid: str | None = None,
                   single_file: bool = False, **kw) -> ScoreRun:
     """Compute and write the three outputs as tab-separated text (K1, K4).

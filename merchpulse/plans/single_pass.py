@@ -120,7 +120,7 @@ def quotas_from_fold(fold: DataFrame, p: Periods, threshold: float = GROWTH_THRE
     return fold.select(*cols, guard.alias("_guard"))
 
 
-def _any_defined(names) -> "F.Column":
+def _any_defined(names):
     defined = None
     for name in names:
         c = F.col(name).isNotNull()
