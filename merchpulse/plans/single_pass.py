@@ -11,7 +11,7 @@ aggregation, so a hot merchant sends one row per map task.
 Requires at most one sales value per merchant and month: with conflicting
 values the month-on-month counts need the values themselves, so the plan
 raises.  ``all_quotas_hybrid`` lifts that limit by taking the two
-month-on-month quotas from the growth operator instead.
+month-on-month quotas of such merchants from the growth operator.
 """
 
 from __future__ import annotations
@@ -112,12 +112,8 @@ def quotas_from_fold(fold: DataFrame, p: Periods, threshold: float = GROWTH_THRE
         conflict = c if conflict is None else conflict | c
     q["growth_multiple"] = F.when(pairs > 0, ratio / pairs.cast("double") * F.lit(100.0))
     q["increase_month_num"] = F.when(pairs > 0, up.cast("int"))
-    guard = F.when(
-        conflict,
-        F.raise_error(F.concat(F.lit("single_pass needs one sales value per month; merchant "), F.col(KEY))),
-    )
     cols = [F.col(KEY)] + [q[name].alias(name) for name in QUOTAS]
-    return fold.select(*cols, guard.alias("_guard"))
+    return fold.select(*cols, conflict.alias("_conflict"))
 
 
 def _any_defined(names):
@@ -132,22 +128,41 @@ def all_quotas(base: DataFrame, p: Periods) -> DataFrame:
     """Q12 by the single-pass plan."""
     fold = merchant_fold(base, p)
     out = quotas_from_fold(fold, p)
+    guard = F.when(
+        F.col("_conflict"),
+        F.raise_error(F.concat(F.lit("single_pass needs one sales value per month; merchant "), F.col(KEY))),
+    )
     # the guard is part of the filter, so it cannot be pruned away
-    out = out.where(F.col("_guard").isNull()).drop("_guard")
+    out = out.where(guard.isNull()).drop("_conflict")
     return round_quotas(out.where(_any_defined(QUOTAS)))
 
 
 def all_quotas_hybrid(base: DataFrame, p: Periods) -> DataFrame:
-    """Q12, exact for any input, in about four shuffles.
-
-    Quotas 1-8 come from the merchant fold; the month-on-month quotas come
-    from the pair-free growth operator (which handles several values per
-    month).  Both sides end hash-partitioned on the merchant, so the join
-    adds no shuffle.  ``base`` is read twice: materialise it first.
+    """Q12, exact for any input.
+
+    Everything comes from the merchant fold, except the two month-on-month
+    quotas of merchants that have several sales values in some month: for
+    those the growth operator recomputes them from their rows only.  The
+    fold (one row per merchant) is checkpointed, so checking whether any
+    merchant needs that -- normally none does -- costs a scan of it, and
+    the growth operator's jobs run only when needed.  The merchant list is
+    a semi-join's small side, which AQE broadcasts only if its measured
+    size allows.  ``base`` is read twice: materialise it first.
     """
     from merchpulse.operators.growth import growth_month_stats, growth_per_merchant
-
-    fold_q = quotas_from_fold(merchant_fold(base, p), p).drop("_guard", "growth_multiple", "increase_month_num")
-    g = growth_per_merchant(growth_month_stats(base, p))
-    out = fold_q.join(g, KEY, "left").select(KEY, *QUOTAS)
+    from merchpulse.session import cut_lineage
+
+    fold_q = cut_lineage(quotas_from_fold(merchant_fold(base, p), p))
+    conflicted = fold_q.where(F.col("_conflict")).select(KEY)
+    if conflicted.isEmpty():
+        out = fold_q.select(KEY, *QUOTAS)
+    else:
+        g = growth_per_merchant(growth_month_stats(base.join(conflicted, KEY, "left_semi"), p)).select(
+            KEY, F.col("growth_multiple").alias("g_multiple"), F.col("increase_month_num").alias("g_up")
+        )
+        growth_cols = {
+            "growth_multiple": F.when(F.col("_conflict"), F.col("g_multiple")).otherwise(F.col("growth_multiple")),
+            "increase_month_num": F.when(F.col("_conflict"), F.col("g_up")).otherwise(F.col("increase_month_num")),
+        }
+        out = fold_q.join(g, KEY, "left").select(KEY, *[growth_cols.get(q, F.col(q)).alias(q) for q in QUOTAS])
     return round_quotas(out.where(_any_defined(QUOTAS)))
