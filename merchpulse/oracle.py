@@ -359,6 +359,20 @@ def oracle_sql() -> dict[str, str]:
         " strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%S') AS from_millis"
         " FROM events"
     )
+    d = "o_orderdate"
+    q["calendar_enrich"] = (
+        f"SELECT o_orderkey, {d}, strftime({d}, '%Y-%m-%d') AS as_text,"
+        f" strftime({d} - INTERVAL 1 DAY, '%Y-%m-%d') AS days_ago,"
+        f" strftime({d} - INTERVAL 1 MONTH, '%Y-%m-%d') AS months_ago,"
+        f" strftime({d} - INTERVAL 1 YEAR, '%Y-%m-%d') AS year_ago,"
+        f" strftime(last_day({d} - INTERVAL 1 MONTH), '%Y-%m-%d') AS month_end_ago,"
+        f" strftime(CAST(date_trunc('week', {d}) AS DATE) - 7, '%Y-%m-%d') AS week_begin,"
+        f" strftime(CAST(date_trunc('week', {d}) AS DATE) - 1, '%Y-%m-%d') AS week_end,"
+        f" strftime(date_trunc('quarter', {d}), '%Y-%m-%d') AS quarter_start,"
+        f" CAST(day(last_day({d})) AS INTEGER) AS days_in_month,"
+        f" CAST(year({d}) AS INTEGER) AS year, CAST(month({d}) AS INTEGER) AS month,"
+        f" CAST(day({d}) AS INTEGER) AS day FROM orders"
+    )
     q["week_bounds"] = (
         "SELECT o_orderkey,"
         " strftime(CAST(date_trunc('week', o_orderdate) AS DATE), '%Y-%m-%d') AS week_begin,"

@@ -217,6 +217,12 @@ def q_calendar_columns(spark, sf_dir):
     )
 
 
+def q_calendar_enrich(spark, sf_dir):
+    """C1 as one job: every calendar column for the order dates, one period back."""
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return cal.enrich(o, "o_orderdate", m=1)
+
+
 def q_week_bounds(spark, sf_dir):
     """D7 over order dates, one and zero weeks back."""
     o = _table(spark, sf_dir, "orders")
@@ -330,6 +336,7 @@ QUERIES = {
     "quota_json": q_quota_json,
     "quota_json_named": q_quota_json_named,
     "calendar_columns": q_calendar_columns,
+    "calendar_enrich": q_calendar_enrich,
     "week_bounds": q_week_bounds,
     "quarter_start": q_quarter_start,
     "date_text_extract": q_date_text_extract,
