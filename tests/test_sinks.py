@@ -57,3 +57,18 @@ def test_json_envelope(spark):
     named = {r.property_uuid: json.loads(r.json) for r in quota_json(_quotas(spark), AS_OF, named=True).collect()}
     assert list(named["D"]["quotaItemList"][0]) == ["indexFlag", "quotaName", "quotaCode", "targetTime",
                                                     "quotaValue"]
+
+
+def test_command_line(spark, tmp_path):
+    from merchpulse.__main__ import main
+    from tests.fixture import metrics_frame as mf
+
+    src = str(tmp_path / "metrics")
+    mf(spark).write.parquet(src)
+    out = str(tmp_path / "out")
+    main(["--metrics", src, "--as-of", AS_OF, "--out", out], spark=spark)
+    main(["A", "--metrics", src, "--as-of", AS_OF, "--out", out], spark=spark)
+    offline = output_paths(out, AS_OF)["finalScores"]
+    online = output_paths(out, AS_OF, uuid="A")["finalScores"]
+    assert sorted(r.value for r in read_lines(spark, offline).collect())[0] == "A\t73"
+    assert [r.value for r in read_lines(spark, online).collect()] == ["A\t73"]
