@@ -127,3 +127,25 @@ def test_hot_month_spreads_over_ranges(spark, sample_size):
     assert got["hot"][1] == want["hot"][1] and got["cold"][1] == want["cold"][1] == 1
     assert math.isclose(got["hot"][0], want["hot"][0], rel_tol=1e-9)
     spark.conf.unset("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+
+
+def test_exact_threshold_property(spark):
+    from pyspark.sql import functions as F
+
+    from merchpulse.operators.growth import exact_threshold
+
+    rnd = random.Random(3)
+    bs = []
+    for _ in range(4000):
+        mag = 10 ** rnd.uniform(-300, 300)
+        bs.append(rnd.choice([1, -1]) * mag)
+    bs += [100.0, -100.0, 1.0, 0.01, 1e-3, 123.45, -0.07, 2.0 ** 52, 1 / 1.1]
+    df = spark.createDataFrame([(b,) for b in bs], "b double")
+    got = df.select("b", exact_threshold(F.col("b"), 1.1).alias("t")).collect()
+    for r in got:
+        b, t = r.b, r.t
+        assert t / b >= 1.1, (b, t)
+        if b > 0:
+            assert _next_below(t) / b < 1.1, (b, t)
+        else:
+            assert _next_above(t) / b < 1.1, (b, t)
