@@ -26,7 +26,8 @@ def test_output_paths():
 
 
 def test_run_and_write_round_trip(spark, tmp_path):
-    run_and_write(metrics_frame(spark), AS_OF, str(tmp_path), single_file=True)
+    run_and_write(metrics_frame(spark), AS_OF, str(tmp_path))
+    run_and_write(metrics_frame(spark), AS_OF, str(tmp_path), single_file=True)  # overwrites (K3)
     paths = output_paths(str(tmp_path), AS_OF)
     final = sorted(r.value for r in read_lines(spark, paths["finalScores"]).collect())
     assert final == ["A\t73", "B\t38", "C\t39", "D\t10", "G\t16", "H\t38", "I\t38"]
