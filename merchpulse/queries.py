@@ -1,6 +1,6 @@
 """Registered queries: one per operator group, each ``(spark, sf_dir) ->
 DataFrame`` over the driver's test tables (see ``oracle.py`` for the
-matching reference SQL).
+matching oracle SQL).
 
 The metric table is derived from ``lineitem`` and ``orders`` by the
 adapter, over all their rows; the reference date is 2000-07-15, so the
