@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchpulse.operators.scoring import final_scores, score_quotas
-from merchpulse.operators.slices import base_values
+from merchpulse.operators.slices import base_values, parse_rows, windowed_rows
 from merchpulse.plans import general, single_pass
 from merchpulse.plans.periods import periods
 from merchpulse.schema import KEY, WEIGHTS, WINDOW_MONTHS
@@ -22,6 +22,7 @@ class ScoreRun:
     quotas: DataFrame
     scores: DataFrame
     final: DataFrame
+    rejects: DataFrame | None = None  # bad metric rows, with on_bad="quarantine"
 
 
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
@@ -76,7 +77,10 @@ def score_all(metrics: DataFrame, as_of, bands="as_published", weights: dict = W
     """
     quotas = compute_quotas(metrics, as_of, strategy, n, on_bad, materialize_base)
     scores = score_quotas(quotas, bands)
-    return ScoreRun(quotas, scores, final_scores(scores, weights))
+    rejects = None
+    if on_bad == "quarantine":
+        rejects = parse_rows(windowed_rows(metrics, periods(as_of, n)), on_bad="quarantine")[1]
+    return ScoreRun(quotas, scores, final_scores(scores, weights), rejects)
 
 
 def score_one(metrics: DataFrame, uuid: str, as_of, **kw) -> ScoreRun:

@@ -62,3 +62,18 @@ def test_scan_filters_reach_parquet(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "metric_dim_code" in plan.split("PushedFilters")[1]
     assert df.count() == 1
+
+
+def test_quarantine_run_scores_good_rows_and_returns_rejects(spark):
+    from merchpulse.plans.job import score_all
+    from tests.fixture import AS_OF, EXPECTED_FINAL, ROWS
+
+    bad = [("A", "201507", "M_DEAL_CUST_CNT", "n/a"), ("Q", "201508", "M_SALE_AMOUNT", None)]
+    df = spark.createDataFrame(ROWS + bad, METRIC_LONG)
+    with pytest.raises(Exception, match="bad metric row"):
+        score_all(df, AS_OF).final.collect()
+    run = score_all(df, AS_OF, on_bad="quarantine")
+    finals = {r.property_uuid: r.final_score for r in run.final.collect()}
+    assert finals["C"] == EXPECTED_FINAL["C"] and "Q" not in finals
+    assert sorted((r.property_uuid, r.reason) for r in run.rejects.collect()) == [
+        ("A", "unparsable value"), ("Q", "null value")]
