@@ -298,6 +298,19 @@ def oracle_sql() -> dict[str, str]:
         f"FROM metric_long WHERE metric_dim_code = 'M_REFUND_RATE' AND target_time >= '{P.start}' "
         f"AND target_time <= '{P.end}'"
     )
+    parsed = ("CASE metric_dim_code WHEN 'M_DEAL_CUST_CNT' THEN CAST(TRY_CAST(metric_value AS INTEGER) AS DOUBLE) "
+              "WHEN 'M_REFUND_RATE' THEN TRY_CAST(replace(metric_value, '%', '') AS DOUBLE) "
+              "ELSE TRY_CAST(metric_value AS DOUBLE) END")
+    q["metric_rejects"] = with_adapter(
+        "SELECT property_uuid, target_time, metric_dim_code, metric_value, reason FROM ("
+        "SELECT *, CASE WHEN metric_value IS NULL THEN 'null value' "
+        "WHEN target_time IS NULL OR NOT regexp_full_match(target_time, '\\d{4}(0[1-9]|1[0-2])') THEN 'bad month' "
+        f"WHEN {parsed} IS NULL THEN 'unparsable value' "
+        f"WHEN isnan({parsed}) OR isinf({parsed}) THEN 'non-finite value' END AS reason "
+        f"FROM metric_long WHERE metric_dim_code IN ({_CODES}) AND (target_time BETWEEN '{P.start}' AND '{P.end}' "
+        f"OR (metric_dim_code = 'M_SALE_AMOUNT' AND target_time BETWEEN '{P.ye_start}' AND '{P.ye_end}'))) "
+        "WHERE reason IS NOT NULL"
+    )
     q["base_values"] = _q("SELECT k AS property_uuid, m AS target_time, c AS metric_dim_code, v AS value FROM base")
     single = {
         "avg_sale_amount": "q1",

@@ -86,6 +86,14 @@ def q_base_values(spark, sf_dir):
     return _base(spark, sf_dir).select(KEY, MONTH, CODE, "value")
 
 
+def q_metric_rejects(spark, sf_dir):
+    """V3/V8 quarantine: rows of the analysis windows that cannot be used,
+    with the reason (none in the derived metric table)."""
+    from merchpulse.operators.slices import parse_rows, windowed_rows
+
+    return parse_rows(windowed_rows(_metrics(spark, sf_dir), P), on_bad="quarantine")[1]
+
+
 def q_avg_sale_amount(spark, sf_dir):
     return _rounded(quotas.avg_sale_amount(_base(spark, sf_dir), P), "avg_sale_amount")
 
@@ -310,6 +318,7 @@ QUERIES = {
     "metric_slice": q_metric_slice,
     "percent_slice": q_percent_slice,
     "base_values": q_base_values,
+    "metric_rejects": q_metric_rejects,
     "avg_sale_amount": q_avg_sale_amount,
     "avg_deal_cnt": q_avg_deal_cnt,
     "refund_rate": q_refund_rate,
