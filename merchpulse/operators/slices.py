@@ -55,7 +55,13 @@ def windowed_rows(metrics: DataFrame, p: Periods, codes=METRIC_CODES) -> DataFra
     """
     in_window = F.col(MONTH).between(p.start, p.end)
     in_ye = (F.col(CODE) == SALE_AMOUNT) & F.col(MONTH).between(p.ye_start, p.ye_end)
-    return metrics.select(KEY, MONTH, CODE, VALUE).where(F.col(CODE).isin(list(codes)) & (in_window | in_ye))
+    # implied by the two windows, but on the month alone: Catalyst can push
+    # it through projections, unpivots and aggregations keyed by month,
+    # and a month-sorted table skips row groups with it
+    span = F.col(MONTH).between(p.ye_start, p.end)
+    return metrics.select(KEY, MONTH, CODE, VALUE).where(
+        F.col(CODE).isin(list(codes)) & span & (in_window | in_ye)
+    )
 
 
 def parse_rows(rows: DataFrame, on_bad: str = "fail", kinds: dict = PARSE_KIND):
