@@ -41,3 +41,12 @@ def test_adapter_top_lists_limit_before_the_shuffle(spark):
     # top-3 parts and top-10 customers: a partial group limit under each window shuffle
     assert plan.count("WindowGroupLimit") >= 4
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_month_window_reaches_line_items(spark):
+    from merchpulse.queries import P
+
+    base = base_values(load_metric_long(spark, "/root/testdata/sf0.001"), P)
+    optimized = base._jdf.queryExecution().optimizedPlan().toString()
+    line_filters = [ln for ln in optimized.splitlines() if "Filter" in ln and "l_shipdate" in ln]
+    assert line_filters and any(P.ye_start in ln and P.end in ln for ln in line_filters), line_filters
