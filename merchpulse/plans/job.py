@@ -42,26 +42,28 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
 
 
 def compute_quotas(metrics: DataFrame, as_of, strategy: str = "hybrid", n: int = WINDOW_MONTHS,
-                   on_bad: str = "fail", materialize_base: str = "checkpoint") -> DataFrame:
+                   on_bad: str = "fail", materialize_base: str | None = None) -> DataFrame:
     """Q12 by the chosen plan.
 
-    * ``hybrid`` (default): merchant fold + growth operator; exact for any
-      input, about four shuffles.
+    * ``hybrid`` (default): checkpointed merchant fold; the growth operator
+      only for merchants with conflicting months; exact for any input.
     * ``general``: one sub-plan per quota merged by the cogroup operator
       (the published job's shape); exact, many small shuffles.
     * ``single_pass``: one fold, two shuffles; raises if a merchant has two
       sales values for one month.
 
-    Plans that read the de-duplicated base more than once get it
-    materialised (``materialize_base``): otherwise Catalyst pushes each
-    consumer's code filter into the source and every consumer re-reads it.
+    The general plan reads the de-duplicated base once per quota, so it is
+    materialised first (``materialize_base``, default ``checkpoint``):
+    otherwise Catalyst pushes each consumer's code filter into the source
+    and every consumer re-reads it.  The other plans read it once (default
+    ``none``).
     """
     p = periods(as_of, n)
     base = base_values(metrics, p, on_bad=on_bad)
     if strategy == "hybrid":
-        return single_pass.all_quotas_hybrid(materialize(base, materialize_base), p)
+        return single_pass.all_quotas_hybrid(materialize(base, materialize_base or "none"), p)
     if strategy == "general":
-        return general.all_quotas(materialize(base, materialize_base), p)
+        return general.all_quotas(materialize(base, materialize_base or "checkpoint"), p)
     if strategy == "single_pass":
         return single_pass.all_quotas(base, p)
     raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -69,11 +71,12 @@ def compute_quotas(metrics: DataFrame, as_of, strategy: str = "hybrid", n: int =
 
 def score_all(metrics: DataFrame, as_of, bands="as_published", weights: dict = WEIGHTS,
               strategy: str = "hybrid", n: int = WINDOW_MONTHS, on_bad: str = "fail",
-              materialize_base: str = "checkpoint") -> ScoreRun:
+              materialize_base: str | None = None) -> ScoreRun:
     """Quotas, scores and final score for every merchant.
 
-    With the general plan the de-duplicated base is materialised when this
-    is called; everything after it is lazy.
+    The plans materialise their intermediate results (the merchant fold,
+    the general plan's base) when this is called; scoring after them is a
+    lazy projection.
     """
     quotas = compute_quotas(metrics, as_of, strategy, n, on_bad, materialize_base)
     scores = score_quotas(quotas, bands)

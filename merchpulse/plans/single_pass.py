@@ -147,7 +147,9 @@ def all_quotas_hybrid(base: DataFrame, p: Periods) -> DataFrame:
     merchant needs that -- normally none does -- costs a scan of it, and
     the growth operator's jobs run only when needed.  The merchant list is
     a semi-join's small side, which AQE broadcasts only if its measured
-    size allows.  ``base`` is read twice: materialise it first.
+    size allows.  ``base`` is read once, by the fold; only when some
+    merchant has conflicting months are that merchant's rows read again
+    and checkpointed for the growth operator (which samples its input).
     """
     from merchpulse.operators.growth import growth_month_stats, growth_per_merchant
     from merchpulse.session import cut_lineage
@@ -157,7 +159,8 @@ def all_quotas_hybrid(base: DataFrame, p: Periods) -> DataFrame:
     if conflicted.isEmpty():
         out = fold_q.select(KEY, *QUOTAS)
     else:
-        g = growth_per_merchant(growth_month_stats(base.join(conflicted, KEY, "left_semi"), p)).select(
+        subset = cut_lineage(base.join(conflicted, KEY, "left_semi"))
+        g = growth_per_merchant(growth_month_stats(subset, p)).select(
             KEY, F.col("growth_multiple").alias("g_multiple"), F.col("increase_month_num").alias("g_up")
         )
         growth_cols = {

@@ -148,7 +148,7 @@ def q_all_quotas_single_pass(spark, sf_dir):
 
 
 def q_all_quotas_hybrid(spark, sf_dir):
-    return single_pass.all_quotas_hybrid(_shared_base(spark, sf_dir), P)
+    return single_pass.all_quotas_hybrid(_base(spark, sf_dir), P)
 
 
 def q_quota_scores(spark, sf_dir):
