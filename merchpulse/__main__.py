@@ -1,6 +1,9 @@
-"""Command line: ``spark-submit -m merchpulse`` (or ``python -m merchpulse``).
+"""Command line for a full or one-merchant run.
 
-    merchpulse --metrics PATH --as-of YYYY-MM-DD --out BASE [UUID]
+    python -m merchpulse --metrics PATH --as-of YYYY-MM-DD --out BASE [UUID]
+    spark-submit --py-files merchpulse.zip merchpulse/__main__.py --metrics ... [UUID]
+
+(``merchpulse.zip`` is the zipped package directory.)
 
 Without a merchant key it scores every merchant (offline layout); with one
 it scores that merchant (online layout), as the published job's command
