@@ -340,3 +340,37 @@ def dedup_passages(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     return joined.mapInArrow(
         _kept(with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
     )
+
+
+
+def _cut(batches):
+    """Rows with the spans cut from their text."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        raw = batch.column(at).cast(pa.large_binary()).to_pylist()
+        out = []
+        for text, spans in zip(raw, batch.column(batch.schema.get_field_index(SPANS)).to_pylist()):
+            if text is not None and spans:
+                parts, reach = [], 0
+                for s, e in sorted((x["start"], x["end"]) for x in spans):
+                    if s > reach:
+                        parts.append(text[reach:s])
+                    reach = max(reach, e)
+                text = b"".join([*parts, text[reach:]])
+            out.append(None if text is None else text.decode("utf-8", "ignore"))  # a character cut in part goes
+        batch = batch.set_column(at, "text", pa.array(out, pa.string()))
+        yield batch.drop_columns([SPANS])
+
+
+SPANS = "__spans"
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated passages cut from their texts; ``n_chars``,
+    where there is one, is that of the text left.  Null texts stay null."""
+    spans = repeats(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias(SPANS))  # of one document
+    schema = docs.withColumn("text", F.col("text").cast("string")).schema
+    cut = docs.withColumn("text", F.col("text").cast("string")).join(spans, "doc_id", "left").select(*docs.columns, SPANS).mapInArrow(_cut, schema)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars").cast("long")).cast(docs.schema["n_chars"].dataType))
+    return cut
