@@ -126,13 +126,13 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    list_reduce(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i]), (x, y) -> x + y) AS score
+    list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda x, y: x + y) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
