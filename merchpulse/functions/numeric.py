@@ -1,25 +1,23 @@
-"""Rounding and exact-sum helpers."""
+"""Rounding, ordered sums and guarded division."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from merchpulse.schema import MONEY
 
+def add_in_order(columns: list[Column]) -> Column:
+    """Columns added from left to right, absent ones as 0, so that the sum of
+    doubles does not depend on how rows were partitioned."""
+    total = F.lit(0.0)
+    for c in columns:
+        total = total + F.coalesce(c, F.lit(0.0))
+    return total
 
-def money(c: Column | str) -> Column:
-    """A double as the exact decimal used for sums (6 decimal places)."""
-    return F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY)
 
-
-def exact_sum(c: Column | str) -> Column:
-    """Sum as decimal, so the total does not depend on shuffle order."""
-    return F.sum(money(c)).cast(MONEY)
-
-
-def as_double(c: Column) -> Column:
-    return c.cast("double")
+def finite(c: Column) -> Column:
+    """The value, or null where arithmetic left the range of doubles."""
+    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
 
 
 def retain_decimal(c: Column | str, bits: int = 2) -> Column:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchpulse.functions.numeric import as_double, money
+from merchpulse.functions.numeric import finite
 from merchpulse.plans.periods import Periods, next_month
 from merchpulse.schema import CODE, GROWTH_THRESHOLD, KEY, MONTH, SALE_AMOUNT
 from merchpulse.session import cut_lineage
@@ -101,10 +101,10 @@ def growth_month_stats(base: DataFrame, p: Periods, threshold: float = GROWTH_TH
     # computed ranges rather than each re-running the range shuffle.
     local = Window.partitionBy(KEY, "m", "part").orderBy("sort_key", "tb")
     ranked = cut_lineage(ranged.withColumn("a_local", F.sum("is_a").over(local)))
-    # per range: A count, exact A sum and the A value (for one-value months)
+    # per range: A count, A sum and the A value (for one-value months)
     parts = ranked.groupBy(KEY, "m", "part").agg(
         F.sum("is_a").alias("n_part"),
-        F.sum(F.when(F.col("is_a") == 1, money("sort_key"))).alias("s_part"),
+        F.sum(F.when(F.col("is_a") == 1, F.col("sort_key"))).alias("s_part"),
         F.max(F.when(F.col("is_a") == 1, F.col("sort_key"))).alias("v_part"),
     )
     group = Window.partitionBy(KEY, "m")
@@ -122,7 +122,7 @@ def growth_month_stats(base: DataFrame, p: Periods, threshold: float = GROWTH_TH
     probes = ranked.where(F.col("is_a") == 0).join(parts, [KEY, "m", "part"]).where(F.col("n_a") > 0)
     below = F.col("a_before") + F.col("a_local")
     up = F.when(F.col("b") > 0, F.col("n_a") - below).otherwise(below)
-    a_total = F.when(F.col("n_a") == 1, F.col("one_a")).otherwise(as_double(F.col("sum_a")))
+    a_total = F.when(F.col("n_a") == 1, F.col("one_a")).otherwise(F.col("sum_a"))
     return probes.groupBy(KEY, "m").agg(
         F.sum("n_a").cast("bigint").alias("pairs"),
         F.sum(a_total / F.col("b")).alias("ratio_sum"),
@@ -147,8 +147,9 @@ def growth_per_merchant(month_stats: DataFrame) -> DataFrame:
         .where(F.col("pairs") > 0)
         .select(
             KEY,
-            (F.col("ratio") / F.col("pairs").cast("double") * F.lit(100.0)).alias("growth_multiple"),
-            F.col("up").cast("int").alias("increase_month_num"),
+            finite(F.col("ratio") / F.col("pairs").cast("double") * F.lit(100.0)).alias("growth_multiple"),
+            # the quota is an int; more rising pairs than it holds count as its largest value
+            F.least(F.col("up"), F.lit(2**31 - 1)).cast("int").alias("increase_month_num"),
         )
     )
 

@@ -4,8 +4,8 @@ The published job full-outer-merges the ten quota results on the merchant
 key and takes the first value of each side or ``None``.  Here the inputs
 are stacked as ``(key, slot, value)`` and folded with one ``groupBy(key)``:
 one shuffle, with map-side partial aggregation, however many inputs there
-are.  Per input the result holds the element count and the first value --
-never the whole group -- so a hot key costs one row per map task.
+are.  Per input the result holds the element count and the first value, so a
+hot key costs one row per map task; ``cogroup_values`` has all values, as rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,10 @@ def first_or_default(value: Column, default=None, order: Column | None = None) -
     ``default``.  With ``order`` the first is the one with the smallest
     order value (deterministic); without it, groups are expected to hold
     one value."""
-    first = F.min_by(value, order) if order is not None else F.first(value, ignorenulls=True)
+    if order is None:
+        first = F.first(value, ignorenulls=True)
+    else:  # nulls are no candidates; equal order values give the smallest value
+        first = F.min(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))["v"]
     return first if default is None else F.coalesce(first, F.lit(default))
 
 
@@ -45,37 +48,44 @@ def cogroup_frames(
     from that input) and, with ``counts``,
     ``names[i] + '_count'`` = how many rows the input has for the key.
     """
+    stacked, names, types, columns = _stack(frames, key, value, names, types)
+    aggs = []
+    for i, (name, column) in enumerate(zip(names, columns)):
+        mine = F.col("slot") == i
+        aggs.append(F.min(F.when(mine, F.col(column))).cast(types[i]).alias(name))
+        if counts:
+            aggs.append(F.count(F.when(mine, F.lit(1))).alias(f"{name}_count"))
+    return stacked.groupBy(key).agg(*aggs)
+
+
+def _stack(frames, key, value, names, types):
+    """The inputs as ``(key, slot, one column for each different type)``, so
+    that every value keeps its own type."""
     n = len(frames)
     names = list(names) if names is not None else [f"v{i}" for i in range(n)]
     values = [value] * n if isinstance(value, str) else list(value)
     if types is None:
         types = [f.schema[v].dataType for f, v in zip(frames, values)]
+    kinds = list(dict.fromkeys(t.simpleString() for t in types))
+    columns = [f"t{kinds.index(t.simpleString())}" for t in types]
     stacked = None
     for i, (f, v) in enumerate(zip(frames, values)):
         part = f.select(
-            F.col(key).alias(key),
-            F.lit(i).alias("slot"),
-            (F.col(v) if _numeric(types[i]) else F.lit(None)).cast("double").alias("dbl"),
-            (F.col(v) if _integral(types[i]) else F.lit(None)).cast("bigint").alias("lng"),
-            (F.lit(None) if _numeric(types[i]) else F.col(v)).cast("string").alias("txt"),
+            F.col(key).alias(key), F.lit(i).alias("slot"),
+            *[(F.col(v) if columns[i] == f"t{k}" else F.lit(None)).cast(kind).alias(f"t{k}") for k, kind in enumerate(kinds)],
         )
         stacked = part if stacked is None else stacked.unionByName(part)
-    aggs = []
-    for i, (name, t) in enumerate(zip(names, types)):
-        mine = F.col("slot") == i
-        src = "lng" if _integral(t) else ("dbl" if _numeric(t) else "txt")
-        aggs.append(F.min(F.when(mine, F.col(src))).cast(t).alias(name))
-        if counts:
-            aggs.append(F.count(F.when(mine, F.lit(1))).alias(f"{name}_count"))
-    return stacked.groupBy(key).agg(*aggs)
-
-
-def _integral(t: T.DataType) -> bool:
-    return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return stacked, names, types, columns
 
 
-def _numeric(t: T.DataType) -> bool:
-    return _integral(t) or isinstance(t, (T.FloatType, T.DoubleType))
+def cogroup_values(frames: Sequence[DataFrame], key: str = KEY, value: str | Sequence[str] = "value",
+                   names: Sequence[str] | None = None) -> DataFrame:
+    """All values of every input, long: ``(key, slot, name, <a column for each
+    type>)``, with the rows of a key in one partition.  The full groups of a
+    cogroup without a list for each key, so a group may be of any size."""
+    stacked, names, _, _ = _stack(frames, key, value, names, None)
+    label = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("slot") + 1)
+    return stacked.withColumn("name", label).repartition(key)
 
 
 def merge_quotas(quota_frames: dict[str, DataFrame], key: str = KEY) -> DataFrame:

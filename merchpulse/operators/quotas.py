@@ -4,24 +4,25 @@ Every operator takes the frame from ``slices.base_values`` -- columns
 ``(property_uuid, target_time, metric_dim_code, value)`` -- and the
 analysis periods, and returns ``(property_uuid, <quota>)`` for the
 merchants where the quota is defined.  Values are raw (not rounded); the
-merge rounds them.  Money is summed as an exact decimal and turned into a
-double once, so results do not depend on partitioning.  A zero divisor
-makes the quota absent (null, then dropped) instead of failing the run.
+merge rounds them.  Values are summed as doubles per month, in one group-by
+on the merchant, and the months are added in order: where a month has one
+value the result does not depend on partitioning, and any finite value is
+allowed.  A zero divisor, or a result beyond the range of doubles, makes the
+quota absent (null, then dropped) instead of failing the run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchpulse.functions.numeric import as_double, exact_sum, money, safe_div
+from merchpulse.functions.numeric import add_in_order, finite, safe_div
 from merchpulse.plans.periods import Periods
 from merchpulse.schema import (
     CODE,
     CUST_ONE_PRICE,
     DEAL_CUST_CNT,
     KEY,
-    MONEY,
     MONTH,
     REFUND_RATE,
     SALE_AMOUNT,
@@ -37,25 +38,34 @@ def code_slice(base: DataFrame, code: str, p: Periods, year_earlier: bool = Fals
     return base.where((F.col(CODE) == code) & F.col(MONTH).between(lo, hi)).select(KEY, MONTH, "value")
 
 
-def sales_total(base: DataFrame, p: Periods, year_earlier: bool = False) -> DataFrame:
-    """Per merchant: exact sales total ``total`` and month-value count ``n``
-    (A1, A2)."""
-    return (
-        code_slice(base, SALE_AMOUNT, p, year_earlier)
-        .groupBy(KEY)
-        .agg(exact_sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
-    )
+def is_code(code: str, months) -> Column:
+    """Rows of one code in some months."""
+    return (F.col(CODE) == code) & F.col(MONTH).isin(list(months))
+
+
+def month_sums(code: str, months, prefix: str) -> list[Column]:
+    """Aggregates: the code's sum in each month (null without a value)."""
+    return [F.sum(F.when(is_code(code, [m]), F.col("value"))).alias(f"{prefix}_{i}") for i, m in enumerate(months)]
+
+
+def total_of(prefix: str, n: int) -> Column:
+    return add_in_order([F.col(f"{prefix}_{i}") for i in range(n)])
+
+
+def count_of(code: str, months) -> Column:
+    return F.count(F.when(is_code(code, months), F.lit(1)))
 
 
 def _defined(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col(name).isNotNull())
 
 
-def avg_sale_amount(base: DataFrame, p: Periods, totals: DataFrame | None = None) -> DataFrame:
+def avg_sale_amount(base: DataFrame, p: Periods) -> DataFrame:
     """Q1: total sales / n, where n is the window length even when months
     are missing."""
-    totals = totals if totals is not None else sales_total(base, p)
-    return totals.select(KEY, (as_double(F.col("total")) / F.lit(float(p.n))).alias("avg_sale_amount"))
+    sums = base.where(is_code(SALE_AMOUNT, p.months)).groupBy(KEY).agg(*month_sums(SALE_AMOUNT, p.months, "sale"))
+    out = sums.select(KEY, finite(total_of("sale", p.n) / F.lit(float(p.n))).alias("avg_sale_amount"))
+    return _defined(out, "avg_sale_amount")
 
 
 def avg_deal_cnt(base: DataFrame, p: Periods) -> DataFrame:
@@ -68,65 +78,42 @@ def avg_deal_cnt(base: DataFrame, p: Periods) -> DataFrame:
     )
 
 
-def monthly_sum(df: DataFrame, name: str) -> DataFrame:
-    """Exact sum per (merchant, month)."""
-    return df.groupBy(KEY, MONTH).agg(exact_sum("value").alias(name))
-
-
-def refund_rate(base: DataFrame, p: Periods, totals: DataFrame | None = None) -> DataFrame:
-    """Q3: sum(r(m) * 0.01 * a(m)) / sum(a) * 100.
+def refund_rate_of(p: Periods, refund: str = "refund", sale: str = "sale") -> Column:
+    """Q3 from month sums: sum(r(m) * a(m)) * 0.01 / sum(a) * 100.
 
-    A refund month without sales counts 0 (left join, J2); the merchant
-    needs at least one refund month and a non-zero sales total (P8, J3).
-    Several values in one month multiply out: per month the pair sum is
-    sum(r) * sum(a), computed on per-month totals so nothing fans out.
+    A refund month without sales counts 0 (J2); several values in one month
+    multiply out, so the month's pair sum is sum(r) * sum(a).
     """
-    totals = totals if totals is not None else sales_total(base, p)
-    sales_m = monthly_sum(code_slice(base, SALE_AMOUNT, p), "sa")
-    refund_m = monthly_sum(code_slice(base, REFUND_RATE, p), "sr")
-    amount = (
-        refund_m.join(sales_m, [KEY, MONTH], "left")
-        .select(KEY, (F.col("sr") * F.coalesce(F.col("sa"), F.lit(0).cast(MONEY))).cast(MONEY).alias("ra"))
-        .groupBy(KEY)
-        .agg(F.sum("ra").cast(MONEY).alias("ra"))
-    )
-    return (
-        amount.join(totals, KEY, "inner")
-        .where(F.col("total") != 0)
-        .select(
-            KEY,
-            (as_double(F.col("ra")) * F.lit(0.01) / as_double(F.col("total")) * F.lit(100.0)).alias("refund_rate"),
-        )
-    )
+    pairs = add_in_order([F.col(f"{refund}_{i}") * F.col(f"{sale}_{i}") for i in range(p.n)])
+    return finite(safe_div(pairs * F.lit(0.01), total_of(sale, p.n)) * F.lit(100.0))
 
 
-def cv_stats(df: DataFrame) -> DataFrame:
-    """Per merchant: count, exact sum and exact sum of squares."""
-    v = money("value")
-    return df.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(v).cast(MONEY).alias("s1"),
-        F.sum((v * v).cast(MONEY)).cast(MONEY).alias("s2"),
+def refund_rate(base: DataFrame, p: Periods) -> DataFrame:
+    """Q3: needs a refund month and a sales total other than zero."""
+    sums = (
+        base.where(is_code(SALE_AMOUNT, p.months) | is_code(REFUND_RATE, p.months)).groupBy(KEY)
+        .agg(count_of(SALE_AMOUNT, p.months).alias("sale_n"), count_of(REFUND_RATE, p.months).alias("refund_n"),
+             *month_sums(SALE_AMOUNT, p.months, "sale"), *month_sums(REFUND_RATE, p.months, "refund"))
     )
+    out = sums.where("sale_n > 0 and refund_n > 0").select(KEY, refund_rate_of(p).alias("refund_rate"))
+    return _defined(out, "refund_rate")
 
 
-def cv_from_stats(n, s1, s2):
-    """Sample standard deviation / mean * 100, from exact sums.
+def cv_aggregates(value: Column, prefix: str) -> list[Column]:
+    """Aggregates: count, mean and sample standard deviation of a double."""
+    return [F.count(value).alias(f"{prefix}_n"), F.avg(value).alias(f"{prefix}_mean"), F.stddev_samp(value).alias(f"{prefix}_sd")]
 
-    The variance numerator ``n * s2 - s1^2`` is exact, so there is no
-    cancellation; null for fewer than two values (P9) or a zero mean.
-    """
-    nd = n.cast("double")
-    num = (n.cast("decimal(20,0)") * s2 - s1 * s1).cast(MONEY)
-    var = as_double(num) / (nd * (nd - F.lit(1.0)))
-    mean = as_double(s1) / nd
-    return F.when(n >= 2, safe_div(F.sqrt(var), mean) * F.lit(100.0))
+
+def cv_of(prefix: str) -> Column:
+    """Sample standard deviation / mean * 100; null for fewer than two values
+    (P9) or a zero mean."""
+    return F.when(F.col(f"{prefix}_n") >= 2, finite(safe_div(F.col(f"{prefix}_sd"), F.col(f"{prefix}_mean")) * F.lit(100.0)))
 
 
 def coefficient_of_variation(df: DataFrame, name: str) -> DataFrame:
     """Q4/Q5 over any ``(key, month, value)`` slice."""
-    st = cv_stats(df)
-    return _defined(st.select(KEY, cv_from_stats(F.col("n"), F.col("s1"), F.col("s2")).alias(name)), name)
+    stats = df.groupBy(KEY).agg(*cv_aggregates(F.col("value"), "v"))
+    return _defined(stats.select(KEY, cv_of("v").alias(name)), name)
 
 
 def sale_amount_cv(base: DataFrame, p: Periods) -> DataFrame:
@@ -137,33 +124,41 @@ def cust_price_cv(base: DataFrame, p: Periods) -> DataFrame:
     return coefficient_of_variation(code_slice(base, CUST_ONE_PRICE, p), "cust_price_cv")
 
 
-def top_share(base: DataFrame, p: Periods, code: str, name: str, totals: DataFrame | None = None) -> DataFrame:
+def share_of(top: str, p: Periods, sale: str = "sale") -> Column:
+    return finite(safe_div(total_of(top, p.n), total_of(sale, p.n)) * F.lit(100.0))
+
+
+def top_share(base: DataFrame, p: Periods, code: str, name: str) -> DataFrame:
     """Q6/Q7: sum of the pre-computed top-N revenue / total sales * 100,
     for merchants with sales (J5)."""
-    totals = totals if totals is not None else sales_total(base, p)
-    top = code_slice(base, code, p).groupBy(KEY).agg(exact_sum("value").alias("top"))
-    out = top.join(totals, KEY, "inner").select(
-        KEY, (safe_div(as_double(F.col("top")), as_double(F.col("total"))) * F.lit(100.0)).alias(name)
+    sums = (
+        base.where(is_code(SALE_AMOUNT, p.months) | is_code(code, p.months)).groupBy(KEY)
+        .agg(count_of(SALE_AMOUNT, p.months).alias("sale_n"), count_of(code, p.months).alias("top_n"),
+             *month_sums(SALE_AMOUNT, p.months, "sale"), *month_sums(code, p.months, "top"))
     )
-    return _defined(out, name)
+    return _defined(sums.where("sale_n > 0 and top_n > 0").select(KEY, share_of("top", p).alias(name)), name)
+
+
+def top3_goods_share(base: DataFrame, p: Periods) -> DataFrame:
+    return top_share(base, p, TOP3_GOODS_REVENUE, "top3_goods_share")
 
 
-def top3_goods_share(base: DataFrame, p: Periods, totals: DataFrame | None = None) -> DataFrame:
-    return top_share(base, p, TOP3_GOODS_REVENUE, "top3_goods_share", totals)
+def top10_cust_share(base: DataFrame, p: Periods) -> DataFrame:
+    return top_share(base, p, TOP10_CUST_REVENUE, "top10_cust_share")
 
 
-def top10_cust_share(base: DataFrame, p: Periods, totals: DataFrame | None = None) -> DataFrame:
-    return top_share(base, p, TOP10_CUST_REVENUE, "top10_cust_share", totals)
+def yoy_of(p: Periods) -> Column:
+    mean = total_of("sale", p.n) / F.col("sale_n").cast("double")
+    ye_mean = total_of("ye", p.n) / F.col("ye_n").cast("double")
+    return finite(safe_div(mean, ye_mean) * F.lit(100.0))
 
 
-def yoy_growth_rate(base: DataFrame, p: Periods, totals: DataFrame | None = None) -> DataFrame:
+def yoy_growth_rate(base: DataFrame, p: Periods) -> DataFrame:
     """Q8: mean monthly sales / mean monthly sales a year earlier * 100,
     each mean over the months present (J6)."""
-    totals = totals if totals is not None else sales_total(base, p)
-    ye = sales_total(base, p, year_earlier=True).select(
-        KEY, F.col("total").alias("ye_total"), F.col("n").alias("ye_n")
+    sums = (
+        base.where(is_code(SALE_AMOUNT, [*p.months, *p.ye_months])).groupBy(KEY)
+        .agg(count_of(SALE_AMOUNT, p.months).alias("sale_n"), count_of(SALE_AMOUNT, p.ye_months).alias("ye_n"),
+             *month_sums(SALE_AMOUNT, p.months, "sale"), *month_sums(SALE_AMOUNT, p.ye_months, "ye"))
     )
-    mean = as_double(F.col("total")) / F.col("n").cast("double")
-    ye_mean = as_double(F.col("ye_total")) / F.col("ye_n").cast("double")
-    out = totals.join(ye, KEY, "inner").select(KEY, (safe_div(mean, ye_mean) * F.lit(100.0)).alias("yoy_growth_rate"))
-    return _defined(out, "yoy_growth_rate")
+    return _defined(sums.where("sale_n > 0 and ye_n > 0").select(KEY, yoy_of(p).alias("yoy_growth_rate")), "yoy_growth_rate")

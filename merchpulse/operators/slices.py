@@ -96,10 +96,17 @@ def distinct_values(parsed: DataFrame) -> DataFrame:
 
 def base_values(metrics: DataFrame, p: Periods, on_bad: str = "fail") -> DataFrame:
     """Scan, filter, parse and de-duplicate once; every quota reads this."""
-    parsed = parse_rows(windowed_rows(metrics, p), on_bad=on_bad)
-    if isinstance(parsed, tuple):
-        parsed = parsed[0]
-    return distinct_values(parsed)
+    return base_and_rejects(metrics, p, on_bad)[0]
+
+
+def base_and_rejects(metrics: DataFrame, p: Periods, on_bad: str = "fail", share=None) -> tuple[DataFrame, DataFrame | None]:
+    """The base values and, with ``quarantine``, the rejected rows.  ``share``
+    computes the window's rows once for both."""
+    rows = windowed_rows(metrics, p)
+    if on_bad != "quarantine":
+        return distinct_values(parse_rows(rows, on_bad=on_bad)), None
+    good, bad = parse_rows(share(rows) if share else rows, on_bad=on_bad)
+    return distinct_values(good), bad
 
 
 def metric_slice(

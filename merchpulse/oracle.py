@@ -1,9 +1,8 @@
 """Reference SQL (DuckDB dialect) for the registered queries.
 
 Each entry computes, from the raw test tables, what the matching Spark
-query returns.  They share the adapter as a CTE; quota SQL follows the
-same exact-decimal recipe as the Spark operators (sum as decimal, divide
-as double, round the double's shortest text half-up).
+query returns.  They share the adapter as a CTE; quota SQL adds doubles in
+month order and rounds a double's shortest text half-up.
 """
 
 from __future__ import annotations
@@ -14,11 +13,9 @@ AS_OF = "2000-07-15"
 P = periods(AS_OF)
 ONE_MERCHANT = "7"
 
-DEC = "DECIMAL(38,6)"
-
-
-def _money(e: str) -> str:
-    return f"CAST({e} AS {DEC})"
+def _sum(e: str) -> str:
+    """Sum of a double by month order (the tables have one value a month)."""
+    return f"list_reduce(list({e} ORDER BY m), lambda x, y: x + y)"
 
 
 def _dbl(e: str) -> str:
@@ -108,27 +105,23 @@ base AS (
     AND (target_time BETWEEN '{P.start}' AND '{P.end}'
          OR (metric_dim_code = 'M_SALE_AMOUNT' AND target_time BETWEEN '{P.ye_start}' AND '{P.ye_end}'))),
 w AS (SELECT * FROM base WHERE {_W}),
-sales AS (SELECT k, SUM({_money('v')}) AS total, COUNT(*) AS n FROM w WHERE c = 'M_SALE_AMOUNT' GROUP BY k),
-ye AS (SELECT k, SUM({_money('v')}) AS total, COUNT(*) AS n FROM base WHERE c = 'M_SALE_AMOUNT' AND {_YE} GROUP BY k),
+sales AS (SELECT k, {_sum('v')} AS total, COUNT(*) AS n FROM w WHERE c = 'M_SALE_AMOUNT' GROUP BY k),
+ye AS (SELECT k, {_sum('v')} AS total, COUNT(*) AS n FROM base WHERE c = 'M_SALE_AMOUNT' AND {_YE} GROUP BY k),
 q1 AS (SELECT k, CAST(total AS DOUBLE) / CAST({P.n} AS DOUBLE) AS avg_sale_amount FROM sales),
 q2 AS (SELECT k, CAST(SUM(CAST(v AS BIGINT)) // {P.n} AS BIGINT) AS avg_deal_cnt
        FROM w WHERE c = 'M_DEAL_CUST_CNT' GROUP BY k),
-sm AS (SELECT k, m, SUM({_money('v')}) AS sa FROM w WHERE c = 'M_SALE_AMOUNT' GROUP BY k, m),
-rm AS (SELECT k, m, SUM({_money('v')}) AS sr FROM w WHERE c = 'M_REFUND_RATE' GROUP BY k, m),
-ra AS (SELECT rm.k, SUM({_money('rm.sr * COALESCE(sm.sa, 0)')}) AS ra
-       FROM rm LEFT JOIN sm ON rm.k = sm.k AND rm.m = sm.m GROUP BY rm.k),
-q3 AS (SELECT ra.k, CAST(ra.ra AS DOUBLE) * CAST(0.01 AS DOUBLE) / CAST(sales.total AS DOUBLE)
-              * CAST(100 AS DOUBLE) AS refund_rate
+sm AS (SELECT k, m, v AS sa FROM w WHERE c = 'M_SALE_AMOUNT'),
+rm AS (SELECT k, m, v AS sr FROM w WHERE c = 'M_REFUND_RATE'),
+rs AS (SELECT rm.k, rm.m, rm.sr * COALESCE(sm.sa, CAST(0 AS DOUBLE)) AS x
+       FROM rm LEFT JOIN sm ON rm.k = sm.k AND rm.m = sm.m),
+ra AS (SELECT k, {_sum('x')} AS ra FROM rs GROUP BY k),
+q3 AS (SELECT ra.k, ra.ra * CAST(0.01 AS DOUBLE) / sales.total * CAST(100 AS DOUBLE) AS refund_rate
        FROM ra JOIN sales ON ra.k = sales.k WHERE sales.total <> 0),
-cvs AS (SELECT k, c, COUNT(*) AS n, SUM({_money('v')}) AS s1, SUM({_money(_money('v') + ' * ' + _money('v'))}) AS s2
-        FROM w WHERE c IN ('M_SALE_AMOUNT', 'M_CUST_ONE_PRICE') GROUP BY k, c),
-cv AS (SELECT k, c,
-         sqrt(CAST({_money('n * s2 - s1 * s1')} AS DOUBLE) / (CAST(n AS DOUBLE) * (CAST(n AS DOUBLE) - 1.0)))
-         / (CAST(s1 AS DOUBLE) / CAST(n AS DOUBLE)) * CAST(100 AS DOUBLE) AS cv
-       FROM cvs WHERE n >= 2 AND s1 <> 0),
+cv AS (SELECT k, c, stddev_samp(v) / avg(v) * CAST(100 AS DOUBLE) AS cv
+       FROM w WHERE c IN ('M_SALE_AMOUNT', 'M_CUST_ONE_PRICE') GROUP BY k, c HAVING count(*) >= 2 AND avg(v) <> 0),
 q4 AS (SELECT k, cv AS sale_amount_cv FROM cv WHERE c = 'M_SALE_AMOUNT'),
 q5 AS (SELECT k, cv AS cust_price_cv FROM cv WHERE c = 'M_CUST_ONE_PRICE'),
-tops AS (SELECT k, c, SUM({_money('v')}) AS top FROM w
+tops AS (SELECT k, c, {_sum('v')} AS top FROM w
          WHERE c IN ('M_TOP3_GOODS_REVENUE', 'M_TOP10_CUST_REVENUE') GROUP BY k, c),
 topq AS (SELECT tops.k, tops.c, CAST(top AS DOUBLE) / CAST(total AS DOUBLE) * CAST(100 AS DOUBLE) AS share
          FROM tops JOIN sales ON tops.k = sales.k WHERE sales.total <> 0),
@@ -250,7 +243,7 @@ def _json_sql(named: bool) -> str:
         name = f'"quotaName":"{QUOTA_NAMES[q]}",' if named else ""
         items.append(
             f"'{{\"indexFlag\":\"2\",{name}\"quotaCode\":\"{q}\",\"targetTime\":\"{month}\",\"quotaValue\":' || "
-            f"COALESCE(CAST(CAST({q} AS DOUBLE) AS VARCHAR), 'null') || '}}'"
+            f"COALESCE(CAST({q} AS VARCHAR), 'null') || '}}'"
         )
     body = " || ',' || ".join(items)
     return _q(

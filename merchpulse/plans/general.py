@@ -18,17 +18,16 @@ from merchpulse.schema import KEY
 
 
 def quota_frames(base: DataFrame, p: Periods) -> dict[str, DataFrame]:
-    totals = quotas.sales_total(base, p)
     g = growth.growth_per_merchant(growth.growth_month_stats(base, p))
     return {
-        "avg_sale_amount": quotas.avg_sale_amount(base, p, totals),
+        "avg_sale_amount": quotas.avg_sale_amount(base, p),
         "avg_deal_cnt": quotas.avg_deal_cnt(base, p),
-        "refund_rate": quotas.refund_rate(base, p, totals),
+        "refund_rate": quotas.refund_rate(base, p),
         "sale_amount_cv": quotas.sale_amount_cv(base, p),
         "cust_price_cv": quotas.cust_price_cv(base, p),
-        "top3_goods_share": quotas.top3_goods_share(base, p, totals),
-        "top10_cust_share": quotas.top10_cust_share(base, p, totals),
-        "yoy_growth_rate": quotas.yoy_growth_rate(base, p, totals),
+        "top3_goods_share": quotas.top3_goods_share(base, p),
+        "top10_cust_share": quotas.top10_cust_share(base, p),
+        "yoy_growth_rate": quotas.yoy_growth_rate(base, p),
         "growth_multiple": g.select(KEY, "growth_multiple"),
         "increase_month_num": g.select(KEY, "increase_month_num"),
     }

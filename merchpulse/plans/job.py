@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchpulse.operators.scoring import final_scores, score_quotas
-from merchpulse.operators.slices import base_values, parse_rows, windowed_rows
+from merchpulse.operators.slices import base_and_rejects, base_values
 from merchpulse.plans import general, single_pass
-from merchpulse.plans.periods import periods
+from merchpulse.plans.periods import Periods, periods
 from merchpulse.schema import KEY, WEIGHTS, WINDOW_MONTHS
 from merchpulse.session import cut_lineage
 
@@ -59,7 +59,11 @@ def compute_quotas(metrics: DataFrame, as_of, strategy: str = "hybrid", n: int =
     ``none``).
     """
     p = periods(as_of, n)
-    base = base_values(metrics, p, on_bad=on_bad)
+    return quotas_of(base_values(metrics, p, on_bad=on_bad), p, strategy, materialize_base)
+
+
+def quotas_of(base: DataFrame, p: Periods, strategy: str = "hybrid", materialize_base: str | None = None) -> DataFrame:
+    """Q12 over base values by the chosen plan."""
     if strategy == "hybrid":
         return single_pass.all_quotas_hybrid(materialize(base, materialize_base or "none"), p)
     if strategy == "general":
@@ -78,11 +82,10 @@ def score_all(metrics: DataFrame, as_of, bands="as_published", weights: dict = W
     the general plan's base) when this is called; scoring after them is a
     lazy projection.
     """
-    quotas = compute_quotas(metrics, as_of, strategy, n, on_bad, materialize_base)
+    p = periods(as_of, n)
+    base, rejects = base_and_rejects(metrics, p, on_bad, share=cut_lineage)
+    quotas = quotas_of(base, p, strategy, materialize_base)
     scores = score_quotas(quotas, bands)
-    rejects = None
-    if on_bad == "quarantine":
-        rejects = parse_rows(windowed_rows(metrics, periods(as_of, n)), on_bad="quarantine")[1]
     return ScoreRun(quotas, scores, final_scores(scores, weights), rejects)
 
 
@@ -94,7 +97,8 @@ def score_one(metrics: DataFrame, uuid: str, as_of, **kw) -> ScoreRun:
 
 def run_and_write(metrics: DataFrame, as_of, base_path: str, uuid: str | None = None,
                   single_file: bool = False, **kw) -> ScoreRun:
-    """Compute and write the three outputs as tab-separated text (K1, K4).
+    """Compute and write the three outputs, and the rejected rows of a
+    quarantine run, as tab-separated text (K1, K4).
 
     The quota table is checkpointed once, so the three writes do not
     recompute it.
@@ -109,4 +113,6 @@ def run_and_write(metrics: DataFrame, as_of, base_path: str, uuid: str | None =
     write_rows(quotas, paths["quotas"], single_file=single_file)
     write_rows(scores, paths["quotaScores"], single_file=single_file)
     write_rows(final, paths["finalScores"], single_file=single_file)
-    return ScoreRun(quotas, scores, final)
+    if run.rejects is not None:
+        write_rows(run.rejects, paths["rejects"], single_file=single_file)
+    return ScoreRun(quotas, scores, final, run.rejects)

@@ -19,18 +19,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchpulse.functions.numeric import as_double, money, safe_div
+from merchpulse.functions.numeric import finite
 from merchpulse.operators.merge import round_quotas
-from merchpulse.operators.quotas import cv_from_stats
+from merchpulse.operators.quotas import (
+    count_of,
+    cv_aggregates,
+    cv_of,
+    is_code,
+    month_sums,
+    refund_rate_of,
+    share_of,
+    total_of,
+    yoy_of,
+)
 from merchpulse.plans.periods import Periods
 from merchpulse.schema import (
-    CODE,
     CUST_ONE_PRICE,
     DEAL_CUST_CNT,
     GROWTH_THRESHOLD,
     KEY,
-    MONEY,
-    MONTH,
     QUOTAS,
     REFUND_RATE,
     SALE_AMOUNT,
@@ -39,62 +46,41 @@ from merchpulse.schema import (
 )
 
 
-def _is(code: str, lo: str, hi: str):
-    return (F.col(CODE) == code) & F.col(MONTH).between(lo, hi)
-
-
 def merchant_fold(base: DataFrame, p: Periods) -> DataFrame:
-    v = money("value")
-    w = (p.start, p.end)
-    aggs = []
-
-    def stats(prefix, cond, squares=False):
-        aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"{prefix}_n"))
-        aggs.append(F.sum(F.when(cond, v)).cast(MONEY).alias(f"{prefix}_s"))
-        if squares:
-            aggs.append(F.sum(F.when(cond, (v * v).cast(MONEY))).cast(MONEY).alias(f"{prefix}_s2"))
-
-    stats("sale", _is(SALE_AMOUNT, *w), squares=True)
-    stats("ye", _is(SALE_AMOUNT, p.ye_start, p.ye_end))
-    stats("price", _is(CUST_ONE_PRICE, *w), squares=True)
-    stats("refund", _is(REFUND_RATE, *w))
-    stats("top3", _is(TOP3_GOODS_REVENUE, *w))
-    stats("top10", _is(TOP10_CUST_REVENUE, *w))
-    deals = _is(DEAL_CUST_CNT, *w)
-    aggs.append(F.count(F.when(deals, F.lit(1))).alias("deal_n"))
-    aggs.append(F.sum(F.when(deals, F.col("value").cast("bigint"))).alias("deal_s"))
+    aggs = [
+        count_of(REFUND_RATE, p.months).alias("refund_n"),
+        count_of(TOP3_GOODS_REVENUE, p.months).alias("top3_n"),
+        count_of(TOP10_CUST_REVENUE, p.months).alias("top10_n"),
+        count_of(SALE_AMOUNT, p.ye_months).alias("ye_n"),
+        count_of(DEAL_CUST_CNT, p.months).alias("deal_n"),
+        F.sum(F.when(is_code(DEAL_CUST_CNT, p.months), F.col("value").cast("bigint"))).alias("deal_s"),
+        *cv_aggregates(F.when(is_code(SALE_AMOUNT, p.months), F.col("value")), "sale"),
+        *cv_aggregates(F.when(is_code(CUST_ONE_PRICE, p.months), F.col("value")), "price"),
+        *month_sums(SALE_AMOUNT, p.months, "sale"),
+        *month_sums(SALE_AMOUNT, p.ye_months, "ye"),
+        *month_sums(REFUND_RATE, p.months, "refund"),
+        *month_sums(TOP3_GOODS_REVENUE, p.months, "top3"),
+        *month_sums(TOP10_CUST_REVENUE, p.months, "top10"),
+    ]
     for i, m in enumerate(p.months):
-        sale_m = (F.col(CODE) == SALE_AMOUNT) & (F.col(MONTH) == m)
-        refund_m = (F.col(CODE) == REFUND_RATE) & (F.col(MONTH) == m)
+        sale_m = is_code(SALE_AMOUNT, [m])
         aggs.append(F.count(F.when(sale_m, F.lit(1))).alias(f"n_{i}"))
-        aggs.append(F.sum(F.when(sale_m, v)).cast(MONEY).alias(f"sa_{i}"))
         aggs.append(F.max(F.when(sale_m, F.col("value"))).alias(f"a_{i}"))
-        aggs.append(F.sum(F.when(refund_m, v)).cast(MONEY).alias(f"sr_{i}"))
     return base.groupBy(KEY).agg(*aggs)
 
 
 def quotas_from_fold(fold: DataFrame, p: Periods, threshold: float = GROWTH_THRESHOLD) -> DataFrame:
     n = p.n
     has_sales = F.col("sale_n") > 0
-    total = as_double(F.col("sale_s"))
     q = {}
-    q["avg_sale_amount"] = F.when(has_sales, total / F.lit(float(n)))
+    q["avg_sale_amount"] = F.when(has_sales, finite(total_of("sale", n) / F.lit(float(n))))
     q["avg_deal_cnt"] = F.when(F.col("deal_n") > 0, F.expr(f"deal_s div {int(n)}"))
-    ra = None
-    for i in range(n):
-        term = (F.coalesce(F.col(f"sr_{i}"), F.lit(0).cast(MONEY)) * F.coalesce(F.col(f"sa_{i}"), F.lit(0).cast(MONEY))).cast(MONEY)
-        ra = term if ra is None else (ra + term).cast(MONEY)
-    q["refund_rate"] = F.when(
-        has_sales & (F.col("refund_n") > 0) & (F.col("sale_s") != 0),
-        as_double(ra) * F.lit(0.01) / total * F.lit(100.0),
-    )
-    q["sale_amount_cv"] = cv_from_stats(F.col("sale_n"), F.col("sale_s"), F.col("sale_s2"))
-    q["cust_price_cv"] = cv_from_stats(F.col("price_n"), F.col("price_s"), F.col("price_s2"))
+    q["refund_rate"] = F.when(has_sales & (F.col("refund_n") > 0), refund_rate_of(p))
+    q["sale_amount_cv"] = cv_of("sale")
+    q["cust_price_cv"] = cv_of("price")
     for name, pre in (("top3_goods_share", "top3"), ("top10_cust_share", "top10")):
-        q[name] = F.when(has_sales & (F.col(f"{pre}_n") > 0), safe_div(as_double(F.col(f"{pre}_s")), total) * F.lit(100.0))
-    mean = total / F.col("sale_n").cast("double")
-    ye_mean = as_double(F.col("ye_s")) / F.col("ye_n").cast("double")
-    q["yoy_growth_rate"] = F.when(has_sales & (F.col("ye_n") > 0), safe_div(mean, ye_mean) * F.lit(100.0))
+        q[name] = F.when(has_sales & (F.col(f"{pre}_n") > 0), share_of(pre, p))
+    q["yoy_growth_rate"] = F.when(has_sales & (F.col("ye_n") > 0), yoy_of(p))
     pairs = ratio = up = None
     conflict = None
     for i in range(1, n):
@@ -110,7 +96,7 @@ def quotas_from_fold(fold: DataFrame, p: Periods, threshold: float = GROWTH_THRE
     for i in range(n):
         c = F.col(f"n_{i}") > 1
         conflict = c if conflict is None else conflict | c
-    q["growth_multiple"] = F.when(pairs > 0, ratio / pairs.cast("double") * F.lit(100.0))
+    q["growth_multiple"] = F.when(pairs > 0, finite(ratio / pairs.cast("double") * F.lit(100.0)))
     q["increase_month_num"] = F.when(pairs > 0, up.cast("int"))
     cols = [F.col(KEY)] + [q[name].alias(name) for name in QUOTAS]
     return fold.select(*cols, conflict.alias("_conflict"))
@@ -148,8 +134,8 @@ def all_quotas_hybrid(base: DataFrame, p: Periods) -> DataFrame:
     the growth operator's jobs run only when needed.  The merchant list is
     a semi-join's small side, which AQE broadcasts only if its measured
     size allows.  ``base`` is read once, by the fold; only when some
-    merchant has conflicting months are that merchant's rows read again
-    and checkpointed for the growth operator (which samples its input).
+    merchant has conflicting months are that merchant's window sales read
+    again and checkpointed for the growth operator (which samples its input).
     """
     from merchpulse.operators.growth import growth_month_stats, growth_per_merchant
     from merchpulse.session import cut_lineage
@@ -159,7 +145,7 @@ def all_quotas_hybrid(base: DataFrame, p: Periods) -> DataFrame:
     if conflicted.isEmpty():
         out = fold_q.select(KEY, *QUOTAS)
     else:
-        subset = cut_lineage(base.join(conflicted, KEY, "left_semi"))
+        subset = cut_lineage(base.where(is_code(SALE_AMOUNT, p.months)).join(conflicted, KEY, "left_semi"))
         g = growth_per_merchant(growth_month_stats(subset, p)).select(
             KEY, F.col("growth_multiple").alias("g_multiple"), F.col("increase_month_num").alias("g_up")
         )

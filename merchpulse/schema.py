@@ -143,8 +143,5 @@ QUOTA_NAMES = {
     "increase_month_num": "months of growth",
 }
 
-# Exact money type for sums; values are converted to double only after
-# summing so results do not depend on shuffle order.
-MONEY = T.DecimalType(38, 6)
 WINDOW_MONTHS = 6
 GROWTH_THRESHOLD = 1.1

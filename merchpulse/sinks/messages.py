@@ -91,13 +91,13 @@ def quota_json(quotas: DataFrame, as_of, item_name: str = DEFAULT_ITEM, flag: st
         fields += [
             F.lit(codes[q]).alias("quotaCode"),
             F.lit(month).alias("targetTime"),
-            F.col(q).cast("double").alias("quotaValue"),
+            F.col(q).alias("quotaValue"),  # an integer quota prints as an integer
         ]
-        return F.struct(*fields)
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
-    envelope = F.struct(
-        F.lit(item_name).alias("quotaItemName"),
-        F.col(KEY).alias("propertyUuid"),
-        F.array(*[item(q) for q in QUOTAS]).alias("quotaItemList"),
+    # items differ in type, so the list is joined as text
+    head = F.to_json(F.struct(F.lit(item_name).alias("quotaItemName"), F.col(KEY).alias("propertyUuid")), {"ignoreNullFields": "false"})
+    envelope = F.concat(
+        F.expr("substring({0}, 1, length({0}) - 1)".format("head")), F.lit(',"quotaItemList":['), F.concat_ws(",", *[item(q) for q in QUOTAS]), F.lit("]}")
     )
-    return quotas.select(F.col(KEY), F.to_json(envelope, {"ignoreNullFields": "false"}).alias("json"))
+    return quotas.withColumn("head", head).select(F.col(KEY), envelope.alias("json"))

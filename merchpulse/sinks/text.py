@@ -8,8 +8,6 @@ and escapes, the row text is raw.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +39,9 @@ def write_rows(df: DataFrame, path: str, sep: str = "\t", single_file: bool = Fa
 
 def output_paths(base: str, as_of, uuid: str | None = None) -> dict[str, str]:
     """K4: ``<base>/{online/yyyyMM/dd/<uuid> | offline/yyyyMM/dd}/<name>``."""
-    d = _as_date(as_of) if as_of is not None else dt.date.today()
+    if as_of is None:
+        raise ValueError("output paths need the reference date")
+    d = _as_date(as_of)
     day = f"{d.year:04d}{d.month:02d}/{d.day:02d}"
     root = f"{base.rstrip('/')}/online/{day}/{uuid}" if uuid is not None else f"{base.rstrip('/')}/offline/{day}"
-    return {name: f"{root}/{name}" for name in ("quotas", "quotaScores", "finalScores")}
+    return {name: f"{root}/{name}" for name in ("quotas", "quotaScores", "finalScores", "rejects")}

@@ -12,7 +12,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file with its lines joined by newline and no
-    trailing newline, columns ``path`` and ``value``."""
+    """One row per file with its lines joined by newline (LF, CRLF
+    or CR in the file) and no newline after the last, columns ``path`` and ``value``."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.input_file_name().alias("path"), F.regexp_replace("value", r"\n$", "").alias("value"))
+    lines = F.regexp_replace("value", r"\r\n|\r", "\n")
+    return df.select(F.input_file_name().alias("path"), F.regexp_replace(lines, r"\n\z", "").alias("value"))

@@ -38,7 +38,7 @@ def score_batch(requests: DataFrame, metrics: DataFrame, as_of, item_name: str =
     """
     keys = requests.select(KEY).distinct()
     run = score_all(metrics.join(keys, KEY, "left_semi"), as_of, **kw)
-    return run.final, quota_json(run.quotas, as_of, item_name=item_name)
+    return run.final, quota_json(run.quotas, as_of, item_name=item_name), run.rejects
 
 
 def score_requests(
@@ -55,10 +55,12 @@ def score_requests(
     """Start the stream.  ``checkpoint_location`` must be on shared storage."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        final, messages = score_batch(batch, metrics, as_of, item_name=item_name, **kw)
+        final, messages, rejects = score_batch(batch, metrics, as_of, item_name=item_name, **kw)
         target = f"{out_path.rstrip('/')}/batch_id={batch_id}"
         final.write.mode("overwrite").parquet(f"{target}/final")
         messages.write.mode("overwrite").parquet(f"{target}/messages")
+        if rejects is not None:
+            rejects.write.mode("overwrite").parquet(f"{target}/rejects")
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     if available_now:
