@@ -184,51 +184,72 @@ def _judge(table: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix array of numbers, in the order of their first ``depth`` at least
-    (prefix doubling)."""
-    n = len(text)
-    rank = np.zeros(n + 2 * depth + 1, np.int64)
-    rank[:n] = np.unique(text, return_inverse=True)[1] + 1
-    h = 1
+#: Symbols (9 bits each) that one number holds.
+PACK = 7
+BREAK = 257  # after each run; bytes are symbols 1 to 256
+
+
+def packed_symbols(text: np.ndarray, pad: int) -> np.ndarray:
+    """The next PACK symbols from each place on, as one number; ``pad`` more
+    places behind the end."""
+    longer = np.concatenate([text, np.zeros(pad + PACK, np.int64)])
+    out = np.zeros(len(text) + pad, np.int64)
+    for j in range(PACK):
+        out = out << 9 | longer[j : j + len(out)]
+    return out
+
+
+def suffix_order(packed: np.ndarray, n: int, depth: int) -> np.ndarray:
+    """Suffix array of ``n`` symbols, in the order of their first ``depth`` at
+    least, by prefix doubling from packed symbols on."""
+    rank, key, h = np.zeros(len(packed), np.int64), packed[:n], PACK
     while True:
-        key = rank[:n] * (n + 2) + rank[h : h + n]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        key = key[order]
         step = np.ones(n, np.int64)
-        step[1:] = key[order][1:] != key[order][:-1]
+        step[1:] = key[1:] != key[:-1]
         rank[order] = np.cumsum(step)
-        h *= 2
-        if step.all() or h >= depth:
+        if h >= depth or step.all():
             return order
+        key = rank[:n] * (n + 2) + rank[h : h + n]
+        h *= 2
+
+
+def previous_smaller(keys: np.ndarray) -> np.ndarray:
+    """For each place, the nearest one before it with a smaller key, or -1.
+    Whatever lies between a place and its pointer is not smaller, so a pointer
+    to a place that is not smaller either moves on to where that one points."""
+    to = np.arange(len(keys)) - 1
+    open_ = np.arange(len(keys))
+    while True:
+        open_ = open_[to[open_] >= 0]
+        open_ = open_[keys[to[open_]] >= keys[open_]]
+        if not len(open_):
+            return to
+        to[open_] = to[to[open_]]
 
 
-def previous_factors(text: np.ndarray, order: np.ndarray, before: np.ndarray, cap: int) -> np.ndarray:
+def previous_factors(packed: np.ndarray, order: np.ndarray, before: np.ndarray, cap: int) -> np.ndarray:
     """For each place, the longest match (up to ``cap``) that starts at a
     place of smaller ``before``: with the previous and the next suffix in
     suffix order of smaller ``before``, as nothing in between is longer."""
-    n = len(text)
-    padded = np.concatenate([text, np.arange(-1, -cap - 1, -1)])
+    n = len(order)
     keys = before[order]
     longest = np.zeros(n, np.int64)
-    for sign in (1, -1):
-        smaller = np.full(n, -1)
-        stack: list[int] = []
-        for i in range(n) if sign == 1 else range(n - 1, -1, -1):
-            while stack and keys[stack[-1]] >= keys[i]:
-                stack.pop()
-            if stack:
-                smaller[i] = stack[-1]
-            stack.append(i)
+    after = n - 1 - previous_smaller(keys[::-1])[::-1]
+    for smaller in (previous_smaller(keys), np.where(after < n, after, -1)):
         here = np.flatnonzero(smaller >= 0)
         a, b = order[here], order[smaller[here]]
-        size = np.zeros(len(here), np.int64)
-        going = np.arange(len(here))
-        for _ in range(cap):
-            going = going[padded[np.minimum(a[going] + size[going], n + cap - 1)] == padded[np.minimum(b[going] + size[going], n + cap - 1)]]
-            if not len(going):
-                break
-            size[going] += 1
-        longest[a] = np.maximum(longest[a], size)
+        size, going = np.zeros(len(here), np.int64), np.arange(len(here))
+        while len(going):  # whole packs, then the equal symbols of the next one
+            x = packed[a[going] + size[going]] ^ packed[b[going] + size[going]]
+            last = going[x != 0]
+            top = np.frexp(x[x != 0].astype(np.float64))[1]  # bits up to the highest that differs
+            size[last] += (9 * PACK - top) // 9
+            going = going[x == 0]
+            size[going] += PACK
+            going = going[size[going] < cap]
+        longest[a] = np.maximum(longest[a], np.minimum(size, cap))
     return longest
 
 
@@ -244,11 +265,14 @@ def _factors(length: int):
         share = (np.cumsum(sizes) // SLICE)[np.searchsorted(anchor_no, anchor_no)]
         out = []
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(share)) + 1):
-            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64), 256 + i) for i, r in enumerate(rows)])
+            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in rows])
+            packed = packed_symbols(text, 2 * length + PACK)
             first = np.cumsum(sizes[rows]) - sizes[rows]
             owner = np.repeat(np.arange(len(rows)), sizes[rows])
             before = np.unique(docs[rows], return_inverse=True)[1][owner]
-            hit = np.flatnonzero(previous_factors(text, suffix_order(text, length), before, length) >= length)
+            longest = previous_factors(packed, suffix_order(packed, len(text), length), before, length)
+            inside = np.repeat(first + sizes[rows] - 1, sizes[rows]) - np.arange(len(text)) >= length  # not over a break
+            hit = np.flatnonzero((longest >= length) & inside)
             if len(hit):
                 fresh = np.ones(len(hit), bool)
                 fresh[1:] = (np.diff(hit) > 1) | (owner[hit][1:] != owner[hit][:-1])
