@@ -11,11 +11,13 @@ that last followed the hashed context, with a confidence.  A symbol says which
 order predicted the id, or the size class of its frequency rank (order 0), the
 rank's other bits follow.  The symbol's probability mixes three adaptive
 counts: over all (order 0), by the confidence of order 1, and by that of order
-2; a confident context has seen more and so weighs more.  All arithmetic is on
-integers, so every machine decodes the same.  The blocks of a chunk are coded
-side by side with NumPy, a step for all blocks at a time.
+2; a confident context has seen more and so weighs more.  The mix takes in new
+counts after 16, 32, 64, 128 and then every further 128 ids of a block, and is
+scaled to 2^16.  All arithmetic is on integers, so every machine decodes the
+same.  The blocks of a chunk are coded side by side with NumPy, a step for all
+blocks at a time.
 
-Chunk: b"MPID", counts of different ids, ids and blocks, the table, and for
+Chunk: b"MPI2", counts of different ids, ids and blocks, the table, and for
 each block its ids, bytes and CRC-32 (of its ids, little-endian unsigned
 32-bit); then the blocks' bytes.  A wrong checksum raises an error.
 
@@ -26,6 +28,7 @@ at; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -37,51 +40,157 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchpulse.llm.tables import rows_with_key, ship_package, written
+from merchpulse.llm.tables import rows_with_key, ship_package, text_slices, written
+from merchpulse.llm.textbytes import prefix_sums, span_hash
 
 BLOCK = 2048
 CHUNK_IDS = 4 << 20
 END_ID = 0
 #: Text bytes behind one partition of the id order.
 PART_BYTES = 32 << 20
-#: Pieces whose ids a worker remembers.
-MEMORY = 400_000
+#: Pieces whose ids a worker remembers, and the most ids of them.
+MEMORY, MEMORY_IDS = 1_500_000, 8 << 20
+#: New pieces that one call of the tokenizer gets.
+TOGETHER = 512
+#: Text bytes encoded at a time (a longer text stands alone).
+SLICE_BYTES = 4 << 20
 
 SYMBOLS = 19  # order 2, order 1, and ranks of 0 to 16 further bits
 C1, C2 = 1024, 2048
+#: A mix's cumulative counts end at TOTAL and take up ROW places.
+TOTAL_BITS, ROW = 16, 32
+TOTAL = 1 << TOTAL_BITS
+#: Ids between two mixes of a block, once it has this many.
+MIX_EVERY = 128
 #: The coder works on 48 bits and puts out words of 16.
 MASK, WORD = (1 << 48) - 1, 1 << 32
 
 CHUNKS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<int>, chunk binary"
 
-#: Pieces that the tokenizer's own splitting never joins: a run of other
-#: characters with one blank before it, or white space up to that blank.
-_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PIECES = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+#: White space beyond ASCII; a text that has it is encoded whole.
+_RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_IS_WHITE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _tokenizers: dict = {}
 
 
+def cut_pieces(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Starts of pieces that a byte-level tokenizer never joins, of texts that
+    lie in ``buf`` from ``starts`` on and have ASCII white space only: a run of
+    other characters with one blank before it, or white space up to that
+    blank."""
+    white = _IS_WHITE[buf]
+    first = np.zeros(len(buf) + 1, bool)
+    first[starts] = True
+    cut = first[:-1].copy()
+    cut[1:] |= white[1:] & ~white[:-1]
+    cut[:-1] |= white[:-1] & ~white[1:] & ~first[1:-1]  # the last of a run, before a word
+    cut[1:] |= ~white[1:] & white[:-1] & (buf[:-1] != 32)
+    return np.flatnonzero(cut)
+
+
+def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``begins``, one after the other."""
+    after = np.cumsum(sizes)
+    return np.repeat(begins - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0)
+
+
 class PieceEncoder:
-    """The tokenizer with a memory of pieces."""
+    """The tokenizer with a memory of pieces, by 64-bit hash.
+
+    A byte-level tokenizer's ids spell the text's bytes, so what the memory
+    gave is checked against the text; where it doesn't spell the text (two
+    pieces of one hash), the texts are encoded whole.  So are all texts of
+    other kinds of tokenizers.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
-        self.memory: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [_PIECES.findall(t) for t in texts]
-        memory = self.memory
-        new = list({p for x in pieces for p in x if p not in memory})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memory[p] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([memory[p] for p in x]) for x in pieces]
-        if len(memory) > MEMORY:
-            memory.clear()
-        return out
+        kind = json.loads(self.tokenizer.to_str())
+        cut = kind["pre_tokenizer"] or {}
+        self.bytewise = kind["normalizer"] is None and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+        if self.bytewise:
+            # a byte that is no visible Latin-1 character is written as one above U+0100
+            seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+            letter = {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(seen)))}
+            spelled = [b""] * self.tokenizer.get_vocab_size()
+            for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                spelled[i] = bytes(letter[c] for c in token)
+            self.length = np.array([len(x) for x in spelled])
+            self.at = np.cumsum(self.length) - self.length
+            self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.begin, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Remember new pieces: words many at a time, with line feeds between
+        them, and white space each for itself."""
+        is_word = np.array([p[-1] not in b" \t\n\v\f\r" for p in pieces])
+        order = np.argsort(~is_word, kind="stable")
+        words, blanks = [pieces[i] for i in order[: is_word.sum()]], [pieces[i] for i in order[is_word.sum() :]]
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)] + [[p] for p in blanks]
+        found = self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)
+        begins, sizes, all_ids, total = [], [], [self.ids], len(self.ids)
+        for group, e in zip(groups, found):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(p) + 1 for p in group])
+            first = np.cumsum(self.length[ids]) - self.length[ids]
+            a = np.searchsorted(first, np.append(0, ends[:-1]))
+            begins.append(total + a)
+            sizes.append(np.searchsorted(first, ends - 1) - a)
+            all_ids.append(ids)
+            total += len(ids)
+        hashes = np.append(self.hashes, hashes[order])
+        at = np.argsort(hashes, kind="stable")
+        self.hashes, self.ids = hashes[at], np.concatenate(all_ids)
+        self.begin, self.size = np.concatenate([self.begin, *begins])[at], np.concatenate([self.size, *sizes])[at]
+
+    def whole(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def by_pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        joined = b"".join(texts)
+        buf = np.frombuffer(joined, np.uint8)
+        bounds = np.cumsum([0] + [len(t) for t in texts])
+        if not len(buf):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        starts = cut_pieces(buf, bounds[:-1])
+        ends = np.append(starts[1:], len(buf))
+        hashes, at, which = np.unique(span_hash(prefix_sums(buf), starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > MEMORY or len(self.ids) > MEMORY_IDS:
+            self.forget()
+        new = np.flatnonzero(~np.isin(hashes, self.hashes, assume_unique=True))
+        if len(new):
+            self.learn(hashes[new], [joined[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
+        place = np.searchsorted(self.hashes, hashes)[which]
+        size = self.size[place]
+        ids = self.ids[_runs(self.begin[place], size)]
+        if not np.array_equal(self.spelled[_runs(self.at[ids], self.length[ids])], buf):
+            parts = self.whole(texts)
+            return np.concatenate(parts), np.array([len(p) for p in parts])
+        return ids, np.diff(np.append(0, np.cumsum(size))[np.searchsorted(starts, bounds)])
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, and how many each has."""
+        apart = [i for i, t in enumerate(texts) if not self.bytewise or not t.isascii() and _RARE.search(t.decode())]
+        skip = set(apart)
+        ids, sizes = self.by_pieces([b"" if i in skip else t for i, t in enumerate(texts)])
+        if apart:
+            parts = np.split(ids, np.cumsum(sizes)[:-1])
+            for i, part in zip(apart, self.whole([texts[i] for i in apart])):
+                parts[i] = part
+            ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        ends = np.cumsum(sizes + 1) - 1
+        out = np.full(len(ids) + len(texts), end_id, "<u4")
+        body = np.ones(len(out), bool)
+        body[ends] = False
+        out[body] = ids
+        return out, sizes + 1
 
 
 def piece_encoder(path: str) -> PieceEncoder:
@@ -91,64 +200,83 @@ def piece_encoder(path: str) -> PieceEncoder:
 
 
 class Model:
-    """The adaptive state of many blocks, each for itself."""
+    """The adaptive state of many blocks, each for itself.
+
+    A slot holds the id that last followed a context, times 4, and the
+    confidence in it; ``table`` holds each mix's cumulative counts.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.last1 = np.zeros(lanes, np.int64)
-        self.last2 = np.zeros(lanes, np.int64)
-        self.next1, self.next2 = np.full(lanes * C1, -1, np.int32), np.full(lanes * C2, -1, np.int32)
-        self.sure1, self.sure2 = np.zeros(lanes * C1, np.int8), np.zeros(lanes * C2, np.int8)
-        self.counts0 = np.ones((lanes, SYMBOLS), np.int32)
-        self.counts1 = np.ones((lanes * 4, SYMBOLS), np.int32)
-        self.counts2 = np.ones((lanes * 4, SYMBOLS), np.int32)
+        self.lanes, self.steps = lanes, 0
+        self.base1, self.base2, self.row, self.base = (np.arange(lanes) * n for n in (C1, C2, 16 * ROW, 4 * ROW))
+        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.slots1, self.slots2 = np.full(lanes * C1, -4, np.int32), np.full(lanes * C2, -4, np.int32)
+        self.counts0 = np.ones((lanes, SYMBOLS), np.uint32)
+        self.counts1, self.counts2 = np.ones((lanes, 4, SYMBOLS), np.uint32), np.ones((lanes, 4, SYMBOLS), np.uint32)
+        self.seen1, self.seen2 = [], []
+        mixes = np.full((lanes, 4, 4, ROW), TOTAL, np.int32)
+        mixes[..., 0] = 0
+        self.table, self.mixes = mixes.reshape(-1), mixes
+        self.mix()
+
+    def mix(self) -> None:
+        """Take in the symbols since the last mix."""
+        if self.seen1:
+            new1, new2 = (
+                np.bincount(np.concatenate(s), minlength=self.lanes * 4 * ROW).reshape(self.lanes, 4, ROW)[..., :SYMBOLS].astype(np.uint32)
+                for s in (self.seen1, self.seen2)
+            )
+            self.counts0 += 2 * new1.sum(axis=1, dtype=np.uint32)
+            self.counts1 += 6 * new1
+            self.counts2 += 12 * new2
+            self.seen1, self.seen2 = [], []
+        c = (self.counts0[:, None] + self.counts1)[:, :, None] + self.counts2[:, None]
+        np.cumsum(c, axis=3, out=c)
+        # every symbol keeps a share of one: TOTAL - SYMBOLS is dealt by counts
+        c *= np.uint32((TOTAL - SYMBOLS) << 16) // c[..., -1:]
+        c >>= np.uint32(16)
+        c += np.arange(1, SYMBOLS + 1, dtype=np.uint32)
+        self.mixes[..., 1:SYMBOLS] = c[..., :-1]
 
     def narrow(self, n: int) -> None:
         """Go on with the first ``n`` blocks (blocks are sorted by length)."""
-        self.lane, self.last1, self.last2 = self.lane[:n], self.last1[:n], self.last2[:n]
+        if n < len(self.row):
+            self.base1, self.base2, self.row, self.base = self.base1[:n], self.base2[:n], self.row[:n], self.base[:n]
+            self.last1, self.last2 = self.last1[:n], self.last2[:n]
 
     def predict(self):
-        """Predicted ids of both orders and the symbols' cumulative counts."""
-        lane = self.lane
-        self.at1 = lane * C1 + ((self.last1 * 0x9E3779B1) >> 12 & (C1 - 1))
-        self.at2 = lane * C2 + ((self.last1 * 0x85EBCA6B + self.last2 * 0xC2B2AE35) >> 11 & (C2 - 1))
-        self.row1, self.row2 = lane * 4 + self.sure1[self.at1], lane * 4 + self.sure2[self.at2]
-        mixed = self.counts1[self.row1]
-        mixed += self.counts2[self.row2]
-        mixed += self.counts0[: len(lane)]
-        return self.next1[self.at1], self.next2[self.at2], np.cumsum(mixed, axis=1)
+        """Predicted ids of both orders and the place of the mix to use."""
+        self.at1 = self.base1 + (self.last1 * 0x9E3779B1 >> 12 & (C1 - 1))
+        self.at2 = self.base2 + (self.last1 * 0x85EBCA6B + self.last2 * 0xC2B2AE35 >> 11 & (C2 - 1))
+        self.slot1, self.slot2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
+        self.sure1, self.sure2 = self.slot1 & 3, self.slot2 & 3
+        return self.slot1 >> 2, self.slot2 >> 2, self.row + (self.sure1 * (4 * ROW) + self.sure2 * ROW)
 
     def update(self, ids, symbol, p1, p2) -> None:
-        lane = self.lane
-        self.counts0[lane, symbol] += 2
-        self.counts1[self.row1, symbol] += 6
-        self.counts2[self.row2, symbol] += 12
-        for table, sure, at, p in ((self.next1, self.sure1, self.at1, p1), (self.next2, self.sure2, self.at2, p2)):
-            hit = p == ids
-            table[at] = ids
-            sure[at] = np.where(hit, np.minimum(sure[at] + 1, 3), np.where(p < 0, 1, 0))
+        self.seen1.append(self.base + (self.sure1 * ROW + symbol))
+        self.seen2.append(self.base + (self.sure2 * ROW + symbol))
+        for slots, at, slot, sure, p in ((self.slots1, self.at1, self.slot1, self.sure1, p1), (self.slots2, self.at2, self.slot2, self.sure2, p2)):
+            slots[at] = (ids << 2) + np.where(p == ids, np.minimum(sure + 1, 3), slot < 0)
         self.last2, self.last1 = self.last1, ids.astype(np.int64)
+        self.steps += 1
+        if self.steps % MIX_EVERY == 0 or self.steps in (16, 32, 64):
+            self.mix()
 
 
 def _shift(low, rng, n, act) -> None:
-    """While a block's highest word is settled it goes out.  A range that got
-    small across a border of words is cut at the border, which settles it."""
-    open_ = np.arange(n)
-    while True:
+    """While a block's range is small its highest word goes out.  A range
+    across a border of words is cut at the border, which settles the word."""
+    open_ = np.flatnonzero(rng[:n] < WORD)
+    while len(open_):
         at, size = low[open_], rng[open_]
-        settled = (at ^ (at + size)) >> 32 == 0
-        small = ~settled & (size < WORD)
-        go = settled | small
-        if not go.any():
-            return
-        size = np.where(small, -at & (WORD - 1), size)[go]
-        open_ = open_[go]
-        act(open_)
-        low[open_] = at[go] << 16 & MASK
-        rng[open_] = size << 16
-
-
-_bits = np.zeros(1 << 17, np.int64)
+        size = np.where((at ^ (at + size)) < WORD, size, -at & (WORD - 1)) << 16
+        act(open_, at >> 32)
+        low[open_] = at << 16 & MASK
+        rng[open_] = size
+        open_ = open_[size < WORD]
+
+
+_bits = np.zeros(1 << 17, np.int32)
 _bits[1:] = np.floor(np.log2(np.arange(1, 1 << 17)))
 
 
@@ -157,81 +285,90 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     lanes, steps = ranks.shape
     model = Model(lanes)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, MASK, np.int64)
-    words, at = np.zeros((lanes, steps * 3 + 8), ">u2"), np.zeros(lanes, np.int64)
+    width = steps * 3 + 8
+    words, at = np.zeros(lanes * width, ">u2"), np.arange(lanes) * width
 
-    def put(who):
-        words[who, at[who]] = low[who] >> 32
+    def put(who, word):
+        words[at[who]] = word
         at[who] += 1
 
+    columns = np.ascontiguousarray(ranks.T)
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t, side="left"))
         model.narrow(n)
-        ids = ranks[:n, t]
-        p1, p2, cumulative = model.predict()
-        size = _bits[ids + 1]
+        ids = columns[t, :n]
+        p1, p2, row = model.predict()
+        size = _bits.take(ids + 1)
         symbol = np.where(p2 == ids, 0, np.where(p1 == ids, 1, size + 2))
-        direct = symbol >= 2
-        above = cumulative[model.lane, symbol]
-        below = np.where(symbol > 0, cumulative[model.lane, symbol - 1], 0)
-        unit = rng[:n] // cumulative[:, -1]
-        part = unit * (above - below) >> np.where(direct, size, 0)
-        low[:n] += unit * below + part * np.where(direct, ids + 1 - (1 << size), 0)
+        size = np.where(symbol >= 2, size, 0)
+        rest = np.where(symbol >= 2, ids + 1 - (1 << size), 0)
+        place = row + symbol
+        below = model.table.take(place)
+        unit = rng[:n] >> TOTAL_BITS
+        part = unit * (model.table.take(place + 1) - below) >> size
+        low[:n] += unit * below + part * rest
         rng[:n] = part
         _shift(low, rng, n, put)
         model.update(ids, symbol, p1, p2)
     for _ in range(3):
-        put(np.arange(lanes))
+        put(np.arange(lanes), low >> 32)
         low = low << 16 & MASK
-    return [words[i, : at[i]].tobytes() for i in range(lanes)]
+    return [words[i * width : at[i]].tobytes() for i in range(lanes)]
 
 
 def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
     lanes, steps = len(coded), int(sizes.max(initial=0))
     model = Model(lanes)
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, MASK, np.int64)
-    longest = max(map(len, coded), default=0) // 2 + 8
-    words = np.zeros((lanes, longest), np.int64)
+    width = max(map(len, coded), default=0) // 2 + 8
+    words = np.zeros((lanes, width), np.uint16)
     for i, b in enumerate(coded):
         words[i, : len(b) // 2] = np.frombuffer(b, ">u2")
-    code = words[:, 0] << 32 | words[:, 1] << 16 | words[:, 2]
-    at = np.full(lanes, 3)
-    out = np.zeros((lanes, steps), np.int32)
+    words, at = words.reshape(-1), np.arange(lanes) * width
+    # what is read, less the range's begin
+    value = np.zeros(lanes, np.int64)
 
-    def take(who):
-        code[who] = code[who] << 16 & MASK | words[who, np.minimum(at[who], longest - 1)]
+    def take(who, _):
+        value[who] = value[who] << 16 | words.take(at[who], mode="clip")
         at[who] += 1
 
+    for _ in range(3):
+        take(np.arange(lanes), None)
+    columns = np.zeros((steps, lanes), np.int32)
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t, side="left"))
         model.narrow(n)
-        p1, p2, cumulative = model.predict()
-        unit = rng[:n] // cumulative[:, -1]
-        value = code[:n] - low[:n]
-        symbol = (cumulative <= np.minimum(value // unit, cumulative[:, -1] - 1)[:, None]).sum(axis=1)
-        above = cumulative[model.lane, symbol]
-        below = np.where(symbol > 0, cumulative[model.lane, symbol - 1], 0)
-        direct = symbol >= 2
-        size = np.where(direct, symbol - 2, 0)
-        part = unit * (above - below) >> size
-        rest = np.where(direct, np.minimum((value - unit * below) // part, (1 << size) - 1), 0)
+        p1, p2, row = model.predict()
+        unit = rng[:n] >> TOTAL_BITS
+        target = np.minimum(value[:n] // unit, TOTAL - 1)
+        place = row
+        for half in (16, 8, 4, 2, 1):
+            place = place + half * (model.table.take(place + half) <= target)
+        symbol = place - row
+        below = model.table.take(place)
+        size = np.maximum(symbol - 2, 0)
+        part = unit * (model.table.take(place + 1) - below) >> size
+        inside = value[:n] - unit * below
+        rest = np.minimum(inside // part, (1 << size) - 1)
         ids = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (1 << size) + rest - 1)).astype(np.int32)
-        out[:n, t] = ids
+        columns[t, :n] = ids
         low[:n] += unit * below + part * rest
+        value[:n] = inside - part * rest
         rng[:n] = part
         _shift(low, rng, n, take)
         model.update(ids, symbol, p1, p2)
-    return out
+    return np.ascontiguousarray(columns.T)
 
 
 def write_chunk(ids: np.ndarray) -> bytes:
     """The binary form of some ids."""
-    table, rank, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    place = np.empty(len(order), np.int32)
-    place[order] = np.arange(len(order))
+    count = np.bincount(ids)
+    table = np.argsort(-count, kind="stable")[: np.count_nonzero(count)]
+    place = np.zeros(len(count), np.int32)
+    place[table] = np.arange(len(table))
     n = -(-len(ids) // BLOCK)
     ranks = np.zeros((n, min(BLOCK, max(len(ids), 1))), np.int32)
-    ranks.ravel()[: len(ids)] = place[rank]
+    ranks.ravel()[: len(ids)] = place[ids]
     sizes = np.full(n, BLOCK)
     if n:
         sizes[-1] = len(ids) - (n - 1) * BLOCK
@@ -239,12 +376,12 @@ def write_chunk(ids: np.ndarray) -> bytes:
     blocks = b"".join(
         struct.pack("<III", sizes[i], len(c), zlib.crc32(ids[i * BLOCK : i * BLOCK + sizes[i]].astype("<u4").tobytes())) for i, c in enumerate(coded)
     )
-    return b"MPID" + struct.pack("<IQI", len(table), len(ids), n) + table[order].astype("<u4").tobytes() + blocks + b"".join(coded)
+    return b"MPI2" + struct.pack("<IQI", len(table), len(ids), n) + table.astype("<u4").tobytes() + blocks + b"".join(coded)
 
 
 def read_chunk(data: bytes) -> np.ndarray:
     """The ids of a chunk; raises ValueError if it isn't what was written."""
-    if data[:4] != b"MPID":
+    if data[:4] != b"MPI2":
         raise ValueError("not a chunk of token ids")
     different, total, n = struct.unpack_from("<IQI", data, 4)
     table = np.frombuffer(data, "<u4", different, 20)
@@ -263,28 +400,29 @@ def _encode_part(path: str, end_id: int):
     """Chunks of whole documents, in the order of the partition's rows."""
     def encode(batches):
         encoder, part = piece_encoder(path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
-        seq, docs, lines, size = 0, [], [], 0
+        seq, docs, sizes, lines, size = 0, [], [], [], 0
 
         def chunk():
-            sizes = [len(x) // 4 for x in lines]
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([sum(sizes)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int32())), pa.array([write_chunk(np.frombuffer(b"".join(lines), "<u4"))], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
+                 pa.array([sizes], pa.list_(pa.int32())), pa.array([write_chunk(np.concatenate(lines))], pa.binary())],
                 names=["part", "seq", "n_ids", "doc_ids", "sizes", "chunk"],
             )
 
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a in range(0, len(ids), 256):
-                for doc, line in zip(ids[a : a + 256], encoder.encode([t or "" for t in texts[a : a + 256]])):
-                    if lines and size + len(line) // 4 + 1 > CHUNK_IDS:
-                        yield chunk()
-                        seq, docs, lines, size = seq + 1, [], [], 0
-                    docs.append(doc)
-                    lines.append(line + end)
-                    size += len(line) // 4 + 1
-        if lines:
+        for rows, texts in text_slices(batches, SLICE_BYTES):
+            ids, lengths = encoder.encode(texts, end_id)
+            begin = at = 0
+            for doc, length in zip(rows.column("doc_id").to_pylist(), lengths.tolist()):
+                if docs and size + length > CHUNK_IDS:
+                    lines.append(ids[begin:at])
+                    yield chunk()
+                    seq, docs, sizes, lines, size, begin = seq + 1, [], [], [], 0, at
+                docs.append(doc)
+                sizes.append(length)
+                size += length
+                at += length
+            lines.append(ids[begin:])
+        if docs:
             yield chunk()
 
     return encode

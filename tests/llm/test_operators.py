@@ -260,3 +260,21 @@ def test_damaged_chunk():
     data[-40] ^= 255
     with pytest.raises(ValueError):
         idcodec.read_chunk(bytes(data))
+
+
+def test_pieces_give_the_tokenizers_ids():
+    rng = np.random.default_rng(5)
+    bits = ["a", "b c", " ", "  ", "\n", "\t", "\xa0", "é", "日本", "'s", "don't", "23", "!!", "\r\n", "<|endoftext|>", "​", "\x85", "\x1c"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(500)]
+    encoder = idcodec.PieceEncoder(tokenizer_path())
+    for _ in range(2):  # new pieces, then remembered ones
+        ids, sizes = encoder.encode([t.encode() for t in texts], 0)
+        for t, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+            assert got.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0]
+
+
+def test_a_piece_under_a_wrong_hash_is_noticed():
+    encoder = idcodec.PieceEncoder(tokenizer_path())
+    want, _ = encoder.encode([b"one two three"], 0)
+    encoder.begin, encoder.size = encoder.begin[::-1].copy(), encoder.size[::-1].copy()
+    assert encoder.encode([b"one two three"], 0)[0].tolist() == want.tolist()
