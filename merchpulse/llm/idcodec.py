@@ -28,7 +28,6 @@ at; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import json
 import re
 import struct
 import zlib
@@ -53,7 +52,7 @@ MEMORY, MEMORY_IDS = 1_500_000, 8 << 20
 #: New pieces that one call of the tokenizer gets.
 TOGETHER = 512
 #: Text bytes encoded at a time (a longer text stands alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 SYMBOLS = 19  # order 2, order 1, and ranks of 0 to 16 further bits
 C1, C2 = 1024, 2048
@@ -62,8 +61,8 @@ TOTAL_BITS, ROW = 16, 32
 TOTAL = 1 << TOTAL_BITS
 #: Ids between two mixes of a block, once it has this many.
 MIX_EVERY = 128
-#: The coder works on 48 bits and puts out words of 16.
-MASK, WORD = (1 << 48) - 1, 1 << 32
+#: The coder works on 64 bits and puts out words of 32.
+MASK, WORD = (1 << 64) - 1, 1 << 32
 
 CHUNKS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<int>, chunk binary"
 
@@ -104,13 +103,12 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
-        kind = json.loads(self.tokenizer.to_str())
-        cut = kind["pre_tokenizer"] or {}
-        self.bytewise = kind["normalizer"] is None and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+        cut = self.tokenizer.pre_tokenizer
+        self.bytewise = self.tokenizer.normalizer is None and isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space
         if self.bytewise:
             # a byte that is no visible Latin-1 character is written as one above U+0100
             seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
@@ -164,7 +162,7 @@ class PieceEncoder:
         hashes, at, which = np.unique(span_hash(prefix_sums(buf), starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) > MEMORY or len(self.ids) > MEMORY_IDS:
             self.forget()
-        new = np.flatnonzero(~np.isin(hashes, self.hashes, assume_unique=True))
+        new = np.flatnonzero(np.append(self.hashes, np.uint64(0))[np.searchsorted(self.hashes, hashes)] != hashes)
         if len(new):
             self.learn(hashes[new], [joined[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
         place = np.searchsorted(self.hashes, hashes)[which]
@@ -214,7 +212,7 @@ class Model:
         self.counts0 = np.ones((lanes, SYMBOLS), np.uint32)
         self.counts1, self.counts2 = np.ones((lanes, 4, SYMBOLS), np.uint32), np.ones((lanes, 4, SYMBOLS), np.uint32)
         self.seen1, self.seen2 = [], []
-        mixes = np.full((lanes, 4, 4, ROW), TOTAL, np.int32)
+        mixes = np.full((lanes, 4, 4, ROW), TOTAL, np.uint32)
         mixes[..., 0] = 0
         self.table, self.mixes = mixes.reshape(-1), mixes
         self.mix()
@@ -264,19 +262,16 @@ class Model:
 
 
 def _shift(low, rng, n, act) -> None:
-    """While a block's range is small its highest word goes out.  A range
-    across a border of words is cut at the border, which settles the word."""
-    open_ = np.flatnonzero(rng[:n] < WORD)
-    while len(open_):
-        at, size = low[open_], rng[open_]
-        size = np.where((at ^ (at + size)) < WORD, size, -at & (WORD - 1)) << 16
-        act(open_, at >> 32)
-        low[open_] = at << 16 & MASK
-        rng[open_] = size
-        open_ = open_[size < WORD]
-
-
-_bits = np.zeros(1 << 17, np.int32)
+    """A block whose range is small puts its higher word out.  A range across
+    a border of words is cut at the border, which settles the word."""
+    who = np.flatnonzero(rng[:n] < WORD)
+    at, size = low[who], rng[who]
+    act(who, at >> 32)
+    low[who] = at << 32
+    rng[who] = np.where((at ^ (at + size)) < WORD, size, -at & (WORD - 1)) << 32
+
+
+_bits = np.zeros(1 << 17, np.uint32)
 _bits[1:] = np.floor(np.log2(np.arange(1, 1 << 17)))
 
 
@@ -284,13 +279,14 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """Code the rows of ``ranks``, of which ``sizes`` (falling) are used."""
     lanes, steps = ranks.shape
     model = Model(lanes)
-    low, rng = np.zeros(lanes, np.int64), np.full(lanes, MASK, np.int64)
-    width = steps * 3 + 8
-    words, at = np.zeros(lanes * width, ">u2"), np.arange(lanes) * width
+    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
+    width = steps + 2
+    words, at = np.zeros(lanes * width, ">u4"), np.arange(lanes) * width
 
     def put(who, word):
-        words[at[who]] = word
-        at[who] += 1
+        place = at[who]
+        words[place] = word
+        at[who] = place + 1
 
     columns = np.ascontiguousarray(ranks.T)
     for t in range(steps):
@@ -300,8 +296,9 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         p1, p2, row = model.predict()
         size = _bits.take(ids + 1)
         symbol = np.where(p2 == ids, 0, np.where(p1 == ids, 1, size + 2))
-        size = np.where(symbol >= 2, size, 0)
-        rest = np.where(symbol >= 2, ids + 1 - (1 << size), 0)
+        direct = symbol >= 2
+        size *= direct
+        rest = (ids.view(np.uint32) + 1 - (1 << size)) * direct
         place = row + symbol
         below = model.table.take(place)
         unit = rng[:n] >> TOTAL_BITS
@@ -310,29 +307,30 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         rng[:n] = part
         _shift(low, rng, n, put)
         model.update(ids, symbol, p1, p2)
-    for _ in range(3):
+    for _ in range(2):
         put(np.arange(lanes), low >> 32)
-        low = low << 16 & MASK
+        low = low << 32
     return [words[i * width : at[i]].tobytes() for i in range(lanes)]
 
 
 def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
     lanes, steps = len(coded), int(sizes.max(initial=0))
     model = Model(lanes)
-    low, rng = np.zeros(lanes, np.int64), np.full(lanes, MASK, np.int64)
-    width = max(map(len, coded), default=0) // 2 + 8
-    words = np.zeros((lanes, width), np.uint16)
+    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
+    width = max(map(len, coded), default=0) // 4 + 2
+    words = np.zeros((lanes, width), np.uint32)
     for i, b in enumerate(coded):
-        words[i, : len(b) // 2] = np.frombuffer(b, ">u2")
+        words[i, : len(b) // 4] = np.frombuffer(b, ">u4")
     words, at = words.reshape(-1), np.arange(lanes) * width
     # what is read, less the range's begin
-    value = np.zeros(lanes, np.int64)
+    value = np.zeros(lanes, np.uint64)
 
     def take(who, _):
-        value[who] = value[who] << 16 | words.take(at[who], mode="clip")
-        at[who] += 1
+        place = at[who]
+        value[who] = value[who] << 32 | words.take(place, mode="clip")
+        at[who] = place + 1
 
-    for _ in range(3):
+    for _ in range(2):
         take(np.arange(lanes), None)
     columns = np.zeros((steps, lanes), np.int32)
     for t in range(steps):
@@ -340,17 +338,18 @@ def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
         model.narrow(n)
         p1, p2, row = model.predict()
         unit = rng[:n] >> TOTAL_BITS
-        target = np.minimum(value[:n] // unit, TOTAL - 1)
+        target = np.minimum(value[:n] // unit, TOTAL - 1).astype(np.uint32)
         place = row
         for half in (16, 8, 4, 2, 1):
             place = place + half * (model.table.take(place + half) <= target)
         symbol = place - row
         below = model.table.take(place)
-        size = np.maximum(symbol - 2, 0)
+        size = np.maximum(symbol - 2, 0).astype(np.uint32)
         part = unit * (model.table.take(place + 1) - below) >> size
         inside = value[:n] - unit * below
-        rest = np.minimum(inside // part, (1 << size) - 1)
-        ids = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (1 << size) + rest - 1)).astype(np.int32)
+        most = (1 << size) - 1
+        rest = np.minimum(inside // part, most)
+        ids = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (most + rest).astype(np.int32)))
         columns[t, :n] = ids
         low[:n] += unit * below + part * rest
         value[:n] = inside - part * rest
