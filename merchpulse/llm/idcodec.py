@@ -42,7 +42,7 @@ from pyspark.sql.window import Window
 from merchpulse.llm.tables import rows_with_key, ship_package, text_slices, written
 from merchpulse.llm.textbytes import prefix_sums, span_hash
 
-BLOCK = 2048
+BLOCK = 1024
 CHUNK_IDS = 4 << 20
 END_ID = 0
 #: Text bytes behind one partition of the id order.
@@ -55,7 +55,7 @@ TOGETHER = 512
 SLICE_BYTES = 2 << 20
 
 SYMBOLS = 19  # order 2, order 1, and ranks of 0 to 16 further bits
-C1, C2 = 1024, 2048
+C1, C2 = 512, 1024
 #: A mix's cumulative counts end at TOTAL and take up ROW places.
 TOTAL_BITS, ROW = 16, 32
 TOTAL = 1 << TOTAL_BITS
@@ -261,14 +261,20 @@ class Model:
             self.mix()
 
 
-def _shift(low, rng, n, act) -> None:
+def _shift(low, rng) -> tuple[np.ndarray, np.ndarray]:
     """A block whose range is small puts its higher word out.  A range across
-    a border of words is cut at the border, which settles the word."""
-    who = np.flatnonzero(rng[:n] < WORD)
+    a border of words is cut at the border, which settles the word.  Gives the
+    blocks and their words."""
+    who = np.flatnonzero(rng < WORD)
     at, size = low[who], rng[who]
-    act(who, at >> 32)
     low[who] = at << 32
     rng[who] = np.where((at ^ (at + size)) < WORD, size, -at & (WORD - 1)) << 32
+    return who, at >> 32
+
+
+def _live(sizes: np.ndarray, steps: int) -> list[int]:
+    """Blocks that go on at each step, of falling ``sizes``."""
+    return np.searchsorted(-sizes, -np.arange(steps), side="left").tolist()
 
 
 _bits = np.zeros(1 << 17, np.uint32)
@@ -280,7 +286,7 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     lanes, steps = ranks.shape
     model = Model(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
-    width = steps + 2
+    lows, width = low, steps + 2
     words, at = np.zeros(lanes * width, ">u4"), np.arange(lanes) * width
 
     def put(who, word):
@@ -289,9 +295,10 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         at[who] = place + 1
 
     columns = np.ascontiguousarray(ranks.T)
-    for t in range(steps):
-        n = int(np.searchsorted(-sizes, -t, side="left"))
-        model.narrow(n)
+    for t, n in enumerate(_live(sizes, steps)):
+        if n < len(low):
+            model.narrow(n)
+            low, rng = low[:n], rng[:n]
         ids = columns[t, :n]
         p1, p2, row = model.predict()
         size = _bits.take(ids + 1)
@@ -301,15 +308,14 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         rest = (ids.view(np.uint32) + 1 - (1 << size)) * direct
         place = row + symbol
         below = model.table.take(place)
-        unit = rng[:n] >> TOTAL_BITS
-        part = unit * (model.table.take(place + 1) - below) >> size
-        low[:n] += unit * below + part * rest
-        rng[:n] = part
-        _shift(low, rng, n, put)
+        unit = rng >> TOTAL_BITS
+        rng = unit * (model.table.take(place + 1) - below) >> size
+        low += unit * below + rng * rest
+        put(*_shift(low, rng))
         model.update(ids, symbol, p1, p2)
     for _ in range(2):
-        put(np.arange(lanes), low >> 32)
-        low = low << 32
+        put(np.arange(lanes), lows >> 32)
+        lows = lows << 32
     return [words[i * width : at[i]].tobytes() for i in range(lanes)]
 
 
@@ -325,36 +331,38 @@ def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
     # what is read, less the range's begin
     value = np.zeros(lanes, np.uint64)
 
-    def take(who, _):
+    def take(value, who):
         place = at[who]
         value[who] = value[who] << 32 | words.take(place, mode="clip")
         at[who] = place + 1
 
     for _ in range(2):
-        take(np.arange(lanes), None)
+        take(value, np.arange(lanes))
     columns = np.zeros((steps, lanes), np.int32)
-    for t in range(steps):
-        n = int(np.searchsorted(-sizes, -t, side="left"))
-        model.narrow(n)
+    for t, n in enumerate(_live(sizes, steps)):
+        if n < len(low):
+            model.narrow(n)
+            low, rng, value = low[:n], rng[:n], value[:n]
         p1, p2, row = model.predict()
-        unit = rng[:n] >> TOTAL_BITS
-        target = np.minimum(value[:n] // unit, TOTAL - 1).astype(np.uint32)
+        unit = rng >> TOTAL_BITS
+        target = np.minimum(value // unit, TOTAL - 1).astype(np.uint32)
         place = row
         for half in (16, 8, 4, 2, 1):
             place = place + half * (model.table.take(place + half) <= target)
         symbol = place - row
         below = model.table.take(place)
         size = np.maximum(symbol - 2, 0).astype(np.uint32)
-        part = unit * (model.table.take(place + 1) - below) >> size
-        inside = value[:n] - unit * below
+        rng = unit * (model.table.take(place + 1) - below) >> size
+        before = unit * below
+        value = value - before
         most = (1 << size) - 1
-        rest = np.minimum(inside // part, most)
+        rest = np.minimum(value // rng, most)
         ids = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (most + rest).astype(np.int32)))
         columns[t, :n] = ids
-        low[:n] += unit * below + part * rest
-        value[:n] = inside - part * rest
-        rng[:n] = part
-        _shift(low, rng, n, take)
+        inside = rng * rest
+        low += before + inside
+        value -= inside
+        take(value, _shift(low, rng)[0])
         model.update(ids, symbol, p1, p2)
     return np.ascontiguousarray(columns.T)
 
