@@ -7,14 +7,56 @@ month order and rounds a double's shortest text half-up.
 
 from __future__ import annotations
 
-from merchpulse.plans.periods import periods
+from types import SimpleNamespace
 
+# Fixed values, stated here again so that a wrong table in the package differs.
 AS_OF = "2000-07-15"
-P = periods(AS_OF)
+P = SimpleNamespace(
+    start="200001", end="200006", ye_start="199901", ye_end="199906", n=6,
+    months=("200001", "200002", "200003", "200004", "200005", "200006"),
+)
 ONE_MERCHANT = "7"
+QUOTA_NAMES = {
+    "avg_sale_amount": "mean monthly sales",
+    "avg_deal_cnt": "mean monthly deals",
+    "refund_rate": "refund rate",
+    "sale_amount_cv": "sales coefficient of variation",
+    "cust_price_cv": "unit price coefficient of variation",
+    "top3_goods_share": "top-3 goods share",
+    "top10_cust_share": "top-10 customer share",
+    "yoy_growth_rate": "year-on-year growth",
+    "growth_multiple": "month-on-month growth multiple",
+    "increase_month_num": "months of growth",
+}
+QUOTAS = tuple(QUOTA_NAMES)
+BANDS = {
+    "avg_sale_amount": ((5000, 10000, 15000, 20000, 25000), (1, 3, 5, 6, 8, 10)),
+    "avg_deal_cnt": ((750, 1500, 2500, 3000, 4000), (6, 8, 10, 1, 3, 5)),
+    "refund_rate": ((5, 7, 10, 20, 35), (10, 8, 6, 5, 3, 1)),
+    "sale_amount_cv": ((40, 60, 90), (10, 7, 4, 1)),
+    "cust_price_cv": ((20, 40, 70), (10, 7, 4, 1)),
+    "top3_goods_share": ((20, 40, 70), (10, 7, 4, 1)),
+    "top10_cust_share": ((20, 50, 90), (10, 7, 4, 1)),
+    "yoy_growth_rate": ((70, 160, 230), (1, 4, 7, 10)),
+    "growth_multiple": ((50, 80, 120, 150), (2, 4, 6, 8, 10)),
+    "increase_month_num": ((0, 1, 2, 3, 4, 5), (0, 2, 4, 6, 8), 10),
+}
+WEIGHTS = {
+    "avg_sale_amount": 0.25,
+    "avg_deal_cnt": 0.1,
+    "refund_rate": 0.1,
+    "sale_amount_cv": 0.05,
+    "cust_price_cv": 0.1,
+    "top3_goods_share": 0.1,
+    "top10_cust_share": 0.1,
+    "yoy_growth_rate": 0.05,
+    "growth_multiple": 0.075,
+    "increase_month_num": 0.075,
+}
+
 
 def _sum(e: str) -> str:
-    """Sum of a double by month order (the tables have one value a month)."""
+    """Sum of a double by month order."""
     return f"list_reduce(list({e} ORDER BY m), lambda x, y: x + y)"
 
 
@@ -105,13 +147,14 @@ base AS (
     AND (target_time BETWEEN '{P.start}' AND '{P.end}'
          OR (metric_dim_code = 'M_SALE_AMOUNT' AND target_time BETWEEN '{P.ye_start}' AND '{P.ye_end}'))),
 w AS (SELECT * FROM base WHERE {_W}),
-sales AS (SELECT k, {_sum('v')} AS total, COUNT(*) AS n FROM w WHERE c = 'M_SALE_AMOUNT' GROUP BY k),
-ye AS (SELECT k, {_sum('v')} AS total, COUNT(*) AS n FROM base WHERE c = 'M_SALE_AMOUNT' AND {_YE} GROUP BY k),
+cm AS (SELECT k, m, c, SUM(v) AS v, COUNT(*) AS n FROM base GROUP BY k, m, c),
+sales AS (SELECT k, {_sum('v')} AS total, SUM(n) AS n FROM cm WHERE c = 'M_SALE_AMOUNT' AND {_W} GROUP BY k),
+ye AS (SELECT k, {_sum('v')} AS total, SUM(n) AS n FROM cm WHERE c = 'M_SALE_AMOUNT' AND {_YE} GROUP BY k),
 q1 AS (SELECT k, CAST(total AS DOUBLE) / CAST({P.n} AS DOUBLE) AS avg_sale_amount FROM sales),
 q2 AS (SELECT k, CAST(SUM(CAST(v AS BIGINT)) // {P.n} AS BIGINT) AS avg_deal_cnt
        FROM w WHERE c = 'M_DEAL_CUST_CNT' GROUP BY k),
-sm AS (SELECT k, m, v AS sa FROM w WHERE c = 'M_SALE_AMOUNT'),
-rm AS (SELECT k, m, v AS sr FROM w WHERE c = 'M_REFUND_RATE'),
+sm AS (SELECT k, m, v AS sa FROM cm WHERE c = 'M_SALE_AMOUNT' AND {_W}),
+rm AS (SELECT k, m, v AS sr FROM cm WHERE c = 'M_REFUND_RATE' AND {_W}),
 rs AS (SELECT rm.k, rm.m, rm.sr * COALESCE(sm.sa, CAST(0 AS DOUBLE)) AS x
        FROM rm LEFT JOIN sm ON rm.k = sm.k AND rm.m = sm.m),
 ra AS (SELECT k, {_sum('x')} AS ra FROM rs GROUP BY k),
@@ -121,8 +164,8 @@ cv AS (SELECT k, c, stddev_samp(v) / avg(v) * CAST(100 AS DOUBLE) AS cv
        FROM w WHERE c IN ('M_SALE_AMOUNT', 'M_CUST_ONE_PRICE') GROUP BY k, c HAVING count(*) >= 2 AND avg(v) <> 0),
 q4 AS (SELECT k, cv AS sale_amount_cv FROM cv WHERE c = 'M_SALE_AMOUNT'),
 q5 AS (SELECT k, cv AS cust_price_cv FROM cv WHERE c = 'M_CUST_ONE_PRICE'),
-tops AS (SELECT k, c, {_sum('v')} AS top FROM w
-         WHERE c IN ('M_TOP3_GOODS_REVENUE', 'M_TOP10_CUST_REVENUE') GROUP BY k, c),
+tops AS (SELECT k, c, {_sum('v')} AS top FROM cm
+         WHERE {_W} AND c IN ('M_TOP3_GOODS_REVENUE', 'M_TOP10_CUST_REVENUE') GROUP BY k, c),
 topq AS (SELECT tops.k, tops.c, CAST(top AS DOUBLE) / CAST(total AS DOUBLE) * CAST(100 AS DOUBLE) AS share
          FROM tops JOIN sales ON tops.k = sales.k WHERE sales.total <> 0),
 q6 AS (SELECT k, share AS top3_goods_share FROM topq WHERE c = 'M_TOP3_GOODS_REVENUE'),
@@ -180,15 +223,11 @@ def _score_sql(col: str, band) -> str:
 
 
 def _scores_cte() -> str:
-    from merchpulse.schema import BANDS_AS_PUBLISHED, QUOTAS
-
-    cols = ",\n    ".join(f"{_score_sql(q, BANDS_AS_PUBLISHED[q])} AS s_{q}" for q in QUOTAS)
+    cols = ",\n    ".join(f"{_score_sql(q, BANDS[q])} AS s_{q}" for q in QUOTAS)
     return f"scores AS (SELECT property_uuid,\n    {cols}\n  FROM quotas)"
 
 
 def _final_cte() -> str:
-    from merchpulse.schema import QUOTAS, WEIGHTS
-
     num = " + ".join(
         f"(CASE WHEN s_{q} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(s_{q} AS DOUBLE) * CAST({WEIGHTS[q]!r} AS DOUBLE) END)"
         for q in QUOTAS
@@ -203,6 +242,52 @@ def _final_cte() -> str:
     )
 
 
+_PARSED = ("CASE metric_dim_code WHEN 'M_DEAL_CUST_CNT' THEN CAST(TRY_CAST(metric_value AS INTEGER) AS DOUBLE) "
+           "WHEN 'M_REFUND_RATE' THEN TRY_CAST(replace(metric_value, '%', '') AS DOUBLE) "
+           "ELSE TRY_CAST(metric_value AS DOUBLE) END")
+
+
+def _p5(units: str) -> str:
+    return f"CAST(CAST(CAST({units} AS DECIMAL(18,0)) * CAST(0.00001 AS DECIMAL(5,5)) AS DECIMAL(18,5)) AS VARCHAR)"
+
+
+def _uneven_ctes(conflicts: bool = True) -> str:
+    """The uneven metric table (see the adapter's description) and its good rows."""
+    amount = """cents * (d + 1) * 10 * CASE WHEN c IN ('M_TOP3_GOODS_REVENUE', 'M_TOP10_CUST_REVENUE') THEN 10 - d
+      WHEN m = '200006' AND d > 6 THEN 50 WHEN m LIKE '1999%' AND d IN (2, 3) THEN 30 ELSE 10 END"""
+    price = "cents * 1000 * CASE WHEN substr(m, 5, 2) = '05' AND d > 5 THEN 6 ELSE 1 END"
+    second = f"UNION ALL SELECT k, m, c, {_p5('amount + 12345')} FROM u3 WHERE c = 'M_SALE_AMOUNT' AND z = '1'"
+    return f"""u1 AS (
+  SELECT property_uuid AS k, target_time AS m, metric_dim_code AS c, replace(metric_value, '%', '') AS num,
+         CAST(right(property_uuid, 1) AS BIGINT) AS d FROM metric_long),
+u2 AS (
+  SELECT *, right(num, 1) AS z,
+         CASE WHEN c <> 'M_DEAL_CUST_CNT' THEN CAST(CAST(num AS DECIMAL(18,2)) * 100 AS BIGINT) END AS cents FROM u1
+  WHERE right(num, 1) <> '3' AND NOT (c = 'M_DEAL_CUST_CNT' AND d = 0) AND NOT (c = 'M_TOP10_CUST_REVENUE' AND d = 4)
+    AND NOT (c = 'M_REFUND_RATE' AND d = 5) AND NOT (c = 'M_SALE_AMOUNT' AND d = 6)),
+u3 AS (
+  SELECT *, {amount} AS amount,
+    CASE c WHEN 'M_DEAL_CUST_CNT' THEN CAST(TRY_CAST(num AS BIGINT) * 9 * d * d AS VARCHAR)
+      WHEN 'M_CUST_ONE_PRICE' THEN {_p5(price)}
+      WHEN 'M_REFUND_RATE' THEN {_p5('cents * (d + 1) * 100')} || '%'
+      ELSE {_p5(amount)} END AS t FROM u2),
+uneven(property_uuid, target_time, metric_dim_code, metric_value) AS (
+  SELECT k, m, c, t FROM u3
+  UNION ALL SELECT k, m, c, t FROM u3 WHERE z = '2'
+  UNION ALL SELECT k, m, c, t || '0' FROM u3
+    WHERE z = '0' AND c IN ('M_SALE_AMOUNT', 'M_TOP3_GOODS_REVENUE', 'M_TOP10_CUST_REVENUE')
+  {second if conflicts else ''}
+  UNION ALL SELECT k, m, c, 'n/a' FROM u3 WHERE z = '9'
+  UNION ALL SELECT k, m, c, NULL FROM u3 WHERE c = 'M_CUST_ONE_PRICE' AND z = '8'),
+good AS (SELECT * FROM uneven WHERE {_PARSED} IS NOT NULL)"""
+
+
+def _gaps(body: str, extra: str = "", conflicts: bool = True) -> str:
+    """Quota SQL over the good rows of the uneven table."""
+    quotas = QUOTA_CTES.strip().replace("FROM metric_long", "FROM good")
+    return with_adapter(body, ",\n".join(filter(None, [_uneven_ctes(conflicts), quotas, extra])))
+
+
 def _q(body: str, extra: str = "") -> str:
     ctes = QUOTA_CTES.strip()
     if extra:
@@ -215,15 +300,11 @@ def _value_text(col: str) -> str:
 
 
 def _tsv_sql() -> str:
-    from merchpulse.schema import QUOTAS
-
     fields = ", ".join(["property_uuid"] + [_value_text(q) for q in QUOTAS])
     return _q(f"SELECT concat_ws(chr(9), {fields}) AS value FROM quotas")
 
 
 def _messages_cte() -> str:
-    from merchpulse.schema import QUOTA_NAMES, QUOTAS
-
     month = AS_OF[:4] + AS_OF[5:7]
     parts = []
     for i, q in enumerate(QUOTAS):
@@ -235,8 +316,6 @@ def _messages_cte() -> str:
 
 
 def _json_sql(named: bool) -> str:
-    from merchpulse.schema import QUOTA_NAMES, QUOTAS
-
     month = AS_OF[:4] + AS_OF[5:7]
     items = []
     for q in QUOTAS:
@@ -271,8 +350,6 @@ _YM = r"\d{4}(/|-)\d{1,2}"
 
 
 def oracle_sql() -> dict[str, str]:
-    from merchpulse.schema import QUOTAS
-
     q = {}
     q["metric_scan"] = with_adapter(
         f"SELECT property_uuid, target_time, metric_dim_code, metric_value FROM metric_long "
@@ -291,18 +368,16 @@ def oracle_sql() -> dict[str, str]:
         f"FROM metric_long WHERE metric_dim_code = 'M_REFUND_RATE' AND target_time >= '{P.start}' "
         f"AND target_time <= '{P.end}'"
     )
-    parsed = ("CASE metric_dim_code WHEN 'M_DEAL_CUST_CNT' THEN CAST(TRY_CAST(metric_value AS INTEGER) AS DOUBLE) "
-              "WHEN 'M_REFUND_RATE' THEN TRY_CAST(replace(metric_value, '%', '') AS DOUBLE) "
-              "ELSE TRY_CAST(metric_value AS DOUBLE) END")
     q["metric_rejects"] = with_adapter(
         "SELECT property_uuid, target_time, metric_dim_code, metric_value, reason FROM ("
         "SELECT *, CASE WHEN metric_value IS NULL THEN 'null value' "
         "WHEN target_time IS NULL OR NOT regexp_full_match(target_time, '\\d{4}(0[1-9]|1[0-2])') THEN 'bad month' "
-        f"WHEN {parsed} IS NULL THEN 'unparsable value' "
-        f"WHEN isnan({parsed}) OR isinf({parsed}) THEN 'non-finite value' END AS reason "
-        f"FROM metric_long WHERE metric_dim_code IN ({_CODES}) AND (target_time BETWEEN '{P.start}' AND '{P.end}' "
+        f"WHEN {_PARSED} IS NULL THEN 'unparsable value' "
+        f"WHEN isnan({_PARSED}) OR isinf({_PARSED}) THEN 'non-finite value' END AS reason "
+        f"FROM uneven WHERE metric_dim_code IN ({_CODES}) AND (target_time BETWEEN '{P.start}' AND '{P.end}' "
         f"OR (metric_dim_code = 'M_SALE_AMOUNT' AND target_time BETWEEN '{P.ye_start}' AND '{P.ye_end}'))) "
-        "WHERE reason IS NOT NULL"
+        "WHERE reason IS NOT NULL",
+        _uneven_ctes(),
     )
     q["base_values"] = _q("SELECT k AS property_uuid, m AS target_time, c AS metric_dim_code, v AS value FROM base")
     single = {
@@ -339,6 +414,14 @@ def oracle_sql() -> dict[str, str]:
         for c, n in zip(codes6, names6)
     )
     q["cogroup6"] = _q(f"SELECT k AS property_uuid, {sel} FROM w GROUP BY k")
+    q["cogroup6_gaps"] = _gaps(f"SELECT k AS property_uuid, {sel} FROM w GROUP BY k")
+    q["quotas_gaps"] = _gaps("SELECT * FROM quotas", conflicts=False)
+    q["quotas_conflicts_hybrid"] = _gaps("SELECT * FROM quotas")
+    q["quotas_conflicts_general"] = q["quotas_conflicts_hybrid"]
+    q["quota_scores_gaps"] = _gaps("SELECT * FROM scores", _scores_cte())
+    q["final_scores_gaps"] = _gaps("SELECT * FROM final", _scores_cte() + ",\n" + _final_cte())
+    q["project_fields"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
+    q["project_where"] = "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= DATE '1998-01-01'"
     q["cogroup10"] = _q(
         "SELECT property_uuid, "
         + ", ".join(f"CAST(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END AS BIGINT) AS {c}_count" for c in QUOTAS)
@@ -416,9 +499,11 @@ def oracle_sql() -> dict[str, str]:
         + r2("l_extendedprice * (CAST(1 AS DOUBLE) - l_discount) / CAST(7 AS DOUBLE)")
         + " AS amount FROM lineitem"
     )
-    q["first_or_default"] = _q(
+    first = (
         "SELECT s.k AS property_uuid, COALESCE(f.d, -1) AS first_deals FROM "
         "(SELECT DISTINCT k FROM w WHERE c = 'M_SALE_AMOUNT') s LEFT JOIN "
         "(SELECT k, CAST(arg_min(v, m) AS BIGINT) AS d FROM w WHERE c = 'M_DEAL_CUST_CNT' GROUP BY k) f ON s.k = f.k"
     )
+    q["first_or_default"] = _q(first)
+    q["first_or_default_gaps"] = _gaps(first)
     return q

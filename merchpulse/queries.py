@@ -18,7 +18,7 @@ from merchpulse.functions import textdates as td
 from merchpulse.functions.numeric import retain_decimal
 from merchpulse.operators import growth, quotas
 from merchpulse.operators.merge import cogroup_frames, first_or_default
-from merchpulse.operators.slices import base_values, metric_slice
+from merchpulse.operators.slices import base_and_rejects, base_values, metric_slice
 from merchpulse.plans import general, single_pass
 from merchpulse.plans.job import materialize, score_all, score_one
 from merchpulse.plans.periods import periods
@@ -34,8 +34,8 @@ from merchpulse.schema import (
 )
 from merchpulse.sinks import messages
 from merchpulse.sinks.text import rows_to_lines
-from merchpulse.sources.adapter import load_metric_long
-from merchpulse.sources.metrics import merchant_scan, metric_scan
+from merchpulse.sources.adapter import load_metric_long, uneven
+from merchpulse.sources.metrics import merchant_scan, metric_scan, project
 
 AS_OF = "2000-07-15"
 ONE_MERCHANT = "7"
@@ -50,6 +50,15 @@ def _metrics(spark, sf_dir):
     return load_metric_long(spark, sf_dir)
 
 
+def _uneven(spark, sf_dir, conflicts=True):
+    return uneven(_metrics(spark, sf_dir), conflicts)
+
+
+def _uneven_base(spark, sf_dir, conflicts=True):
+    """Base values of the good rows."""
+    return base_and_rejects(_uneven(spark, sf_dir, conflicts), P, on_bad="quarantine")[0]
+
+
 def _base(spark, sf_dir):
     return base_values(_metrics(spark, sf_dir), P)
 
@@ -88,10 +97,8 @@ def q_base_values(spark, sf_dir):
 
 def q_metric_rejects(spark, sf_dir):
     """V3/V8 quarantine: rows of the analysis windows that cannot be used,
-    with the reason (none in the derived metric table)."""
-    from merchpulse.operators.slices import parse_rows, windowed_rows
-
-    return parse_rows(windowed_rows(_metrics(spark, sf_dir), P), on_bad="quarantine")[1]
+    with the reason, in the uneven metric table."""
+    return base_and_rejects(_uneven(spark, sf_dir), P, on_bad="quarantine")[1]
 
 
 def q_avg_sale_amount(spark, sf_dir):
@@ -166,13 +173,21 @@ def q_final_score_one(spark, sf_dir):
 COGROUP6_NAMES = ("sale", "deals", "price", "refund", "top3", "top10")
 
 
-def q_cogroup6(spark, sf_dir):
-    """The six code slices of the window merged on the merchant."""
-    base = _shared_base(spark, sf_dir)
+def _cogroup6(base):
     frames = [quotas.code_slice(base, c, P) for c in METRIC_CODES]
     return cogroup_frames(frames, KEY, "value", names=COGROUP6_NAMES, counts=True)
 
 
+def q_cogroup6(spark, sf_dir):
+    """The six code slices of the window merged on the merchant."""
+    return _cogroup6(_shared_base(spark, sf_dir))
+
+
+def q_cogroup6_gaps(spark, sf_dir):
+    """J8 where slices are absent and months have several values."""
+    return _cogroup6(materialize(_uneven_base(spark, sf_dir)))
+
+
 def q_cogroup10(spark, sf_dir):
     """The ten quota results merged on the merchant, with element counts."""
     frames = general.quota_frames(_shared_base(spark, sf_dir), P)
@@ -301,10 +316,7 @@ def q_retain_decimal(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber", retain_decimal(x, 2).alias("amount"))
 
 
-def q_first_or_default(spark, sf_dir):
-    """Per merchant with sales, the deal count of its earliest window
-    month with deals, or -1."""
-    base = _shared_base(spark, sf_dir)
+def _first_deals(base):
     sales = quotas.code_slice(base, SALE_AMOUNT, P).select(KEY).distinct()
     deals = quotas.code_slice(base, DEAL_CUST_CNT, P)
     first = deals.groupBy(KEY).agg(first_or_default(F.col("value").cast("bigint"), order=F.col(MONTH)).alias("d"))
@@ -312,6 +324,51 @@ def q_first_or_default(spark, sf_dir):
         "first_deals"))
 
 
+def q_first_or_default(spark, sf_dir):
+    """Per merchant with sales, the deal count of its earliest window
+    month with deals, or -1."""
+    return _first_deals(_shared_base(spark, sf_dir))
+
+
+def q_first_or_default_gaps(spark, sf_dir):
+    """A7 where some merchants have no deals."""
+    return _first_deals(materialize(_uneven_base(spark, sf_dir)))
+
+
+def q_quotas_gaps(spark, sf_dir):
+    """Q12 by the merchant fold where months and codes are absent."""
+    return single_pass.all_quotas(_uneven_base(spark, sf_dir, conflicts=False), P)
+
+
+def q_quotas_conflicts_hybrid(spark, sf_dir):
+    """Q12 by the hybrid plan where months have several values."""
+    return single_pass.all_quotas_hybrid(_uneven_base(spark, sf_dir), P)
+
+
+def q_quotas_conflicts_general(spark, sf_dir):
+    """Q12 by the published shape where months have several values."""
+    return general.all_quotas(materialize(_uneven_base(spark, sf_dir)), P)
+
+
+def q_quota_scores_gaps(spark, sf_dir):
+    return score_all(_uneven(spark, sf_dir), AS_OF, on_bad="quarantine").scores
+
+
+def q_final_scores_gaps(spark, sf_dir):
+    """R1 with absent quotas, rejects and several values in a month."""
+    return score_all(_uneven(spark, sf_dir), AS_OF, on_bad="quarantine").final
+
+
+def q_project_fields(spark, sf_dir):
+    """S2 over orders."""
+    return project(_table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
+def q_project_where(spark, sf_dir):
+    """S3 over orders."""
+    return project(_table(spark, sf_dir, "orders"), ["o_orderkey", "o_orderdate"], "o_orderdate >= date'1998-01-01'")
+
+
 QUERIES = {
     "metric_scan": q_metric_scan,
     "merchant_scan": q_merchant_scan,
@@ -353,4 +410,13 @@ QUERIES = {
     "trim_array": q_trim_array,
     "retain_decimal": q_retain_decimal,
     "first_or_default": q_first_or_default,
+    "project_fields": q_project_fields,
+    "project_where": q_project_where,
+    "quotas_gaps": q_quotas_gaps,
+    "quotas_conflicts_hybrid": q_quotas_conflicts_hybrid,
+    "quotas_conflicts_general": q_quotas_conflicts_general,
+    "quota_scores_gaps": q_quota_scores_gaps,
+    "final_scores_gaps": q_final_scores_gaps,
+    "cogroup6_gaps": q_cogroup6_gaps,
+    "first_or_default_gaps": q_first_or_default_gaps,
 }
