@@ -32,17 +32,34 @@ def test_single_pass_is_two_partial_aggregated_shuffles(spark, tmp_path):
     assert len(children) == 2 and all("HashAggregate" in c for c in children), children
 
 
-def test_adapter_top_lists_limit_before_the_shuffle(spark):
+def test_adapter_part_list_limits_before_the_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = _plan(load_metric_long(spark, "/root/testdata/sf0.001"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # top-3 parts and top-10 customers: a partial group limit under each window shuffle
-    assert plan.count("WindowGroupLimit") >= 4
+    # top-3 parts: a partial group limit under the window's shuffle
+    assert plan.count("WindowGroupLimit") >= 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_adapter_joins_orders_once(spark):
+    """Without broadcasts: one scan of orders, two of lineitem, and joined rows
+    are dealt out once for the order, customer and salt groups."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(load_metric_long(spark, "/root/testdata/sf0.001"))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    assert sum("o_orderkey" in ln for ln in scans) == 1 and sum("l_suppkey" in ln for ln in scans) == 2, scans
+    # the join's two sides, the salted groups, the months; parts, their top list, its months are at most three more
+    assert plan.count("Exchange hashpartitioning") <= 7, plan
+
+
 def test_month_window_reaches_line_items(spark):
     from merchpulse.queries import P
 
