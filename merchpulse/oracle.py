@@ -415,6 +415,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["cogroup6"] = _q(f"SELECT k AS property_uuid, {sel} FROM w GROUP BY k")
     q["cogroup6_gaps"] = _gaps(f"SELECT k AS property_uuid, {sel} FROM w GROUP BY k")
+    case = " ".join(f"WHEN '{c}' THEN '{n}'" for c, n in zip(codes6, names6))
+    q["cogroup6_values"] = _gaps(f"SELECT k AS property_uuid, CASE c {case} END AS name, v AS value FROM w")
     q["quotas_gaps"] = _gaps("SELECT * FROM quotas", conflicts=False)
     q["quotas_conflicts_hybrid"] = _gaps("SELECT * FROM quotas")
     q["quotas_conflicts_general"] = q["quotas_conflicts_hybrid"]

@@ -17,7 +17,7 @@ from merchpulse.functions import text as txt
 from merchpulse.functions import textdates as td
 from merchpulse.functions.numeric import retain_decimal
 from merchpulse.operators import growth, quotas
-from merchpulse.operators.merge import cogroup_frames, first_or_default
+from merchpulse.operators.merge import cogroup_frames, cogroup_values, first_or_default
 from merchpulse.operators.slices import base_and_rejects, base_values, metric_slice
 from merchpulse.plans import general, single_pass
 from merchpulse.plans.job import materialize, score_all, score_one
@@ -188,6 +188,13 @@ def q_cogroup6_gaps(spark, sf_dir):
     return _cogroup6(materialize(_uneven_base(spark, sf_dir)))
 
 
+def q_cogroup6_values(spark, sf_dir):
+    """J8 in long form: every value of the six slices."""
+    base = materialize(_uneven_base(spark, sf_dir))
+    frames = [quotas.code_slice(base, c, P) for c in METRIC_CODES]
+    return cogroup_values(frames, KEY, "value", names=COGROUP6_NAMES).select(KEY, "name", F.col("t0").alias("value"))
+
+
 def q_cogroup10(spark, sf_dir):
     """The ten quota results merged on the merchant, with element counts."""
     frames = general.quota_frames(_shared_base(spark, sf_dir), P)
@@ -418,5 +425,6 @@ QUERIES = {
     "quota_scores_gaps": q_quota_scores_gaps,
     "final_scores_gaps": q_final_scores_gaps,
     "cogroup6_gaps": q_cogroup6_gaps,
+    "cogroup6_values": q_cogroup6_values,
     "first_or_default_gaps": q_first_or_default_gaps,
 }
