@@ -5,7 +5,8 @@ are discounted by the density of links in them; the best container is kept
 with those siblings that score well too or read like prose.  Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments are left out before, by element and by the words of class, id and
-role.
+role.  An element whose words speak for it too, or that is an article or main
+element, isn't left out for its words but scored.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by one line feed.
@@ -35,7 +36,7 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s/=>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -81,24 +82,20 @@ class Node:
         self.listed = False
 
 
-def _marks(attrs: str) -> tuple[bool, int]:
-    """Whether the attributes mark an element as not main text; its weight."""
-    unlikely, weight = False, 0
-    for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "style":
-            unlikely |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
-        elif name in ("hidden",):
-            unlikely |= value not in ("false",)
-        elif name == "aria-hidden":
-            unlikely |= value == "true"
-        else:
-            words = set(_LETTERS.findall(value))
-            if words & LIKELY:
-                weight = 25
-            if words & UNLIKELY and not words & {"article"}:
-                unlikely = True
-    return unlikely, weight
+def _marks(name: str, attrs: str) -> tuple[bool, int]:
+    """Whether the attributes mark an element as not main text; its weight.
+    Words of both kinds, and unlikely ones of an article or main element,
+    leave it to the scoring."""
+    found: dict[str, str] = {}
+    for key, a, b, c in _ATTR.findall(attrs):
+        found.setdefault(key.lower(), (a or b or c).lower())
+    hidden = (
+        bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")))
+        or found.get("hidden", "false") != "false" or found.get("aria-hidden") == "true"
+    )
+    words = {w for key in ("class", "id", "role") for w in _LETTERS.findall(found.get(key, ""))}
+    likely, unlikely = bool(words & LIKELY), bool(words & UNLIKELY)
+    return hidden or unlikely and not likely and name not in ("article", "main"), 25 * likely - 25 * unlikely
 
 
 def parse(page: str) -> Node:
@@ -149,7 +146,7 @@ def parse(page: str) -> Node:
                 up = up.parent
             if up.name in CLOSES[name]:
                 node = up.parent
-        unlikely, weight = _marks(m[4]) if m[4] and name not in ("html", "body") else (False, 0)
+        unlikely, weight = _marks(name, m[4]) if m[4] and name not in ("html", "body") else (False, 0)
         child = Node(name, node, name in DROPPED and not _article_header(name, node) or unlikely, weight)
         node.items.append(child)
         node = child

@@ -185,6 +185,16 @@ def test_main_text(spark):
     assert got[4].text == "deep, text" and got[5].text == "plain < text"
 
 
+def test_main_text_keeps_what_only_looks_unlikely():
+    words = "First paragraph, with commas, and words enough to count as text."
+    for mark in ('<a href="/the-hidden-valley">{}</a>', '<a title="A hidden gem">{}</a>', "<a href='/p?id=comment'>{}</a>", "<a data-id=comment>{}</a>"):
+        assert htmltext.extract(f"<article><p>{words} {mark.format('linked')} end</p></article>") == f"{words} linked end"
+    for tag in ('div class="post-content with-sidebar"', 'main class="content has-header"', 'main class="has-sidebar"', 'div id=content class="no-search"'):
+        assert htmltext.extract(f"<body><{tag}><p>{words}</p></{tag.split()[0]}></body>") == words
+    for tag in ("div hidden", "div HIDDEN=''", "div class=ad", "div data-x='a' id=\"comments\"", "div style='display: none'", "div aria-hidden=true"):
+        assert htmltext.extract(f"<body><p>{words}</p><{tag}><p>not, this</p></div></body>") == words, tag
+
+
 def test_url_filter(spark):
     urls = ["http://www.Example.com/en/a?x", "https://a.example.com/en/", "https://a.example.com/fr/", "http://x.net/es/1", "http://x.net", None,
             "no scheme", "http://www.example.com/en/#t", "http://com/q", "http://netx/es/", "http:///path", "http://x.net/es/1"]
