@@ -8,10 +8,12 @@ q -> (q, 0) give |x' - q'|^2 = R^2 + |q|^2 - 2 <x, q>, so the nearest points
 are those of the largest product.
 
 The search skips a child when factor * (lower bound of the triangle
-inequality) exceeds the query's k-th distance.  Factor 1 restores exact
-search; a larger one prunes more and may lose neighbours.  Scores are then
-computed on the original vectors in double precision, from the first
-component to the last.
+inequality) exceeds the query's k-th distance by more than rounding explains
+(relative to R^2, as the lift cancels beside one very large vector).  Factor 1
+restores exact search; a larger one prunes more and may lose neighbours.  In
+leaves, points that a matrix product and its rounding bound leave possible get
+scores on the original vectors in double precision, from the first component
+to the last, and are kept by score and smallest id, so ties are never cut.
 
 Defined cases: vectors that are null, zero or empty, or hold null or
 non-finite components, take no part, neither do rows without an id; equal
@@ -37,9 +39,10 @@ SHARD_ROWS = 16_384
 LEAF = 256
 #: Queries are sent to the shards in blocks of so many.
 QUERY_BLOCK = 8_192
-#: Points kept beyond k during the search: the query itself and points whose
-#: distances differ from the k-th by rounding only.
-SPARE = 8
+#: Rounding of one operation on doubles.
+UNIT = np.finfo(np.float64).eps / 2
+#: Pairs of a query and a point that get exact scores at a time.
+PAIRS = 1 << 18
 INDEX_SCHEMA = "dim int, shard int, tree binary"
 HIT_SCHEMA = "query_id long, vec_id long, score double"
 
@@ -93,30 +96,63 @@ def build_tree(points: np.ndarray, leaf: int = LEAF) -> dict[str, np.ndarray]:
     return {"order": order, "nodes": np.array(nodes, np.int64).reshape(-1, 5), "bounds": np.array(bounds, np.float64).reshape(-1, 4)}
 
 
-def search_tree(points, tree, queries, k: int, factor: float):
-    """The ``k`` nearest rows of ``points`` for each query, as (distances,
-    rows), padded with infinity and -1.  Queries walk the tree in groups: the
-    nearer child first, then those that may still gain from the other."""
-    n = len(queries)
-    best = np.full((n, k), np.inf)
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed from the first component to the last."""
+    s = np.zeros(len(x))
+    for a, b in zip(x.T, q.T):
+        s += b * a
+    return s
+
+
+def search_tree(tree, queries, k: int, factor: float):
+    """The ``k`` rows of ``tree["x"]`` with the largest (product, smallest id
+    first) for each query, as (products, rows), padded with -infinity and -1.
+    Queries walk the tree in groups: the nearer child first, then those that
+    may still gain from the other.  With ``k`` rows in this order, no id of
+    any other row is among a query's ``k`` best ids."""
+    n, x, points = len(queries), tree["x"], tree["points"]
+    best = np.full((n, k), -np.inf)
     found = np.full((n, k), -1, np.int64)
     order, nodes, bounds = tree["order"], tree["nodes"], tree["bounds"]
-    squares, query_squares = (points**2).sum(axis=1), (queries**2).sum(axis=1)
+    low_id = tree["ids"][tree["first"][:-1]]
+    lengths, query_lengths = np.sqrt((x**2).sum(axis=1)), np.sqrt((queries**2).sum(axis=1))
+    lifted_queries = np.hstack([queries, np.zeros((n, 1))])
+    radius, terms = lengths.max(initial=0.0), x.shape[1] + 8
+    # two sums of a product differ by 2 * terms * UNIT * |x| * |q| at most
+    slack = 4 * terms * UNIT
+    # rounding of distances, node bounds and the lift, as a squared distance
+    blur = 64 * terms * UNIT * (radius + query_lengths) ** 2
+    far_off = radius**2 + query_lengths**2
+
+    def leaf(rows: np.ndarray, active: np.ndarray) -> None:
+        about = queries[active] @ x[rows].T
+        spread = slack * query_lengths[active][:, None] * lengths[rows]
+        least = best[active].min(axis=1)
+        if len(rows) >= k:
+            least = np.maximum(least, np.partition(about - spread, len(rows) - k, axis=1)[:, len(rows) - k])
+        who, what = np.nonzero(about + spread >= least[:, None])
+        if not len(who):
+            return
+        score = np.concatenate([products(x[rows[what[i : i + PAIRS]]], queries[active[who[i : i + PAIRS]]]) for i in range(0, len(who), PAIRS)])
+        some = np.unique(who)
+        who = np.concatenate([np.repeat(some, k), who])
+        row = np.concatenate([found[active[some]].ravel(), rows[what]])
+        score = np.concatenate([best[active[some]].ravel(), score])
+        by = np.lexsort((low_id[row], -score, who))
+        size = np.bincount(who)[some]
+        first = np.cumsum(size) - size
+        top = by[first[:, None] + np.arange(k)]
+        best[active[some]], found[active[some]] = score[top], row[top]
 
     def visit(node: int, active: np.ndarray) -> None:
         if not len(active):
             return
         lo, hi, vantage, near, far = nodes[node]
         if vantage < 0:
-            rows = order[lo:hi]
-            d = np.sqrt(np.maximum(squares[rows][None] - 2 * queries[active] @ points[rows].T + query_squares[active][:, None], 0.0))
-            all_d = np.hstack([best[active], d])
-            all_r = np.hstack([found[active], np.broadcast_to(rows, d.shape)])
-            take = np.argpartition(all_d, k - 1, axis=1)[:, :k]
-            best[active] = np.take_along_axis(all_d, take, 1)
-            found[active] = np.take_along_axis(all_r, take, 1)
+            for i in range(0, len(active), 1024):
+                leaf(order[lo:hi], active[i : i + 1024])
             return
-        d = np.sqrt(((queries[active] - points[vantage]) ** 2).sum(axis=1))
+        d = np.sqrt(((lifted_queries[active] - points[vantage]) ** 2).sum(axis=1))
         a, b, c, e = bounds[node]
         gaps = {near: np.maximum(np.maximum(a - d, d - b), 0.0), far: np.maximum(np.maximum(c - d, d - e), 0.0)}
         inside = gaps[near] <= gaps[far]
@@ -124,10 +160,10 @@ def search_tree(points, tree, queries, k: int, factor: float):
             visit(child, active[first])
         for child, then in ((near, ~inside), (far, inside)):
             ids = active[then]
-            worst = best[ids].max(axis=1)
-            visit(child, ids[factor * gaps[child][then] <= worst * (1 + 1e-9) + 1e-9])
+            # squared distances are far_off - 2 * product
+            visit(child, ids[(factor * gaps[child][then]) ** 2 <= far_off[ids] - 2 * best[ids].min(axis=1) + blur[ids]])
 
-    if len(points) and n:
+    if len(x) and n:
         visit(0, np.arange(n))
     return best, found
 
@@ -168,13 +204,13 @@ def _shard_hits(block, k: int, factor: float):
     def search(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                t = np.load(io.BytesIO(row["tree"]))
+                t = dict(np.load(io.BytesIO(row["tree"])))
                 mine = [(q, v) for q, v in block.value if len(v) == row["dim"]]
                 if not mine:
                     continue
                 qid, q = np.array([i for i, _ in mine]), np.array([v for _, v in mine])
-                lifted_q = np.hstack([q, np.zeros((len(q), 1))])
-                _, found = search_tree(t["points"], t, lifted_q, min(k + SPARE, len(t["x"])), factor)
+                # one more than k: the query itself is none of its neighbours
+                _, found = search_tree(t, q, min(k + 1, len(t["x"])), factor)
                 yield _scored(qid, q, t, found, k)
 
     return search
@@ -185,9 +221,7 @@ def _scored(qid, q, t, found, k) -> pa.RecordBatch:
     first, out = t["first"], []
     for i in range(len(qid)):
         rows = found[i][found[i] >= 0]
-        x, s = t["x"][rows], np.zeros(len(rows))
-        for j in range(x.shape[1]):  # from the first component to the last
-            s += q[i, j] * x[:, j]
+        s = products(t["x"][rows], q[i : i + 1])
         ids = np.concatenate([t["ids"][first[r] : first[r + 1]] for r in rows])
         score = np.repeat(s, first[rows + 1] - first[rows])
         other = ids != qid[i]

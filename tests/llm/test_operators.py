@@ -169,6 +169,29 @@ def test_nearest(spark):
     assert vptree.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_with_ties_and_one_huge_vector(spark):
+    rng = np.random.default_rng(4)
+    ones = np.eye(100, dtype=np.float32)[rng.permutation(100)]  # one-hot: almost all products are 0
+    signs = rng.choice([-1.0, 1.0], (400, 8)).astype(np.float32)
+    unit = rng.normal(size=(400, 8))
+    unit /= np.sqrt((unit**2).sum(axis=1))[:, None]
+    huge = unit.astype(np.float32)
+    huge[1] *= 1e9
+    for x in (ones, signs, huge):
+        ids = rng.permutation(len(x))
+        df = spark.createDataFrame([(int(i), [float(a) for a in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+        got = {}
+        for r in vptree.nearest(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=250, leaf=16).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        assert set(got) == set(range(0, len(x), 20))
+        for q, hits in got.items():
+            s = np.zeros(len(x))
+            for j in range(x.shape[1]):
+                s += x[ids == q][0, j].astype(float) * x[:, j].astype(float)
+            best = [i for i in np.lexsort((ids, -s)) if ids[i] != q][:20]
+            assert sorted(hits) == [(n + 1, ids[i], s[i]) for n, i in enumerate(best)]
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><header>Top</header>
 <div class="sidebar"><p>side, words, many, commas, here</p></div><div id="cookie-notice"><p>We use cookies, yes</p></div>
 <article><h1>A &amp; B</h1><p>First  paragraph, with commas, and
