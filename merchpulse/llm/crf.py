@@ -7,7 +7,9 @@ more frequent in toxic documents than in others.  Features of a word
 first 3 to 6 bytes, hashed to ``2**BITS`` buckets.  Document frequencies by
 label come from all training documents, summed by Spark; the field's weights
 and the step from marginals to a document's score are fitted on a bounded
-sample of them, ``SAMPLE`` documents in the order of a hash of their ids.
+sample of them, ``SAMPLE`` documents in the order of a hash of their ids: of
+each label its share, but at least a fifth of the sample or all it has.  The
+regression weighs them back to the true rate.
 
 Forward-backward gives each word's probability of being toxic in its whole
 text.  Their sum, its share above one, their maximum and their density
@@ -135,19 +137,30 @@ def evidence(p: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.ones(len(p)), np.minimum(total, 1), np.clip(total - 1, 0, 1), np.log1p(total), top, np.sqrt(total / np.maximum(size, 1))], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Weighted logistic regression by Newton steps with a small ridge; a step
+    is halved until it gains."""
+    def loss(w):
+        z = x @ w
+        return weight @ (np.logaddexp(0, z) - y * z) + ridge / 2 * (w @ w)
+
     w = np.zeros(x.shape[1])
-    for _ in range(30):
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        w += np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
+        step, now = np.linalg.solve(h, x.T @ (weight * (y - p)) - ridge * w), loss(w)
+        for _ in range(30):
+            if loss(w + step) <= now:
+                w = w + step
+                break
+            step = step / 2
     return w
 
 
-def fit_field(texts: list[bytes], toxic: np.ndarray, odds: np.ndarray, rate: float) -> Field:
+def fit_field(texts: list[bytes], toxic: np.ndarray, odds: np.ndarray, rate: float, weight: np.ndarray) -> Field:
     """Weights from labelled words of the sample by gradient ascent on the
-    field's likelihood; then the regression on its marginals."""
+    field's likelihood; then the regression on its marginals, where a document
+    counts as many times as ``weight`` says."""
     words = split_words(texts, ALNUM)
     feats = features(words)
     of = np.repeat(np.arange(len(texts)), np.diff(words.first))
@@ -190,7 +203,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, odds: np.ndarray, rate: flo
     field = Field(weights.astype(np.float32), bias, move, None, rate)
     if toxic.any() and not toxic.all():
         p = marginals(field.line_scores(words), move)
-        field.regression = logistic(evidence(p), toxic.astype(float))
+        field.regression = logistic(evidence(p), toxic.astype(float), weight)
     return field
 
 
@@ -216,21 +229,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     t, c = found["t"].to_numpy(), found["c"].to_numpy()
     odds[found["bucket"].to_numpy()] = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
     sent = spark.sparkContext.broadcast(odds.astype(np.float32))
+    least = sample // 5
+    few_toxic = min(n_toxic, max(least, round(sample * rate), sample - n_clean), sample - min(n_clean, least))
+    few_clean = min(n_clean, sample - few_toxic)
+    # documents that one of the sample stands for; 1 for the label with the larger share in it
+    each = np.array([n_clean / max(few_clean, 1), n_toxic / max(few_toxic, 1)])
+    each /= each[each > 0].min(initial=np.inf) if each.any() else 1.0
 
     def fit(batches):
         texts, toxic = [], []
         for part, bytes_ in text_slices(batches, SLICE_BYTES):
             texts += bytes_
             toxic += part.column("toxic").to_pylist()
-        f = fit_field(texts, np.array(toxic, bool), sent.value.astype(np.float64), rate)
+        toxic = np.array(toxic, bool)
+        f = fit_field(texts, toxic, sent.value.astype(np.float64), rate, each[toxic.astype(int)])
         used = [f.weights.tolist()], [f.bias], [f.move.ravel().tolist()], [None if f.regression is None else f.regression.tolist()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(used[0], pa.list_(pa.float32())), pa.array(used[1]), pa.array(used[2], pa.list_(pa.float64())), pa.array(used[3], pa.list_(pa.float64()))],
             names=["weights", "bias", "move", "regression"],
         )
 
-    few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text", "toxic").coalesce(1)
-    got = few.mapInArrow(fit, FIELD).toArrow()
+    by_hash = lambda kind, n: rows.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("text", "toxic")
+    few = by_hash(F.col("toxic"), few_toxic).union(by_hash(~F.col("toxic"), few_clean))
+    got = few.coalesce(1).mapInArrow(fit, FIELD).toArrow()
     if not got.num_rows or not n_toxic or not n_clean:
         return Field(np.zeros(NONE + 1, np.float32), -9.0, np.zeros((2, 2)), None, rate)
     weights = got["weights"].combine_chunks().flatten().to_numpy()

@@ -149,6 +149,20 @@ def test_toxicity(spark, empty):
     assert crf.toxicity(empty, labels).count() == 0
 
 
+def test_rare_toxicity_is_in_the_sample(spark):
+    rnd = random.Random(6)
+    clean = [f"word{i}" for i in range(60)]
+    rows = []
+    for d in range(3000):
+        w = rnd.choices(clean, k=12)
+        if d % 150 == 0:
+            w[5:5] = rnd.choices(["vilething", "vilesome", "nasty"], k=4)
+        rows.append((d, " ".join(w), int(d % 150 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r for r in crf.toxicity(docs.drop("toxic"), docs.drop("text"), sample=20).collect()}
+    assert all(got[d].predicted == x for d, _, x in rows)
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8)).astype(np.float32)
