@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchpulse.llm import crf, decontam, hmm, htmltext, idcodec, neardup, packing, suffixdedup, urlfilter, vptree
+from merchpulse.llm import (
+    crf, decontam, hmm, htmltext, idcodec, licenses, neardup, packing, resample, suffixdedup, urlfilter, vptree, whiten,
+)
 
 #: The rules of the URL filter.
 URL_RULES = (
@@ -78,6 +80,21 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idcodec.read_ids(idcodec.write_ids(_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_table(spark, sf_dir, "documents")).withColumn("n_places", F.coalesce(F.size("places"), F.lit(0))).drop("places")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"), k=4)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, longest=1, buckets=10_000, min_words=20, seed=2024
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passage_dedup": op8_passage_dedup,
     "op9_packing": op9_packing,
     "op10_token_ids": op10_token_ids,
+    "op11_license_scan": op11_license_scan,
+    "op12_whitening": op12_whitening,
+    "op13_resampling": op13_resampling,
     "pipeline": pipeline,
 }
 
@@ -154,4 +174,46 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM url LEFT JOIN (SELECT * FROM best WHERE n = 1) USING (k)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op5_nearest": OP5_SQL, "op7_url_filter": OP7_SQL}
+#: The reflected polynomial of the common CRC-32; its table by eight shifts of each byte.
+_SHIFT = "CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384) ELSE {0} // 2 END"
+OP13_SQL = f"""
+WITH RECURSIVE shifted(b, k, v) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT b, k + 1, {_SHIFT.format('v')} FROM shifted WHERE k < 8
+),
+tab AS (SELECT list(v ORDER BY b) AS t FROM shifted WHERE k = 8),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+word AS (SELECT r, unnest(w) AS f FROM doc),
+bench AS (SELECT unnest({_WORDS}) AS f FROM benchmark),
+n AS (
+  SELECT f, sum(s) AS s, sum(t) AS t
+  FROM (SELECT f, 1 AS s, 0 AS t FROM word UNION ALL SELECT f, 0, 1 FROM bench) GROUP BY f
+),
+-- one byte of every word at a time
+crc(f, h, k, c) AS (
+  SELECT f, hex(encode(f)), 1, CAST(4294967295 AS BIGINT) FROM n
+  UNION ALL
+  SELECT f, h, k + 2, xor(c // 256, t[xor(c % 256, CAST('0x' || h[k:k + 1] AS BIGINT)) + 1]) FROM crc, tab WHERE k < length(h)
+),
+feature AS (SELECT f, xor(c, 4294967295) % 10000 AS b, s, t FROM crc JOIN n USING (f) WHERE k > length(h)),
+bucket AS (SELECT b, sum(s) AS s, sum(t) AS t FROM feature GROUP BY b),
+whole AS (SELECT sum(s) AS s, sum(t) AS t FROM bucket),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln(CAST(bucket.t + 1 AS DOUBLE) * CAST(whole.s + 10000 AS DOUBLE) / (CAST(bucket.s + 1 AS DOUBLE) * CAST(whole.t + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM bucket, whole
+),
+weight AS (SELECT r, CAST(sum(g) AS BIGINT) AS weight FROM word JOIN feature USING (f) JOIN gain USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM doc LEFT JOIN weight USING (r)
+),
+noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM scored),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM noisy WHERE n_features >= 20 AND doc_id IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM placed) THEN rank END AS rank
+FROM noisy LEFT JOIN placed USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": OP1_SQL, "op5_nearest": OP5_SQL, "op7_url_filter": OP7_SQL, "op13_resampling": OP13_SQL,
+}
