@@ -1,14 +1,15 @@
 """Command line for a full or one-merchant run.
 
-    python -m merchpulse --metrics PATH --as-of YYYY-MM-DD --out BASE [UUID]
-    spark-submit --py-files merchpulse.zip merchpulse/__main__.py --metrics ... [UUID]
+    python -m merchpulse --metrics PATH --as-of YYYY-MM-DD --out BASE [UUID ...]
+    spark-submit --py-files merchpulse.zip merchpulse/__main__.py --metrics ... [UUID ...]
 
 (``merchpulse.zip`` is the zipped package directory.)
 
 Without a merchant key it scores every merchant (offline layout); with one
 it scores that merchant (online layout), as the published job's command
-line does.  The metric table is read from parquet (``--format`` for other
-file formats) or, with ``--jdbc-url``, from a JDBC table or sub-query.
+line does, and with several these in one run.  The metric table is read from
+parquet (``--format`` for other file formats) or, with ``--jdbc-url``, from a
+JDBC table or sub-query.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from merchpulse.plans.job import STRATEGIES, run_and_write
+from merchpulse.plans.job import STRATEGIES, run_and_write, run_and_write_many
 from merchpulse.sources.metrics import read_jdbc, read_metrics
 
 
 def parse_args(argv=None):
     ap = argparse.ArgumentParser(prog="merchpulse", description=__doc__.splitlines()[0])
-    ap.add_argument("uuid", nargs="?", help="score only this merchant")
+    ap.add_argument("uuid", nargs="*", help="score only this merchant, or these in one run")
     ap.add_argument("--metrics", help="metric table path (or JDBC table / sub-query with --jdbc-url)")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--jdbc-url")
@@ -50,8 +51,10 @@ def main(argv=None, spark: SparkSession | None = None):
                             upper_bound=args.jdbc_upper_bound, num_partitions=args.jdbc_partitions)
     else:
         metrics = read_metrics(spark, args.metrics, args.format)
-    return run_and_write(metrics, args.as_of, args.out, uuid=args.uuid, single_file=args.single_file,
-                         strategy=args.strategy, bands=args.bands, on_bad=args.on_bad)
+    how = {"strategy": args.strategy, "bands": args.bands, "on_bad": args.on_bad}
+    if len(args.uuid) > 1:
+        return run_and_write_many(metrics, args.uuid, args.as_of, args.out, **how)
+    return run_and_write(metrics, args.as_of, args.out, uuid=args.uuid[0] if args.uuid else None, single_file=args.single_file, **how)
 
 
 if __name__ == "__main__":

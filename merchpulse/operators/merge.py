@@ -89,15 +89,15 @@ def cogroup_values(frames: Sequence[DataFrame], key: str = KEY, value: str | Seq
 
 
 def merge_quotas(quota_frames: dict[str, DataFrame], key: str = KEY) -> DataFrame:
-    """Q12: the ten quotas on one row per merchant, doubles rounded half-up
-    to 2 places (N1).  Only merchants with at least one defined quota."""
+    """Q12: the ten quotas on one row per merchant, for merchants with at least
+    one defined quota; ``round_quotas`` rounds them."""
     frames = [quota_frames[q].where(F.col(q).isNotNull()) for q in QUOTAS]
-    merged = cogroup_frames(frames, key, value=list(QUOTAS), names=list(QUOTAS),
-                            types=[QUOTA_TYPES[q] for q in QUOTAS])
-    return round_quotas(merged)
+    return cogroup_frames(frames, key, value=list(QUOTAS), names=list(QUOTAS),
+                          types=[QUOTA_TYPES[q] for q in QUOTAS])
 
 
 def round_quotas(df: DataFrame) -> DataFrame:
+    """Doubles half-up to 2 places (N1), columns in the quotas' order and types."""
     cols = [F.col(KEY)]
     for q in QUOTAS:
         c = retain_decimal(F.col(q), 2) if q in DOUBLE_QUOTAS else F.col(q)

@@ -7,11 +7,12 @@ two different values for one month both stay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from merchpulse.plans.periods import Periods
 from merchpulse.schema import CODE, KEY, METRIC_CODES, MONTH, PARSE_KIND, SALE_AMOUNT, VALUE
+from merchpulse.session import SharedTable
 
 MONTH_PATTERN = r"^\d{4}(0[1-9]|1[0-2])$"
 
@@ -37,6 +38,10 @@ def parsed_value(code: Column, text: Column, kinds: dict = PARSE_KIND) -> Column
     return expr
 
 
+#: Why a row cannot be used.
+REASONS = ("null value", "bad month", "unparsable value", "non-finite value")
+
+
 def bad_row_reason(month: Column, text: Column, value: Column) -> Column:
     """Why a row cannot be used, or null.  ``value`` is the try-parsed value."""
     return (
@@ -99,16 +104,47 @@ def base_values(metrics: DataFrame, p: Periods, on_bad: str = "fail") -> DataFra
     return base_and_rejects(metrics, p, on_bad)[0]
 
 
-def base_and_rejects(metrics: DataFrame, p: Periods, on_bad: str = "fail", share=None) -> tuple[DataFrame, DataFrame | None]:
-    """The base values and, with ``quarantine``, the rejected rows.  ``share``
-    computes the window's rows once for both."""
+def base_and_rejects(metrics: DataFrame, p: Periods, on_bad: str = "fail") -> tuple[DataFrame, DataFrame | None]:
+    """The base values and, with ``quarantine``, the rejected rows; lazy, each
+    with a scan of its own (``split_rows`` has both from one)."""
     rows = windowed_rows(metrics, p)
     if on_bad != "quarantine":
         return distinct_values(parse_rows(rows, on_bad=on_bad)), None
-    good, bad = parse_rows(share(rows) if share else rows, on_bad=on_bad)
+    good, bad = parse_rows(rows, on_bad=on_bad)
     return distinct_values(good), bad
 
 
+def split_rows(metrics: DataFrame, p: Periods) -> tuple[DataFrame, DataFrame, dict[str, int], SharedTable]:
+    """V3 in one pass over the source: the base values, the rejected rows, how
+    many rows each reason rejected, and the table behind both.
+
+    The window's rows are parsed once and written by outcome, so good values
+    and rejects are folders of one table; the counts are observed during that
+    write.
+    """
+    tried = windowed_rows(metrics, p).withColumn("value", parsed_value(F.col(CODE), F.col(VALUE)))
+    tagged = tried.withColumn("reason", bad_row_reason(F.col(MONTH), F.col(VALUE), F.col("value")))
+    # a good row needs no text any more, a rejected one no value
+    good = F.col("reason").isNull()
+    tagged = tagged.select(
+        KEY, MONTH, CODE, F.when(~good, F.col(VALUE)).alias(VALUE), F.when(good, F.col("value")).alias("value"), "reason",
+        F.when(good, F.lit("good")).otherwise(F.lit("rejected")).alias("outcome"),
+    )
+    seen = Observation()
+    counts = [F.count_if(F.col("reason") == r).alias(r.replace(" ", "_").replace("-", "_")) for r in REASONS]
+    table = SharedTable.write(tagged.observe(seen, F.count_if(good).alias("good"), *counts), "outcomes", "outcome")
+    found = seen.get
+    base = distinct_values(table.frame.where("outcome = 'good'"))
+    rejects = table.frame.where("outcome = 'rejected'").select(KEY, MONTH, CODE, VALUE, "reason")
+    return base, rejects, {r: found[r.replace(" ", "_").replace("-", "_")] for r in REASONS}, table
+
+
+def shared_slices(base: DataFrame) -> SharedTable:
+    """The base values as a table in folders by code, for plans that read
+    them once for each quota: a slice reads its code's folder alone."""
+    return SharedTable.write(base.select(KEY, MONTH, CODE, "value"), "slices", CODE)
+
+
 def metric_slice(
     metrics: DataFrame, code: str, start: str, end: str, kind: str | None = None, on_bad: str = "fail"
 ) -> DataFrame:

@@ -398,6 +398,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT k AS property_uuid, m AS target_time, CAST(pairs AS BIGINT) AS pairs, ratio_sum, "
         "CAST(up AS BIGINT) AS up FROM gm"
     )
+    q["growth_pair_rows"] = _gaps(
+        "SELECT a.k AS property_uuid, a.m AS target_time, a.v AS a, b.v AS b, a.v / b.v AS ratio FROM sv a "
+        "JOIN prev ON a.m = prev.m JOIN sv b ON b.k = a.k AND b.m = prev.pm WHERE b.v <> 0"
+    )
     q["all_quotas"] = _q("SELECT * FROM quotas")
     q["all_quotas_single_pass"] = q["all_quotas"]
     q["all_quotas_hybrid"] = q["all_quotas"]

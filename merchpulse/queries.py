@@ -18,7 +18,7 @@ from merchpulse.functions import textdates as td
 from merchpulse.functions.numeric import retain_decimal
 from merchpulse.operators import growth, quotas
 from merchpulse.operators.merge import cogroup_frames, cogroup_values, first_or_default
-from merchpulse.operators.slices import base_and_rejects, base_values, metric_slice
+from merchpulse.operators.slices import base_and_rejects, base_values, metric_slice, shared_slices
 from merchpulse.plans import general, single_pass
 from merchpulse.plans.job import materialize, score_all, score_one
 from merchpulse.plans.periods import periods
@@ -64,8 +64,9 @@ def _base(spark, sf_dir):
 
 
 def _shared_base(spark, sf_dir):
-    """The base for queries with several quota sub-plans: computed once."""
-    return materialize(_base(spark, sf_dir))
+    """The base for queries with several quota sub-plans: computed once, as a
+    table in folders by code (R3)."""
+    return shared_slices(_base(spark, sf_dir)).frame
 
 
 def _rounded(df: DataFrame, name: str) -> DataFrame:
@@ -110,7 +111,7 @@ def q_avg_deal_cnt(spark, sf_dir):
 
 
 def q_refund_rate(spark, sf_dir):
-    return _rounded(quotas.refund_rate(_shared_base(spark, sf_dir), P), "refund_rate")
+    return _rounded(quotas.refund_rate(_base(spark, sf_dir), P), "refund_rate")
 
 
 def q_sale_amount_cv(spark, sf_dir):
@@ -122,15 +123,15 @@ def q_cust_price_cv(spark, sf_dir):
 
 
 def q_top3_goods_share(spark, sf_dir):
-    return _rounded(quotas.top3_goods_share(_shared_base(spark, sf_dir), P), "top3_goods_share")
+    return _rounded(quotas.top3_goods_share(_base(spark, sf_dir), P), "top3_goods_share")
 
 
 def q_top10_cust_share(spark, sf_dir):
-    return _rounded(quotas.top10_cust_share(_shared_base(spark, sf_dir), P), "top10_cust_share")
+    return _rounded(quotas.top10_cust_share(_base(spark, sf_dir), P), "top10_cust_share")
 
 
 def q_yoy_growth_rate(spark, sf_dir):
-    return _rounded(quotas.yoy_growth_rate(_shared_base(spark, sf_dir), P), "yoy_growth_rate")
+    return _rounded(quotas.yoy_growth_rate(_base(spark, sf_dir), P), "yoy_growth_rate")
 
 
 def q_growth_pairs(spark, sf_dir):
@@ -138,6 +139,11 @@ def q_growth_pairs(spark, sf_dir):
     return st.select(KEY, F.col("m").alias(MONTH), "pairs", "ratio_sum", "up")
 
 
+def q_growth_pair_rows(spark, sf_dir):
+    """The pairs themselves, where months have several values."""
+    return growth.growth_pair_rows(materialize(_uneven_base(spark, sf_dir)), P)
+
+
 def q_growth_multiple(spark, sf_dir):
     return _rounded(growth.growth_multiple(_shared_base(spark, sf_dir), P), "growth_multiple")
 
@@ -392,6 +398,7 @@ QUERIES = {
     "top10_cust_share": q_top10_cust_share,
     "yoy_growth_rate": q_yoy_growth_rate,
     "growth_pairs": q_growth_pairs,
+    "growth_pair_rows": q_growth_pair_rows,
     "growth_multiple": q_growth_multiple,
     "increase_month_num": q_increase_month_num,
     "all_quotas": q_all_quotas,

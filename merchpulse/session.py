@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "merchpulse") -> SparkSession:
@@ -55,3 +57,35 @@ def cut_lineage(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's checkpoint folder, which every
+    executor shares."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its ``Path`` class."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
+
+
+@dataclass
+class SharedTable:
+    """A table written as parquet to the shared folder for several readers."""
+
+    frame: DataFrame
+    path: str
+
+    @classmethod
+    def write(cls, df: DataFrame, name: str, by: str) -> SharedTable:
+        """``df`` in folders by column ``by``: readers that filter on it or
+        take few columns read only these."""
+        path = shared_path(df.sparkSession, name)
+        df.write.partitionBy(by).parquet(path)
+        return cls(df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), path)
+
+    def drop(self) -> None:
+        fs, to_path = file_system(self.frame.sparkSession, self.path)
+        fs.delete(to_path(self.path), True)

@@ -37,11 +37,31 @@ def write_rows(df: DataFrame, path: str, sep: str = "\t", single_file: bool = Fa
     write_lines(rows_to_lines(df, sep), path, single_file)
 
 
-def output_paths(base: str, as_of, uuid: str | None = None) -> dict[str, str]:
-    """K4: ``<base>/{online/yyyyMM/dd/<uuid> | offline/yyyyMM/dd}/<name>``."""
+def write_rows_by_key(df: DataFrame, key: str, path: str, sep: str = "\t") -> None:
+    """Rows as text lines in a folder for each key; folders of keys that are
+    not in ``df`` stay as they are."""
+    lines = df.select(F.col(key), row_text(df, sep).alias("value"))
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(path)
+
+
+def _day(as_of) -> str:
     if as_of is None:
         raise ValueError("output paths need the reference date")
     d = _as_date(as_of)
-    day = f"{d.year:04d}{d.month:02d}/{d.day:02d}"
-    root = f"{base.rstrip('/')}/online/{day}/{uuid}" if uuid is not None else f"{base.rstrip('/')}/offline/{day}"
+    return f"{d.year:04d}{d.month:02d}/{d.day:02d}"
+
+
+def online_root(base: str, as_of) -> str:
+    return f"{base.rstrip('/')}/online/{_day(as_of)}"
+
+
+def output_root(base: str, as_of, uuid: str | None = None) -> str:
+    """K4: ``<base>/{online/yyyyMM/dd/<uuid> | offline/yyyyMM/dd}``."""
+    day = _day(as_of)
+    return f"{online_root(base, as_of)}/{uuid}" if uuid is not None else f"{base.rstrip('/')}/offline/{day}"
+
+
+def output_paths(base: str, as_of, uuid: str | None = None) -> dict[str, str]:
+    """K4: the outputs' paths below the run's folder."""
+    root = output_root(base, as_of, uuid)
     return {name: f"{root}/{name}" for name in ("quotas", "quotaScores", "finalScores", "rejects")}
