@@ -1,20 +1,27 @@
 """Removal of repeated passages by longest-previous-factor arrays.
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a
-document with a smaller id.  Matches are judged on the input.
-
-Bringing places that may repeat together: every window of ``LENGTH`` bytes
-has an anchor, the leftmost of its grams (``GRAM`` bytes) with the least
-hash, so equal windows have equal anchors at the same offset.  Windows with
-the same anchor place are one run, about one for every twenty bytes.  Runs
-are shuffled by their anchor's hash, as columns of numbers, not text.
-
-* Runs with equal text: all but those of the smallest document are repeats.
-* Runs with equal anchors and other texts may share windows.  If at least one
-  side of the anchor agrees far enough, their bytes are fetched, and a suffix
-  array over the runs of an anchor, in the order of their documents, gives the
-  longest previous factor of each place from the previous and the next smaller
-  position in suffix order: earlier documents' matches, found whole.
+document with a smaller id.  Matches are judged on the input, and on bytes:
+hashes only bring places together.
+
+1. Every window of ``LENGTH`` bytes has an anchor, the leftmost of its grams
+   (``GRAM`` bytes) with the least hash, so equal windows have equal anchors.
+   Neighbouring windows of one anchor are one run, about one for every twenty
+   bytes (windows whose anchors tie, as in repetitive text, are one run too).
+2. Runs whose anchor's hash occurs in one document alone go; only numbers are
+   shuffled for that.  The bytes of the others are fetched.
+3. Runs with equal bytes become one, with the smallest and the largest of
+   their documents, before and after the shuffle, so a passage that a third
+   of all documents share is a row for each task.
+4. The different runs of an anchor are put behind each other, those of several
+   documents twice (for the first and for the later documents).  A suffix
+   array and the previous and next smaller positions in suffix order give the
+   longest previous factor of each place: what an earlier document has.
+5. Each place of a run takes the verdict of its bytes by a join on them.
+
+An anchor with more than ``MAX_VARIANTS`` different runs is not put into one
+task: its runs' windows are compared by themselves, in a group-by on their
+bytes, with the same result.
 
 Defined cases: null and empty texts have no bytes; documents without an id
 neither lose bytes nor count as earlier ones; repeated rows of one id never
@@ -31,18 +38,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchpulse.llm.tables import as_bytes, rows_with_key, ship_package, written
+from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_slices, written
 from merchpulse.llm.textbytes import U, prefix_sums, span_hash
 
 LENGTH = 50
 GRAM = 12
 #: Text worked on at once, and the largest piece of a longer text.
 SLICE, PIECE = 1 << 20, 8 << 20
-#: Text bytes behind one bucket of runs.
-BUCKET_BYTES = 24 << 20
-RUNS = "bucket long, anchor array<long>, mark array<int>, sides array<int>, doc array<long>, start array<int>, size array<int>"
-FOUND = "doc_id long, start int, end int, anchor long"
-COLUMNS = ["anchor", "mark", "sides", "doc", "start", "size"]
+#: Windows of one run at most: longer ones go on as another run.
+LONGEST = 4096
+#: Different runs of an anchor that one task takes.
+MAX_VARIANTS = 20_000
+#: Bytes of different runs behind one task's share.
+SHARE_BYTES = 8 << 20
+RUNS = "anchor long, doc_id long, start int, size int"
+COPIES = "anchor long, bytes binary, doc_id long, start int"
+VERDICT = "anchor long, bytes binary, first_doc long, first array<struct<start: int, end: int>>, later array<struct<start: int, end: int>>"
 
 
 def _pieces(texts: list[bytes], length: int):
@@ -62,9 +73,8 @@ def _pieces(texts: list[bytes], length: int):
 
 
 def find_runs(texts: list[bytes], ids: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """The runs of all texts: anchor hash, hash of the run's text, hashes of
-    the bytes beside the anchor, document, first byte and bytes."""
-    windows, parts = length - gram + 1, {c: [] for c in COLUMNS}
+    """The runs of all texts: anchor hash, document, first byte and bytes."""
+    windows, parts = length - gram + 1, {c: [] for c in ("anchor", "doc_id", "start", "size")}
     for group in _pieces(texts, length):
         buf = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
         sizes = np.array([len(p) for _, _, p in group])
@@ -85,29 +95,21 @@ def find_runs(texts: list[bytes], ids: np.ndarray, length: int = LENGTH, gram: i
         valid = np.zeros(len(at) + 2, bool)
         for f, s in zip(first, sizes):
             valid[f + 1 : f + s - length + 2] = True
-        begins = valid[1:-1].copy()
-        begins[1:] &= (at[1:] != at[:-1]) | ~valid[1:-2]
-        begin = np.flatnonzero(begins)
-        ends = valid[1:-1].copy()
-        ends[:-1] &= (at[1:] != at[:-1]) | ~valid[2:-1]
-        end = np.flatnonzero(ends) + length
-        anchor = at[begin]
+        # windows go on a run while the anchor stays, or moves on by one to equal bytes
+        same = np.zeros(len(at) + 1, bool)
+        same[1:-1] = valid[2:-1] & valid[1:-2] & ((at[1:] == at[:-1]) | (at[1:] == at[:-1] + 1) & (hashes[at[1:]] == hashes[at[:-1]]))
+        begin = np.flatnonzero(valid[1:-1] & ~same[:-1])
+        end = np.flatnonzero(valid[1:-1] & ~same[1:]) + 1
+        blocks = -(-(end - begin) // LONGEST)
+        which = np.repeat(np.arange(len(begin)), blocks)
+        begin = begin[which] + (np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * LONGEST
+        end = np.minimum(begin + LONGEST, end[which]) + length - 1
         piece = np.searchsorted(first, begin, side="right") - 1
-        lo, hi = first[piece], first[piece] + sizes[piece]
-        reach = (length - gram + 1) // 2  # one side of a common window has this many bytes
-        left, right = np.maximum(anchor - reach, lo), np.minimum(anchor + gram + reach, hi)
-        # a side cut off by the text's end can't be the longer one, but for a cut piece
-        left_hash = span_hash(sums, left, anchor) >> U(48)
-        right_hash = span_hash(sums, anchor + gram, right) >> U(48)
-        number = np.array([i for i, _, _ in group])[piece]
-        offset = np.array([o for _, o, _ in group])[piece]
-        parts["anchor"].append(hashes[anchor].view(np.int64))
-        parts["mark"].append((span_hash(sums, begin, end) >> U(32)).astype(np.uint32).view(np.int32))
-        parts["sides"].append((left_hash << U(16) | right_hash).astype(np.uint32).view(np.int32))
-        parts["doc"].append(ids[number])
-        parts["start"].append((begin - lo + offset).astype(np.int32))
+        parts["anchor"].append(hashes[at[begin]].view(np.int64))
+        parts["doc_id"].append(ids[np.array([i for i, _, _ in group])[piece]])
+        parts["start"].append((begin - first[piece] + np.array([o for _, o, _ in group])[piece]).astype(np.int32))
         parts["size"].append((end - begin).astype(np.int32))
-    kinds = {"anchor": np.int64, "mark": np.int32, "sides": np.int32, "doc": np.int64, "start": np.int32, "size": np.int32}
+    kinds = {"anchor": np.int64, "doc_id": np.int64, "start": np.int32, "size": np.int32}
     return {c: np.concatenate(v) if v else np.zeros(0, kinds[c]) for c, v in parts.items()}
 
 
@@ -120,68 +122,13 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def _runs_batches(buckets: int, length: int, gram: int):
-    """Runs by bucket.  Of runs with equal text in a batch only those of its
-    smallest document go on to others; the rest are repeats already
-    (bucket -1)."""
-    def batches_of(batches):
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            r = find_runs(as_bytes(batch.column("text")), ids, length, gram)
-            name = span_name(r)
-            order = np.argsort(name, kind="stable")
-            r, name = {c: v[order] for c, v in r.items()}, name[order]
-            if not len(name):
-                continue
-            first, group = _groups(name)
-            later = r["doc"] > np.minimum.reduceat(r["doc"], first)[group]
-            bucket = np.where(later, -1, (r["anchor"].view(U) % U(buckets)).astype(np.int64))
-            order = np.argsort(bucket, kind="stable")
-            r, bucket = {c: v[order] for c, v in r.items()}, bucket[order]
-            first, _ = _groups(bucket)
-            bounds = np.append(first, len(bucket)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[first]), *[pa.ListArray.from_arrays(bounds, pa.array(r[c])) for c in COLUMNS]], names=["bucket", *COLUMNS]
-            )
-
-    return batches_of
-
-
-def span_name(r: dict[str, np.ndarray]) -> np.ndarray:
-    both = (r["mark"].view(np.uint32).astype(U) << U(32)) | r["sides"].view(np.uint32).astype(U)
-    return r["anchor"].view(U) * U(0x9FB21C651E98DF25) ^ both * U(0xC2B2AE3D27D4EB4F) ^ r["size"].astype(U)
-
-
-def _found(doc, start, end, anchor=None) -> pa.Table:
-    marks = pa.nulls(len(doc), pa.int64()) if anchor is None else pa.array(anchor)
-    return pa.table({"doc_id": pa.array(doc, pa.int64()), "start": pa.array(start, pa.int32()), "end": pa.array(end, pa.int32()), "anchor": marks})
-
-
-def _judge(table: pa.Table) -> pa.Table:
-    """One bucket: repeats (anchor null), and runs whose bytes must be looked
-    at (with their anchor)."""
-    r = {c: table[c].combine_chunks().flatten().to_numpy() for c in COLUMNS}
-    order = np.argsort(r["anchor"], kind="stable")
-    anchor, doc = r["anchor"][order], r["doc"][order]
-    first, group = _groups(anchor)
-    several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
-    r = {c: v[order[several[group]]] for c, v in r.items()}
-    if not len(r["doc"]):
-        return _found([], [], [])
-    order = np.lexsort((r["doc"], r["size"], r["sides"], r["mark"], r["anchor"]))
-    r = {c: v[order] for c, v in r.items()}
-    first, group = _groups(r["anchor"], r["mark"], r["sides"], r["size"])
-    repeat = r["doc"] > r["doc"][first][group]
-    out = [_found(r["doc"][repeat], r["start"][repeat], r["start"][repeat] + r["size"][repeat])]
-    r = {c: v[~repeat] for c, v in r.items()}
-    look = np.zeros(len(r["doc"]), bool)
-    for side in (r["sides"].view(np.uint32) >> np.uint32(16), r["sides"].view(np.uint32) & np.uint32(0xFFFF)):
-        order = np.lexsort((side, r["anchor"]))
-        first, group = _groups(r["anchor"][order], side[order])
-        docs = r["doc"][order]
-        look[order] |= (np.minimum.reduceat(docs, first) < np.maximum.reduceat(docs, first))[group]
-    out.append(_found(r["doc"][look], r["start"][look], r["start"][look] + r["size"][look], r["anchor"][look]))
-    return pa.concat_tables(out)
+def _runs_of(length: int, gram: int):
+    def runs(batches):
+        for rows, texts in text_slices(batches, 4 * SLICE):
+            found = find_runs(texts, rows.column("doc_id").to_numpy(zero_copy_only=False), length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], names=list(found))
+
+    return runs
 
 
 #: Symbols (9 bits each) that one number holds.
@@ -253,51 +200,77 @@ def previous_factors(packed: np.ndarray, order: np.ndarray, before: np.ndarray,
     return longest
 
 
+def _spans(hit: np.ndarray, length: int) -> list[dict]:
+    """Rising places of repeated windows as byte ranges."""
+    if not len(hit):
+        return []
+    cut = np.flatnonzero(np.diff(hit) > length)
+    return [{"start": int(a), "end": int(b) + length} for a, b in zip(hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)])]
+
+
 def _factors(length: int):
-    """Repeats among the runs of some anchors, by longest previous factors."""
+    """Verdicts on the different runs of some anchors, by longest previous
+    factors: which bytes go in the run's first document, and in later ones."""
     def factors(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("anchor", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
+        table = table.sort_by("anchor")
         anchors, texts = table["anchor"].to_numpy(), table["bytes"].to_pylist()
-        docs, starts = table["doc_id"].to_numpy(), table["start"].to_numpy()
+        first_doc, last_doc = table["first_doc"].to_numpy(), table["last_doc"].to_numpy()
         sizes = np.array([len(t) + 1 for t in texts])
         # whole anchors at a time, about SLICE bytes
         _, anchor_no = _groups(anchors)
         share = (np.cumsum(sizes) // SLICE)[np.searchsorted(anchor_no, anchor_no)]
-        out = []
+        verdicts = []
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(share)) + 1):
-            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in rows])
+            again = rows[last_doc[rows] > first_doc[rows]]
+            of = np.append(rows, again)  # a run of several documents stands twice
+            docs = np.append(first_doc[rows], last_doc[again])
+            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in of])
             packed = packed_symbols(text, 2 * length + PACK)
-            first = np.cumsum(sizes[rows]) - sizes[rows]
-            owner = np.repeat(np.arange(len(rows)), sizes[rows])
-            before = np.unique(docs[rows], return_inverse=True)[1][owner]
+            begin = np.cumsum(sizes[of]) - sizes[of]
+            owner = np.repeat(np.arange(len(of)), sizes[of])
+            before = np.unique(docs, return_inverse=True)[1][owner]
             longest = previous_factors(packed, suffix_order(packed, len(text), length), before, length)
-            inside = np.repeat(first + sizes[rows] - 1, sizes[rows]) - np.arange(len(text)) >= length  # not over a break
+            inside = np.repeat(begin + sizes[of] - 1, sizes[of]) - np.arange(len(text)) >= length  # not over a break
             hit = np.flatnonzero((longest >= length) & inside)
-            if len(hit):
-                fresh = np.ones(len(hit), bool)
-                fresh[1:] = (np.diff(hit) > 1) | (owner[hit][1:] != owner[hit][:-1])
-                begin = hit[fresh]
-                last = hit[np.append(np.flatnonzero(fresh)[1:] - 1, len(hit) - 1)]
-                of, shift = rows[owner[begin]], starts[rows[owner[begin]]] - first[owner[begin]]
-                out.append(_found(docs[of], begin + shift, last + shift + length))
-        return pa.concat_tables(out) if out else _found([], [], [])
+            bounds = np.searchsorted(owner[hit], np.arange(len(of) + 1))
+            later = dict(zip(again.tolist(), range(len(rows), len(of))))
+            for k, r in enumerate(rows.tolist()):
+                spans = [_spans(hit[bounds[x] : bounds[x + 1]] - begin[x], length) if x is not None else [] for x in (k, later.get(r))]
+                if spans[0] or spans[1]:
+                    verdicts.append((int(anchors[r]), texts[r], int(first_doc[r]), *spans))
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        columns = list(zip(*verdicts)) if verdicts else [[]] * 5
+        return pa.table([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), kind, kind))],
+                        names=["anchor", "bytes", "first_doc", "first", "later"])
 
     return factors
 
 
+def _by_windows(runs: DataFrame, length: int) -> DataFrame:
+    """Verdicts on the runs of anchors with very many of them: each window's
+    smallest document from a group-by on its bytes."""
+    at = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("at")
+    windows = runs.select("anchor", "bytes", "first_doc", "last_doc", at).withColumn("window", F.expr(f"substring(bytes, at + 1, {length})"))
+    least = windows.groupBy("anchor", "window").agg(F.min("first_doc").alias("least"))
+    here = F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end"))
+    gone = F.collect_list(F.when(F.col("least") < F.col("first_doc"), here))  # of one run
+    return windows.join(least, ["anchor", "window"]).groupBy("anchor", "bytes", "first_doc").agg(
+        F.array_sort(gone).alias("first"),
+        F.when(F.max("last_doc") > F.col("first_doc"), F.array_sort(F.collect_list(here))).otherwise(F.array().cast("array<struct<start: int, end: int>>")).alias("later"),
+    ).where("size(first) > 0 or size(later) > 0")
+
+
 def _fetch(batches):
     """The bytes of the runs asked for, from whole texts."""
-    for batch in batches:
-        out = {"anchor": [], "doc_id": [], "start": [], "bytes": []}
-        texts, ids = as_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
-        for text, doc, wanted in zip(texts, ids, batch.column("wanted").to_pylist()):
-            for w in wanted:
-                out["anchor"].append(w["anchor"])
-                out["doc_id"].append(doc)
-                out["start"].append(w["start"])
-                out["bytes"].append(text[w["start"] : w["end"]])
-        yield pa.RecordBatch.from_pydict(
-            {"anchor": pa.array(out["anchor"], pa.int64()), "doc_id": pa.array(out["doc_id"], pa.int64()), "start": pa.array(out["start"], pa.int32()), "bytes": pa.array(out["bytes"], pa.binary())}
+    for rows, texts in text_slices(batches, SLICE):
+        wanted = rows.column("wanted")
+        runs, counts = wanted.flatten(), np.diff(wanted.offsets.to_numpy())
+        starts, sizes = runs.field("start").to_numpy(), runs.field("size").to_numpy()
+        of = np.repeat(np.arange(len(texts)), counts)
+        cut = [texts[i][s : s + n] for i, s, n in zip(of.tolist(), starts.tolist(), sizes.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [runs.field("anchor"), pa.array(cut, pa.binary()), rows.column("doc_id").take(pa.array(of)), runs.field("start")],
+            names=["anchor", "bytes", "doc_id", "start"],
         )
 
 
@@ -305,32 +278,43 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     """``doc_id, start, end``: byte ranges to remove, overlapping ones apart."""
     ship_package(docs.sparkSession)
     rows = rows_with_key(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    runs = written(rows.mapInArrow(_runs_batches(buckets, length, gram), RUNS), "runs")
-    pairs = F.arrays_zip("doc", "start", "size")
-    at_once = (
-        runs.where(F.col("bucket") < 0).select(F.explode(pairs).alias("r"))
-        .select(F.col("r.doc").alias("doc_id"), F.col("r.start").alias("start"), (F.col("r.start") + F.col("r.size")).alias("end"))
-    )
-    judged = written(runs.where(F.col("bucket") >= 0).groupBy("bucket").applyInArrow(_judge, FOUND), "judged")
-    open_ = judged.where(F.col("anchor").isNotNull())
-    wanted = open_.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "end")).alias("wanted"))  # of one document
-    fetched = rows.join(wanted, "doc_id").mapInArrow(_fetch, "anchor long, doc_id long, start int, bytes binary")
-    factors = (
-        fetched.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(64 * buckets)))
-        .dropDuplicates(["anchor", "doc_id", "start"]).groupBy("part").applyInArrow(_factors(length), FOUND)
+    runs = written(rows.mapInArrow(_runs_of(length, gram), RUNS), "runs")
+    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
+    places = written(runs.join(shared, "anchor", "left_semi"), "places")
+    done_with(runs)
+    wanted = places.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("wanted"))  # of one document
+    copies = written(rows.join(wanted, "doc_id").mapInArrow(_fetch, COPIES), "copies", compression="zstd")
+    done_with(places)
+    different = written(
+        copies.groupBy("anchor", "bytes").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")), "different", compression="zstd"
     )
-    done = judged.where(F.col("anchor").isNull()).unionByName(factors).select("doc_id", "start", "end")
-    return at_once.union(done)
+    counted = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    hot = counted.where(F.col("n") > MAX_VARIANTS).select("anchor")
+    total = different.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    shares = max(1, -(-total // SHARE_BYTES))
+    share = F.pmod(F.xxhash64("anchor"), F.lit(shares))
+    some = different
+    if not hot.isEmpty():
+        hot = written(hot, "hot")
+        some = different.join(hot, "anchor", "left_anti")
+    verdicts = some.withColumn("share", share).groupBy("share").applyInArrow(_factors(length), VERDICT)
+    if some is not different:
+        verdicts = verdicts.unionByName(_by_windows(different.join(hot, "anchor", "left_semi"), length))
+    verdicts = written(verdicts, "verdicts", compression="zstd")
+    done_with(different)
+    gone = F.when(F.col("doc_id") == F.col("first_doc"), F.col("first")).otherwise(F.col("later"))
+    spans = copies.join(verdicts, ["anchor", "bytes"]).select("doc_id", "start", F.explode(gone).alias("r"))
+    found = written(spans.select("doc_id", (F.col("start") + F.col("r.start")).alias("start"), (F.col("start") + F.col("r.end")).alias("end")), "spans")
+    done_with(copies, verdicts)
+    return found
 
 
 def _kept(with_text: bool):
     """Removed and kept bytes of each document."""
     def kept(batches):
-        for batch in batches:
+        for batch, texts in text_slices(batches, 4 * SLICE):
             out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-            for text, spans in zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist()):
+            for text, spans in zip(texts, batch.column("spans").to_pylist()):
                 parts, at, removed, n = [], 0, 0, 0
                 reach = -1
                 for s, e in sorted((x["start"], x["end"]) for x in spans or ()):
@@ -369,7 +353,7 @@ def dedup_passages(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
 
 def _cut(batches):
     """Rows with the spans cut from their text."""
-    for batch in batches:
+    for batch, _ in text_slices(batches, 4 * SLICE):
         at = batch.schema.get_field_index("text")
         raw = batch.column(at).cast(pa.large_binary()).to_pylist()
         out = []

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchpulse.session import ensure_checkpoint_dir
+from merchpulse.session import file_system, shared_path
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
@@ -34,18 +33,31 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the session's checkpoint folder, which every
-    executor shares."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Spark's own setting: the shuffle files of a query go when it is done.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: the
-    lineage ends there, and a lost executor loses none of it."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage ends there, and a lost executor loses none of it.  The shuffle
+    files behind it go when it is written."""
+    spark = df.sparkSession
+    path, held = shared_path(spark, name), spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if held is None else spark.conf.set(_CLEAN, held)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made, when nothing reads them any more."""
+    for t in tables:
+        fs, to_path = file_system(t.sparkSession, t.written_to)
+        fs.delete(to_path(t.written_to), True)
 
 
 def rows_with_key(df: DataFrame, key: str, text: str) -> DataFrame:
