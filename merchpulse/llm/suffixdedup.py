@@ -6,17 +6,20 @@ hashes only bring places together.
 
 1. Every window of ``LENGTH`` bytes has an anchor, the leftmost of its grams
    (``GRAM`` bytes) with the least hash, so equal windows have equal anchors.
-   Neighbouring windows of one anchor are one run, about one for every twenty
-   bytes (windows whose anchors tie, as in repetitive text, are one run too).
+   Neighbouring windows of one anchor are one run, about one for every
+   seventeen bytes (windows whose anchors tie, as in repetitive text, are one
+   run too).
 2. Runs whose anchor's hash occurs in one document alone go; only numbers are
-   shuffled for that.  The bytes of the others are fetched.
-3. Runs with equal bytes become one, with the smallest and the largest of
-   their documents, before and after the shuffle, so a passage that a third
-   of all documents share is a row for each task.
-4. The different runs of an anchor are put behind each other, those of several
-   documents twice (for the first and for the later documents).  A suffix
-   array and the previous and next smaller positions in suffix order give the
-   longest previous factor of each place: what an earlier document has.
+   shuffled for that.  Where a slice of text has an anchor in two documents
+   already, its runs stay without meeting others and one marker tells the
+   other slices, so a frequent anchor is a row for each slice in its task.
+3. The bytes of the runs left are fetched, and runs with equal bytes become
+   one, with the smallest and the largest of their documents, before and after
+   the shuffle.  In documents after the smallest all of such a run is a match
+   of an earlier one.
+4. The different runs of an anchor are put behind each other.  A suffix array
+   and the previous and next smaller positions in suffix order give the longest
+   previous factor of each place: what an earlier document has.
 5. Each place of a run takes the verdict of its bytes by a join on them.
 
 An anchor with more than ``MAX_VARIANTS`` different runs is not put into one
@@ -35,14 +38,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_slices, written
 from merchpulse.llm.textbytes import U, prefix_sums, span_hash
 
 LENGTH = 50
-GRAM = 12
+GRAM = 18
 #: Text worked on at once, and the largest piece of a longer text.
 SLICE, PIECE = 1 << 20, 8 << 20
 #: Windows of one run at most: longer ones go on as another run.
@@ -51,7 +54,9 @@ LONGEST = 4096
 MAX_VARIANTS = 20_000
 #: Bytes of different runs behind one task's share.
 SHARE_BYTES = 8 << 20
-RUNS = "anchor long, doc_id long, start int, size int"
+RUNS = "anchor long, salt int, kind int, doc_id long, start int, size int"
+#: Kinds of rows: a run, a run whose anchor is known to be shared, and a marker that it is.
+ALONE, KNOWN, MARKER = 0, 1, 2
 COPIES = "anchor long, bytes binary, doc_id long, start int"
 VERDICT = "anchor long, bytes binary, first_doc long, first array<struct<start: int, end: int>>, later array<struct<start: int, end: int>>"
 
@@ -125,8 +130,23 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _runs_of(length: int, gram: int):
     def runs(batches):
         for rows, texts in text_slices(batches, 4 * SLICE):
-            found = find_runs(texts, rows.column("doc_id").to_numpy(zero_copy_only=False), length, gram)
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], names=list(found))
+            r = find_runs(texts, rows.column("doc_id").to_numpy(zero_copy_only=False), length, gram)
+            if not len(r["anchor"]):
+                continue
+            order = np.argsort(r["anchor"], kind="stable")
+            r = {c: v[order] for c, v in r.items()}
+            first, group = _groups(r["anchor"])
+            shared = np.minimum.reduceat(r["doc_id"], first) < np.maximum.reduceat(r["doc_id"], first)
+            kind = np.where(shared[group], KNOWN, ALONE)
+            # known runs are dealt out by document as well
+            salt = np.where(shared[group], 1 + (r["doc_id"] & 0xFFFF), 0)
+            r = {c: np.concatenate([v, v[first[shared]]]) for c, v in r.items()}
+            marks = np.full(int(shared.sum()), MARKER)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r["anchor"]), pa.array(np.concatenate([salt, 0 * marks]).astype(np.int32)), pa.array(np.concatenate([kind, marks]).astype(np.int32)),
+                 pa.array(r["doc_id"]), pa.array(r["start"]), pa.array(r["size"])],
+                names=["anchor", "salt", "kind", "doc_id", "start", "size"],
+            )
 
     return runs
 
@@ -219,25 +239,25 @@ def _factors(length: int):
         # whole anchors at a time, about SLICE bytes
         _, anchor_no = _groups(anchors)
         share = (np.cumsum(sizes) // SLICE)[np.searchsorted(anchor_no, anchor_no)]
-        verdicts = []
+        whole = [[{"start": 0, "end": int(n) - 1}] if last > doc else [] for n, doc, last in zip(sizes, first_doc, last_doc)]
+        alone = np.bincount(anchor_no)[anchor_no] == 1 if len(texts) else np.zeros(0, bool)
+        found: list[list[dict]] = [[] for _ in texts]
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(share)) + 1):
-            again = rows[last_doc[rows] > first_doc[rows]]
-            of = np.append(rows, again)  # a run of several documents stands twice
-            docs = np.append(first_doc[rows], last_doc[again])
-            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in of])
+            rows = rows[~alone[rows]]  # an anchor's only run has no other to share windows with
+            if not len(rows):
+                continue
+            text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in rows])
             packed = packed_symbols(text, 2 * length + PACK)
-            begin = np.cumsum(sizes[of]) - sizes[of]
-            owner = np.repeat(np.arange(len(of)), sizes[of])
-            before = np.unique(docs, return_inverse=True)[1][owner]
+            begin = np.cumsum(sizes[rows]) - sizes[rows]
+            owner = np.repeat(np.arange(len(rows)), sizes[rows])
+            before = np.unique(first_doc[rows], return_inverse=True)[1][owner]
             longest = previous_factors(packed, suffix_order(packed, len(text), length), before, length)
-            inside = np.repeat(begin + sizes[of] - 1, sizes[of]) - np.arange(len(text)) >= length  # not over a break
+            inside = np.repeat(begin + sizes[rows] - 1, sizes[rows]) - np.arange(len(text)) >= length  # not over a break
             hit = np.flatnonzero((longest >= length) & inside)
-            bounds = np.searchsorted(owner[hit], np.arange(len(of) + 1))
-            later = dict(zip(again.tolist(), range(len(rows), len(of))))
-            for k, r in enumerate(rows.tolist()):
-                spans = [_spans(hit[bounds[x] : bounds[x + 1]] - begin[x], length) if x is not None else [] for x in (k, later.get(r))]
-                if spans[0] or spans[1]:
-                    verdicts.append((int(anchors[r]), texts[r], int(first_doc[r]), *spans))
+            bounds = np.searchsorted(owner[hit], np.arange(len(rows) + 1))
+            for k in np.flatnonzero(np.diff(bounds)).tolist():
+                found[rows[k]] = _spans(hit[bounds[k] : bounds[k + 1]] - begin[k], length)
+        verdicts = [(int(anchors[r]), texts[r], int(first_doc[r]), found[r], whole[r]) for r in range(len(texts)) if found[r] or whole[r]]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         columns = list(zip(*verdicts)) if verdicts else [[]] * 5
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), kind, kind))],
@@ -278,10 +298,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     """``doc_id, start, end``: byte ranges to remove, overlapping ones apart."""
     ship_package(docs.sparkSession)
     rows = rows_with_key(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
-    runs = written(rows.mapInArrow(_runs_of(length, gram), RUNS), "runs")
-    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
-    places = written(runs.join(shared, "anchor", "left_semi"), "places")
-    done_with(runs)
+    runs = rows.mapInArrow(_runs_of(length, gram), RUNS)
+    by = Window.partitionBy("anchor", "salt")
+    shared = (F.max("kind").over(by) > ALONE) | (F.min("doc_id").over(by) < F.max("doc_id").over(by))
+    places = written(runs.withColumn("shared", shared).where((F.col("kind") != MARKER) & F.col("shared")).select("anchor", "doc_id", "start", "size"), "places")
     wanted = places.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("wanted"))  # of one document
     copies = written(rows.join(wanted, "doc_id").mapInArrow(_fetch, COPIES), "copies", compression="zstd")
     done_with(places)
