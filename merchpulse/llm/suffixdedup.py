@@ -17,7 +17,8 @@ hashes only bring places together.
    one, with the smallest and the largest of their documents, before and after
    the shuffle.  In documents after the smallest all of such a run is a match
    of an earlier one.
-4. The different runs of an anchor are put behind each other.  A suffix array
+4. The different runs of an anchor that agree on one side of it, without which
+   they share no window, are put behind each other.  A suffix array
    and the previous and next smaller positions in suffix order give the longest
    previous factor of each place: what an earlier document has.
 5. Each place of a run takes the verdict of its bytes by a join on them.
@@ -228,7 +229,41 @@ def _spans(hit: np.ndarray, length: int) -> list[dict]:
     return [{"start": int(a), "end": int(b) + length} for a, b in zip(hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)])]
 
 
-def _factors(length: int):
+def may_share(texts: list[bytes], anchors: np.ndarray, docs: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Which runs can share a window with a run of the same anchor (in order of
+    anchors) and another document.
+
+    Around its anchor a window has ``length - gram`` bytes, so two runs that
+    share one agree in half of that before the anchor or behind it; unequal
+    hashes of these bytes are unequal bytes.  Where a run holds its anchor
+    several times, the anchor's runs all stay.
+    """
+    sizes = np.array([len(t) for t in texts])
+    begin = np.cumsum(sizes) - sizes
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    sums = prefix_sums(buf)
+    grams = np.arange(len(buf) - gram + 1)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    at = np.flatnonzero(span_hash(sums, grams, grams + gram).view(np.int64) == anchors[owner[: len(grams)]])
+    at = at[at + gram <= (begin + sizes)[owner[at]]]
+    first, group = _groups(anchors)
+    several = np.bincount(owner[at], minlength=len(texts)) != 1
+    out = np.maximum.reduceat(several.astype(np.int8), first)[group].astype(bool)
+    where = np.zeros(len(texts), np.int64)
+    where[owner[at]] = at
+    reach = (length - gram + 1) // 2
+    for a, b in ((where - reach, where), (where + gram, where + gram + reach)):
+        inside = np.flatnonzero((a >= begin) & (b <= begin + sizes))
+        side = span_hash(sums, a[inside], b[inside])
+        order = np.lexsort((side, anchors[inside]))
+        some = inside[order]
+        if len(some):
+            first, group = _groups(anchors[some], side[order])
+            out[some] |= (np.minimum.reduceat(docs[some], first) < np.maximum.reduceat(docs[some], first))[group]
+    return np.flatnonzero(out)
+
+
+def _factors(length: int, gram: int):
     """Verdicts on the different runs of some anchors, by longest previous
     factors: which bytes go in the run's first document, and in later ones."""
     def factors(table: pa.Table) -> pa.Table:
@@ -240,10 +275,9 @@ def _factors(length: int):
         _, anchor_no = _groups(anchors)
         share = (np.cumsum(sizes) // SLICE)[np.searchsorted(anchor_no, anchor_no)]
         whole = [[{"start": 0, "end": int(n) - 1}] if last > doc else [] for n, doc, last in zip(sizes, first_doc, last_doc)]
-        alone = np.bincount(anchor_no)[anchor_no] == 1 if len(texts) else np.zeros(0, bool)
         found: list[list[dict]] = [[] for _ in texts]
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(share)) + 1):
-            rows = rows[~alone[rows]]  # an anchor's only run has no other to share windows with
+            rows = rows[may_share([texts[r] for r in rows], anchors[rows], first_doc[rows], length, gram)]
             if not len(rows):
                 continue
             text = np.concatenate([np.append(np.frombuffer(texts[r], np.uint8).astype(np.int64) + 1, BREAK) for r in rows])
@@ -317,13 +351,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     if not hot.isEmpty():
         hot = written(hot, "hot")
         some = different.join(hot, "anchor", "left_anti")
-    verdicts = some.withColumn("share", share).groupBy("share").applyInArrow(_factors(length), VERDICT)
+    verdicts = some.withColumn("share", share).groupBy("share").applyInArrow(_factors(length, gram), VERDICT)
     if some is not different:
         verdicts = verdicts.unionByName(_by_windows(different.join(hot, "anchor", "left_semi"), length))
     verdicts = written(verdicts, "verdicts", compression="zstd")
     done_with(different)
     gone = F.when(F.col("doc_id") == F.col("first_doc"), F.col("first")).otherwise(F.col("later"))
-    spans = copies.join(verdicts, ["anchor", "bytes"]).select("doc_id", "start", F.explode(gone).alias("r"))
+    # the bytes hold their anchor
+    spans = copies.select("bytes", "doc_id", "start").join(verdicts.drop("anchor"), "bytes").select("doc_id", "start", F.explode(gone).alias("r"))
     found = written(spans.select("doc_id", (F.col("start") + F.col("r.start")).alias("start"), (F.col("start") + F.col("r.end")).alias("end")), "spans")
     done_with(copies, verdicts)
     return found
