@@ -22,6 +22,7 @@ from __future__ import annotations
 import html as _html
 import re
 import sys
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +34,8 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # a quote opens a value only after an equals sign; one that is never closed ends with the tag
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))*+)(?:>|\Z)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s/=>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -44,12 +46,12 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 #: Elements whose text is never main text.
 DROPPED = RAW | frozenset(
-    "nav header footer aside form button select option input label fieldset dialog menu svg math canvas object "
+    "nav header footer aside button select option input label fieldset dialog menu svg math canvas object "
     "audio video head figure-caption".split()
 )
 BLOCK = frozenset(
     "html body p div section article main h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
-    "caption pre blockquote figure figcaption address center details summary hgroup".split()
+    "caption pre blockquote figure figcaption address center details summary hgroup form".split()
 )
 #: Words of a class, id or role that mark something other than the article.
 UNLIKELY = frozenset(
@@ -61,6 +63,13 @@ UNLIKELY = frozenset(
     "contentinfo complementary dialog skip hidden".split()
 )
 LIKELY = frozenset("article body content entry main page post story text blog".split())
+#: Elements that the words of a class, id or role can leave out whole; those of
+#: a paragraph, heading or inline element never do.
+CONTAINERS = frozenset("div section ul ol dl table form article main details center address figure td tr".split())
+#: Elements of which the text is that of paragraphs.
+PARAGRAPHS = frozenset("p pre blockquote td li".split())
+#: A form stays, and is scored like any other, if it has this share of the paragraphs' text.
+FORM_SHARE = 0.5
 #: Start tags that close an open element of these names first.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -72,12 +81,12 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "weight", "dropped", "chars", "links", "score", "listed")
+    __slots__ = ("name", "parent", "items", "weight", "dropped", "chars", "links", "commas", "score", "listed")
 
     def __init__(self, name, parent, dropped=False, weight=0):
         self.name, self.parent, self.dropped, self.weight = name, parent, dropped, weight
         self.items: list = []  # text and nodes, in page order
-        self.chars = self.links = 0
+        self.chars = self.links = self.commas = 0
         self.score = 0.0
         self.listed = False
 
@@ -95,13 +104,25 @@ def _marks(name: str, attrs: str) -> tuple[bool, int]:
     )
     words = {w for key in ("class", "id", "role") for w in _LETTERS.findall(found.get(key, ""))}
     likely, unlikely = bool(words & LIKELY), bool(words & UNLIKELY)
-    return hidden or unlikely and not likely and name not in ("article", "main"), 25 * likely - 25 * unlikely
+    out = unlikely and not likely and name in CONTAINERS and name not in ("article", "main")
+    return hidden or out, 25 * likely - 25 * unlikely
 
 
 def parse(page: str) -> Node:
     """The page's tree, without what can never be main text."""
     root = node = Node("#page", None)
     at, end = 0, len(page)
+    count: Counter[str] = Counter()  # open elements by name, so that no search goes up in vain
+
+    def closed(up: Node) -> Node:
+        """Close everything up to and including ``up``."""
+        n = node
+        while True:
+            count[n.name] -= 1
+            if n is up:
+                return up.parent
+            n = n.parent
+
     while at < end:
         m = _TAG.search(page, at)
         if m is None:
@@ -117,11 +138,11 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m[2]:  # an end tag closes the nearest open element of its name
-            up = node
-            while up is not root and up.name != name:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            if count[name] > 0:
+                up = node
+                while up.name != name:
+                    up = up.parent
+                node = closed(up)
             elif name == "p":
                 node.items.append(Node("p", node))
             continue
@@ -134,32 +155,51 @@ def parse(page: str) -> Node:
             continue
         if name in VOID or m[4].endswith("/") and name in ("path", "circle", "use"):
             continue
-        if name in BLOCK or name in DROPPED:
+        if count["p"] > 0 and (name in BLOCK or name in DROPPED or name == "form"):
             up = node  # a block ends an open paragraph
             while up is not root and up.name not in SCOPE and up.name != "p":
                 up = up.parent
             if up.name == "p":
-                node = up.parent
-        if name in CLOSES:
+                node = closed(up)
+        if name in CLOSES and any(count[x] > 0 for x in CLOSES[name]):
             up = node
             while up is not root and up.name not in CLOSES[name] and up.name not in SCOPE - CLOSES[name]:
                 up = up.parent
             if up.name in CLOSES[name]:
-                node = up.parent
+                node = closed(up)
         unlikely, weight = _marks(name, m[4]) if m[4] and name not in ("html", "body") else (False, 0)
-        child = Node(name, node, name in DROPPED and not _article_header(name, node) or unlikely, weight)
+        # a header inside an article holds its title
+        never = name in DROPPED and not (name == "header" and count["article"] > 0)
+        child = Node(name, node, never or unlikely, weight)
         node.items.append(child)
+        count[name] += 1
         node = child
+    _judge_forms(root)
     return root
 
 
-def _article_header(name: str, parent: Node) -> bool:
-    """A header inside an article holds its title."""
-    while name == "header" and parent is not None:
-        if parent.name == "article":
-            return True
-        parent = parent.parent
-    return False
+def _judge_forms(root: Node) -> None:
+    """Leave out forms, but for one that holds most of the page's paragraphs,
+    as where a page is one form."""
+    forms: list[list] = []  # each with its paragraphs' characters
+    total = 0
+    todo: list[tuple[Node, bool, tuple[int, ...]]] = [(root, False, ())]
+    while todo:
+        n, paragraph, inside = todo.pop()
+        for x in n.items:
+            if isinstance(x, str):
+                size = len(x) if paragraph else 0
+                total += size
+                for f in inside:
+                    forms[f][1] += size
+            elif not x.dropped:
+                within = inside
+                if x.name == "form" and len(inside) < 8:  # forms do not nest; deeper ones go with the outer
+                    within = (*inside, len(forms))
+                    forms.append([x, 0])
+                todo.append((x, paragraph or x.name in PARAGRAPHS, within))
+    for form, size in forms:
+        form.dropped = not total or size < FORM_SHARE * total
 
 
 def _text(raw: str) -> str:
@@ -194,9 +234,10 @@ def blocks(node: Node, out: list[str]) -> None:
 
 def _measure(n: Node, in_link: bool, scored: list[Node]) -> None:
     """Characters and link characters below each node, points for paragraphs."""
-    commas, has_block = 0, False
+    has_block = False
     for x in n.items:
         if isinstance(x, str):
+            n.commas += _text(x).count(",")
             size = len(x) if x.count(" ") < 2 else len(" ".join(x.split()))
             n.chars += size
             n.links += size if in_link else 0
@@ -204,13 +245,11 @@ def _measure(n: Node, in_link: bool, scored: list[Node]) -> None:
             _measure(x, in_link or x.name == "a", scored)
             n.chars += x.chars
             n.links += x.links
+            n.commas += x.commas
             has_block |= x.name in BLOCK
     if n.name in ("p", "pre", "blockquote", "td", "h1", "h2", "h3", "li") or n.name in ("div", "section", "article", "main", "body") and not has_block:
         if n.chars:
-            sizes: list[str] = []
-            blocks(n, sizes)
-            commas = sum(t.count(",") for t in sizes)
-            points = (1 + commas + min(n.chars / 100, 3)) * (1 - n.links / n.chars)
+            points = (1 + n.commas + min(n.chars / 100, 3)) * (1 - n.links / n.chars)
             if n.name in ("li", "h1", "h2", "h3"):
                 points *= 0.25
             share, up = 1.0, n.parent if n.name not in ("div", "section", "article", "main", "body") else n

@@ -106,7 +106,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        # texts that hold an added token's content are encoded whole
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         cut = self.tokenizer.pre_tokenizer
         self.bytewise = self.tokenizer.normalizer is None and isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space
         if self.bytewise:
@@ -175,7 +176,10 @@ class PieceEncoder:
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with the end id, and how many each has."""
-        apart = [i for i, t in enumerate(texts) if not self.bytewise or not t.isascii() and _RARE.search(t.decode())]
+        apart = [
+            i for i, t in enumerate(texts)
+            if not self.bytewise or any(a in t for a in self.added) or not t.isascii() and _RARE.search(t.decode())
+        ]
         skip = set(apart)
         ids, sizes = self.by_pieces([b"" if i in skip else t for i, t in enumerate(texts)])
         if apart:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 
 U = np.uint64
+#: Bytes from which a word is hashed by itself.
+LONG_WORD = 256
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -69,7 +72,27 @@ class Words:
     first: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        return span_hash(prefix_sums(self.buf), self.starts, self.ends)
+        """64-bit hashes of the words: eight bytes at a time through ``mix``,
+        which is not linear, so that no structure of a text (as of a polynomial
+        modulo a power of two) makes two words' hashes equal."""
+        size = self.ends - self.starts
+        out = mix(size.astype(U) * U(0xD6E8FEB86659FD93) + U(1))
+        long = np.flatnonzero(size > LONG_WORD)
+        left = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+        wide = np.append(self.buf, np.zeros(8, np.uint8))
+        eight = np.lib.stride_tricks.sliding_window_view(wide, 8)
+        at = 0
+        while len(left):
+            some = eight[self.starts[left] + at].view("<u8").ravel()
+            rest = np.minimum(size[left] - at, 8).astype(U)
+            some = some & (U(0xFFFFFFFFFFFFFFFF) >> (U(64) - U(8) * rest))
+            out[left] = mix((out[left] ^ mix(some + U(0x9E3779B97F4A7C15))) * U(0x9FB21C651E98DF25) + rest)
+            at += 8
+            left = left[size[left] > at]
+        for i in long.tolist():
+            word = self.buf[self.starts[i] : self.ends[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return out
 
 
 def split_words(texts: list[bytes], is_word: np.ndarray, lower: bool = True) -> Words:

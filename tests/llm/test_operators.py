@@ -288,8 +288,7 @@ def test_token_ids(docs, empty, spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    odd = [(900, "a　b \x1c c  \n\n d \t"), (901, "it's  ''s <|endoftext|>!\r\n"), (902, "\x85\xa0 ​ x")]
+    odd = [(900, "a　b \x1c c  \n\n d \t"), (901, "it's  ''s <|endoftext|>!\r\n"), (902, "\x85\xa0 ​ x"), (903, "a <|endoftext|> b")]
     more = docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
     got = idcodec.read_ids(idcodec.write_ids(more, tokenizer_path())).collect()
     at = 0
