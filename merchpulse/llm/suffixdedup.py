@@ -221,12 +221,19 @@ def previous_factors(packed: np.ndarray, order: np.ndarray, before: np.ndarray,
     return longest
 
 
-def _spans(hit: np.ndarray, length: int) -> list[dict]:
-    """Rising places of repeated windows as byte ranges."""
-    if not len(hit):
-        return []
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _ranges(hit: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rising places of repeated windows as starts and ends of byte ranges."""
     cut = np.flatnonzero(np.diff(hit) > length)
-    return [{"start": int(a), "end": int(b) + length} for a, b in zip(hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)])]
+    return hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)] + length
+
+
+def _lists(counts: np.ndarray, starts: list[np.ndarray], ends: list[np.ndarray]) -> pa.Array:
+    """Lists of ranges, ``counts`` in each."""
+    ranges = [pa.array(np.concatenate([_NONE[0], *x]).astype(np.int32)) for x in (starts, ends)]
+    return pa.ListArray.from_arrays(np.append(0, np.cumsum(counts)).astype(np.int32), pa.StructArray.from_arrays(ranges, names=["start", "end"]))
 
 
 def may_share(texts: list[bytes], anchors: np.ndarray, docs: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -274,8 +281,7 @@ def _factors(length: int, gram: int):
         # whole anchors at a time, about SLICE bytes
         _, anchor_no = _groups(anchors)
         share = (np.cumsum(sizes) // SLICE)[np.searchsorted(anchor_no, anchor_no)]
-        whole = [[{"start": 0, "end": int(n) - 1}] if last > doc else [] for n, doc, last in zip(sizes, first_doc, last_doc)]
-        found: list[list[dict]] = [[] for _ in texts]
+        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(share)) + 1):
             rows = rows[may_share([texts[r] for r in rows], anchors[rows], first_doc[rows], length, gram)]
             if not len(rows):
@@ -290,12 +296,18 @@ def _factors(length: int, gram: int):
             hit = np.flatnonzero((longest >= length) & inside)
             bounds = np.searchsorted(owner[hit], np.arange(len(rows) + 1))
             for k in np.flatnonzero(np.diff(bounds)).tolist():
-                found[rows[k]] = _spans(hit[bounds[k] : bounds[k + 1]] - begin[k], length)
-        verdicts = [(int(anchors[r]), texts[r], int(first_doc[r]), found[r], whole[r]) for r in range(len(texts)) if found[r] or whole[r]]
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        columns = list(zip(*verdicts)) if verdicts else [[]] * 5
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), kind, kind))],
-                        names=["anchor", "bytes", "first_doc", "first", "later"])
+                found[int(rows[k])] = _ranges(hit[bounds[k] : bounds[k + 1]] - begin[k], length)
+        several = last_doc > first_doc  # later documents lose all of it
+        kept = several.copy()
+        kept[list(found)] = True
+        rows = np.flatnonzero(kept)
+        some = [found.get(r, _NONE) for r in rows.tolist()]
+        first = _lists(np.array([len(a) for a, _ in some], np.int64), [a for a, _ in some], [b for _, b in some])
+        later = _lists(several[rows].astype(np.int64), [np.zeros(int(several.sum()), np.int64)], [sizes[several] - 1])
+        return pa.table(
+            [pa.array(anchors[rows]), table["bytes"].combine_chunks().take(pa.array(rows)), pa.array(first_doc[rows]), first, later],
+            names=["anchor", "bytes", "first_doc", "first", "later"],
+        )
 
     return factors
 
