@@ -4,12 +4,15 @@ Labels are of documents; words of training documents get theirs from them: a
 word of a toxic document is labelled toxic if one of its features is much
 more frequent in toxic documents than in others.  Features of a word
 (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``, A-Z lower-cased) are the word and its
-first 3 to 6 bytes, hashed to ``2**BITS`` buckets.  Document frequencies by
-label come from all training documents, summed by Spark; the field's weights
-and the step from marginals to a document's score are fitted on a bounded
-sample of them, ``SAMPLE`` documents in the order of a hash of their ids: of
-each label its share, but at least a fifth of the sample or all it has.  The
-regression weighs them back to the true rate.
+first 3 to 6 bytes, hashed to ``2**BITS`` buckets.  All learning is from
+labelled training documents, whose number is bounded: document frequencies by
+label come from about ``COUNTED`` of them (all, if there are fewer), the
+field's weights and the step from marginals to a document's score from
+``SAMPLE`` of these.  Both are drawn by a hash of the ids, of each label its
+share, but at least a fifth of the number or all it has.  The regression
+weighs them back to the true rate.  Ids are drawn without reading a text;
+they are broadcast, at most about ``COUNTED`` of them, so that texts are read
+in place and never shuffled, but for one text of each of the ``SAMPLE``.
 
 Forward-backward gives each word's probability of being toxic in its whole
 text.  Their sum, its share above one, their maximum and their density
@@ -19,7 +22,8 @@ offending spans (byte offsets).
 Defined cases: null and empty texts have no words and the score of zero
 evidence; documents without an id are scored and never learned from, neither
 are labels that are null; several labels of one id count as toxic if one is;
-repeated rows are scored each; other columns are not looked at; without
+repeated rows are scored each, and counted each, while the field is fitted on
+the one whose text has the smallest hash; other columns are not looked at; without
 labels of both kinds every score is the rate of toxic labels (0 if none).
 """
 
@@ -31,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchpulse.llm.hmm import packed
-from merchpulse.llm.tables import rows_with_key, ship_package, text_slices, written
+from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_slices, written
 from merchpulse.llm.textbytes import ALNUM, U, Words, prefix_sums, span_hash, split_words
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6)
+#: Labelled documents that frequencies are counted on, about, and the field is fitted on.
+COUNTED = 200_000
 SAMPLE = 3_000
 LANE = 256
 ROUNDS = 25
@@ -44,6 +50,7 @@ SEED_ODDS, SEED_DOCS = 2.5, 3
 THRESHOLD = 0.7
 SLICE_BYTES = 4 << 20
 NONE = 1 << BITS  # the bucket of features that a word does not have; weight 0
+DOCS = NONE + 1  # where documents themselves are counted
 
 
 def features(words: Words) -> np.ndarray:
@@ -63,16 +70,24 @@ def _count_features(batches):
         words = split_words(texts, ALNUM)
         of = np.repeat(np.arange(len(texts)), np.diff(words.first))
         keys = np.unique((of[:, None] * (NONE + 1) + features(words)).ravel())
-        toxic = np.array(rows.column("toxic").to_pylist(), bool)[keys // (NONE + 1)]
+        label = np.array(rows.column("toxic").to_pylist(), bool)
+        toxic = label[keys // (NONE + 1)]
         bucket, at = np.unique(keys % (NONE + 1), return_inverse=True)
         n = np.bincount(at, minlength=len(bucket))
         t = np.bincount(at, weights=toxic, minlength=len(bucket)).astype(np.int64)
+        bucket, n, t = np.append(bucket, DOCS), np.append(n, len(label)), np.append(t, label.sum())
         yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(t), pa.array(n - t)], names=["bucket", "toxic", "clean"])
 
 
 def marginals(lines: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
     """Probability of label 1 at each place of some sequences, given each
     place's score of label 1 (label 0 has 0) and the scores of label pairs."""
+    return forward_backward(lines, move)[0]
+
+
+def forward_backward(lines: list[np.ndarray], move: np.ndarray, pairs: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """``marginals``, and with ``pairs`` the expected number of each pair of
+    neighbouring labels, from the same pass."""
     flat, active, order = packed_floats(lines)
     # potentials divided by their larger one, so that no score overflows
     high = np.maximum(flat, 0)
@@ -91,10 +106,18 @@ def marginals(lines: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
         beta[p : p + n] = here / here.sum(axis=1, keepdims=True)
     both = alpha * beta
     p = both[:, 1] / both.sum(axis=1)
+    expected = np.zeros((2, 2))
+    if pairs and len(active) > 1:
+        at = np.repeat(np.arange(len(active)), active)
+        later = np.flatnonzero(at > 0)
+        earlier = base[at[later] - 1] + (later - base[at[later]])
+        ahead = emit[later] * beta[later]
+        whole = ((alpha[earlier] @ step) * ahead).sum(axis=1)
+        expected = step * (alpha[earlier].T @ (ahead / whole[:, None]))
     out: list[np.ndarray] = [np.zeros(0)] * len(lines)
     for rank, i in enumerate(order):
         out[i] = p[base[: len(lines[i])] + rank]
-    return out
+    return out, expected
 
 
 def packed_floats(lines: list[np.ndarray]):
@@ -105,14 +128,6 @@ def packed_floats(lines: list[np.ndarray]):
     return np.concatenate([*lines, np.zeros(0)])[places], active, order
 
 
-def pair_marginals(flat, p, first_of_line, move):
-    """Expected label pairs of neighbours, taking neighbours' marginals and the
-    pair scores (one step of the mean field)."""
-    a, b = p[:-1][~first_of_line[1:]], p[1:][~first_of_line[1:]]
-    joint = np.stack([(1 - a) * (1 - b), (1 - a) * b, a * (1 - b), a * b], axis=1) * np.exp(move - move.max()).ravel()
-    return (joint / joint.sum(axis=1, keepdims=True)).sum(axis=0).reshape(2, 2)
-
-
 class Field:
     """Weights by bucket, bias, pair scores and the regression of scores."""
 
@@ -181,11 +196,11 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, odds: np.ndarray, rate: flo
     pairs = np.bincount(labels[:-1][seen] * 2 + labels[1:][seen], minlength=4).reshape(2, 2) if len(of) else np.zeros((2, 2))
     for _ in range(ROUNDS if len(of) else 0):
         flat = w[column].sum(axis=1) + bias
-        p = np.concatenate(marginals([flat[x] for x in lanes], move))
-        gap = labels - p
+        p, expected = forward_backward([flat[x] for x in lanes], move, pairs=True)
+        gap = labels - np.concatenate(p)
         g_w = np.bincount(column.ravel(), weights=np.repeat(gap, feats.shape[1]), minlength=len(used)) - 0.02 * w
         g_b = gap.sum()
-        g_m = pairs - pair_marginals(flat, p, start, move) - 0.1 * move
+        g_m = pairs - expected - 0.1 * move
         if last is not None:  # each step grows while the gradient keeps its sign
             step_w *= np.where(g_w * last[0] >= 0, 1.2, 0.5)
             step_b *= 1.2 if g_b * last[1] >= 0 else 0.5
@@ -210,31 +225,64 @@ def fit_field(texts: list[bytes], toxic: np.ndarray, odds: np.ndarray, rate: flo
 FIELD = "weights array<float>, bias double, move array<double>, regression array<double>"
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+def shares(n_toxic: int, n_clean: int, size: int) -> tuple[int, int]:
+    """How many of ``size`` documents are to be toxic and clean: each label's
+    share, but at least a fifth of them or all it has."""
+    rate, least = n_toxic / max(n_toxic + n_clean, 1), size // 5
+    toxic = min(n_toxic, max(least, round(size * rate), size - n_clean), size - min(n_clean, least))
+    return toxic, min(n_clean, size - toxic)
+
+
+def drawn(known: DataFrame, n_toxic: int, n_clean: int, size: int) -> DataFrame:
+    """About ``size`` of the rows of ``known(doc_id, toxic)``, by a hash of the
+    id that is even over its range; nothing is sorted."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / float(1 << 52)
+    toxic, clean = shares(n_toxic, n_clean, size)
+    share = F.when(F.col("toxic"), toxic / max(n_toxic, 1)).otherwise(clean / max(n_clean, 1))
+    return known.where(place < share)
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, counted: int = COUNTED) -> Field:
     spark = docs.sparkSession
     ship_package(spark)
+    texts = rows_with_key(docs, "doc_id", "text")
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
         .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+        .join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     )
-    rows = written(rows_with_key(docs, "doc_id", "text").join(known, "doc_id"), "labelled")
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
+    known = written(known, "known")
+
+    def numbers(rows: DataFrame) -> tuple[int, int]:
+        n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return n.get(True, 0), n.get(False, 0)
+
+    n_toxic, n_clean = numbers(known)
     rate = n_toxic / max(n_toxic + n_clean, 1)
-    counted = rows.mapInArrow(_count_features, "bucket int, toxic long, clean long").groupBy("bucket").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+    if not n_toxic or not n_clean:
+        done_with(known)
+        return Field(np.zeros(NONE + 1, np.float32), -9.0, np.zeros((2, 2)), None, rate)
+    taught = written(drawn(known, n_toxic, n_clean, max(counted, sample)).coalesce(8), "taught")
+    counts = (
+        texts.join(F.broadcast(taught), "doc_id").mapInArrow(_count_features, "bucket int, toxic long, clean long")
+        .groupBy("bucket").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+    )
+    counts = written(counts, "frequencies")  # at most 2**BITS + 2 rows
+    whole = counts.where(F.col("bucket") == DOCS).first()
+    rows_toxic, rows_clean = (whole["t"], whole["c"]) if whole else (0, 0)
     odds = np.zeros(NONE + 1)
-    telling = counted.where((F.col("t") >= SEED_DOCS) & (F.col("t") * (n_clean + 1) > F.col("c") * (n_toxic + 1)) & (F.col("bucket") < NONE))
-    found = telling.toArrow()  # at most 2**BITS rows
+    telling = counts.where((F.col("t") >= SEED_DOCS) & (F.col("t") * (rows_clean + 1) > F.col("c") * (rows_toxic + 1)) & (F.col("bucket") < NONE))
+    found = telling.toArrow()
     t, c = found["t"].to_numpy(), found["c"].to_numpy()
-    odds[found["bucket"].to_numpy()] = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
+    odds[found["bucket"].to_numpy()] = np.log((t + 0.5) / (rows_toxic + 1)) - np.log((c + 0.5) / (rows_clean + 1))
     sent = spark.sparkContext.broadcast(odds.astype(np.float32))
-    least = sample // 5
-    few_toxic = min(n_toxic, max(least, round(sample * rate), sample - n_clean), sample - min(n_clean, least))
-    few_clean = min(n_clean, sample - few_toxic)
+    few_toxic, few_clean = shares(n_toxic, n_clean, sample)
+    here_toxic, here_clean = numbers(taught)
+    few_toxic, few_clean = min(few_toxic, here_toxic), min(few_clean, here_clean)
     # documents that one of the sample stands for; 1 for the label with the larger share in it
     each = np.array([n_clean / max(few_clean, 1), n_toxic / max(few_toxic, 1)])
-    each /= each[each > 0].min(initial=np.inf) if each.any() else 1.0
+    each /= each.min()
 
     def fit(batches):
         texts, toxic = [], []
@@ -249,10 +297,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
             names=["weights", "bias", "move", "regression"],
         )
 
-    by_hash = lambda kind, n: rows.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("text", "toxic")
+    by_hash = lambda kind, n: taught.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     few = by_hash(F.col("toxic"), few_toxic).union(by_hash(~F.col("toxic"), few_clean))
-    got = few.coalesce(1).mapInArrow(fit, FIELD).toArrow()
-    if not got.num_rows or not n_toxic or not n_clean:
+    chosen = (
+        texts.join(F.broadcast(few), "doc_id")
+        .groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
+    # the order of rows is that of their ids, so that sums come out alike in every run
+    got = chosen.repartition(1).sortWithinPartitions("doc_id").select("text", "toxic").mapInArrow(fit, FIELD).toArrow()
+    done_with(known, taught, counts)
+    if not got.num_rows:
         return Field(np.zeros(NONE + 1, np.float32), -9.0, np.zeros((2, 2)), None, rate)
     weights = got["weights"].combine_chunks().flatten().to_numpy()
     move, regression = np.array(got["move"][0].as_py()).reshape(2, 2), got["regression"][0].as_py()
