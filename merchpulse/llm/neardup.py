@@ -21,10 +21,12 @@ similarity, and the full sets confirm it exactly.
    a group of copies costs about one comparison a member.
 4. Components of confirmed links; the smallest id names a component.
 
-The prefix and estimate thresholds: at similarity J >= 0.8 the union sketch
-of k = 64 holds fewer than 32 common values, that of k = 256 fewer than 166,
-with a probability below 1e-7 (six standard deviations); sets of up to k
-shingles are compared exactly.
+The prefix and estimate thresholds follow from the similarity asked for: of
+the k values of a union sketch, fewer than ``least_common(k, percent)`` are
+common to two documents as similar as that with a probability below 1e-8 (the
+values are drawn from the union without replacement, whose tail is below the
+binomial one); sets of up to k shingles are compared exactly.  Tables of a
+round are removed when the next one's are written.
 
 Defined cases: null texts and texts without words have an empty set, are
 linked with nothing and stay; documents without an id take no part in linking
@@ -36,6 +38,7 @@ smallest; other columns are not looked at.
 from __future__ import annotations
 
 from itertools import count
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +46,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchpulse.llm.graph import components
-from merchpulse.llm.tables import rows_with_key, ship_package, text_slices, written
+from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_slices, written
 from merchpulse.llm.textbytes import NONSPACE, U, mix, split_words
 
-#: The coarse sketch, and the common values that two similar ones have at least.
-K, LEAST = 64, 32
-#: The same for the fine sketch of documents that the coarse one shortlists.
-FINE_K, FINE_LEAST = 256, 166
+#: Values of the coarse sketch, and of the fine one of documents that it shortlists.
+K, FINE_K = 64, 256
+#: The probability that a pair is missed by a sketch's threshold.
+MISSED = 1e-8
 SLICE_BYTES = 4 << 20
 _ORDER = [U(0x9FB21C651E98DF25), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)]
 
 
+def least_common(k: int, percent: int) -> int:
+    """Common values that the union sketch of two documents with a similarity
+    of ``percent`` has at least, but for a chance of ``MISSED``."""
+    p, tail = percent / 100, 0.0
+    for n in range(k + 1):
+        tail += comb(k, n) * p**n * (1 - p) ** (k - n)
+        if tail >= MISSED:
+            return max(n, 1)
+    return k
+
+
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's shingles, as signed integers."""
     words = split_words(texts, NONSPACE)
@@ -117,7 +131,7 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
     )
 
 
-def postings(classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
+def postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``value, class, n, weight, near``: each class under its rarest retained
     values; ``near`` marks those that the smaller of a pair is found by."""
     values = classes.select("class", F.col("n_shingles").alias("n"), F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
@@ -133,7 +147,7 @@ def postings(classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     # 2 - 100 / p of them with a sketch.
     whole, small = F.col("n") <= k, 100 * F.col("n") < percent * k
     n = F.col("kept")
-    far = F.when(small, F.ceil(n * percent / 100)).when(whole, F.ceil(n * (2 - 100 / percent))).otherwise(F.lit(least).cast("long"))
+    far = F.when(small, F.ceil(n * percent / 100)).when(whole, F.ceil(n * (2 - 100 / percent))).otherwise(F.lit(least_common(k, percent)).cast("long"))
     near = F.when(small, F.ceil(n * (2 * percent) / (100 + percent))).otherwise(far)
     unshared = n - F.size("shared")
     return (
@@ -161,25 +175,27 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
     ``classes``: class, n_shingles, sketch; ``texts(classes)`` gives
     rows with the texts of the classes asked for.
     """
-    coarse = postings(classes, K, LEAST, percent)
+    coarse = postings(classes, K, percent)
     shared = coarse.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("value")
     in_lists = written(coarse.join(shared, "value").select("class").distinct(), "shortlist")
     sets = texts(in_lists).mapInArrow(_set_batches(width), "class long, members array<long>").join(in_lists, "class", "left_semi")
     sets = written(sets.dropDuplicates(["class"]), "sets")
     fine = sets.select("class", F.size("members").cast("long").alias("n_shingles"), F.slice("members", 1, FINE_K).alias("sketch"))
-    live = written(postings(fine, FINE_K, FINE_LEAST, percent), "postings")
-    sketch = classes.select("class", "sketch").join(live.select("class").distinct(), "class")
+    live = written(postings(fine, FINE_K, percent), "postings")
+    sketch = written(classes.select("class", "sketch").join(live.select("class").distinct(), "class"), "sketch")
     labels = all_links = tested = None
+    kept = [in_lists, sets, sketch]
     for round_ in count():
         member = live
         if labels is not None:
-            member = live.join(labels, "class", "left")
+            member = live.join(labels.withColumnRenamed("node", "class"), "class", "left")
         else:
             member = live.withColumn("component", F.col("class"))
         member = member.withColumn("component", F.coalesce("component", "class"))
         open_ = member.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
         member = written(member.join(open_, "value"), "lists")
         if member.isEmpty():
+            kept += [live, member]
             break
         deal = F.pmod(F.xxhash64("class", F.lit(round_)), F.lit(4 ** min(max(round_ - 1, 0), 15)))
         hubs = (
@@ -199,11 +215,12 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["class", "hub"], "left_anti")
         pairs = written(pairs, "pairs")
+        kept.append(pairs)
         tested = pairs.select("class", "hub") if tested is None else tested.union(pairs.select("class", "hub"))
         common, of = union_estimate(F.col("sketch"), F.col("hub_sketch"), K)
         likely = (
             pairs.join(sketch, "class").join(sketch.select(F.col("class").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
-            .where(common * K >= of * LEAST)
+            .where(common * K >= of * least_common(K, percent))
             .select("class", "hub", "n", "hub_n")
         )
         both = F.size(F.array_intersect("members", "hub_members"))
@@ -215,28 +232,38 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
         )
         all_links = found if all_links is None else all_links.union(found)
         if not found.isEmpty():
-            labels = written(components(all_links).withColumnsRenamed({"node": "class"}), "classes")
-        live = written(
+            before, labels = labels, components(all_links)
+            if before is not None:
+                done_with(before)
+        rest = written(
             member.drop("component").join(hubs.select("value", F.col("hub").alias("class")), ["value", "class"], "left_anti"), "postings"
         )
+        done_with(live, member, hubs)
+        live = rest
+    done_with(*kept, *([] if labels is None else [labels]))
     if all_links is None:
-        return classes.select(F.col("class").alias("a"), F.col("class").alias("b")).limit(0)
+        return classes.sparkSession.createDataFrame([], "a long, b long")
     return all_links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     ship_package(docs.sparkSession)
-    drawn = written(sketches(docs, width), "sketches")
-    fit = drawn.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
-    heads = written(fit.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "heads")
-    classes = written(fit.join(heads, ["class", "doc_id"]).dropDuplicates(["class"]).select("class", "n_shingles", "sketch"), "classes")
+    sketched = written(sketches(docs, width), "sketches")
+    linked = F.col("doc_id").isNotNull() & F.col("class").isNotNull()
+    heads = written(sketched.where(linked).groupBy("class").agg(F.min("doc_id").alias("doc_id")), "heads")
+    classes = sketched.where(linked).join(heads, ["class", "doc_id"]).dropDuplicates(["class"])
+    classes = written(classes.select("class", "n_shingles", "sketch"), "classes")
+    drawn = written(sketched.select("doc_id", "n_shingles", "class"), "drawn")
+    done_with(sketched)  # its sketches are those of the classes
+    fit = drawn.where(linked)
 
     def texts(wanted: DataFrame) -> DataFrame:
         ids = heads.join(wanted, "class").select("doc_id").distinct()
         return rows_with_key(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
 
     found = links(classes, texts, width, percent)
+    done_with(classes)
     named = heads.withColumnsRenamed({"class": "a", "doc_id": "head_a"})
     between = (
         found.join(named, "a").join(named.withColumnsRenamed({"a": "b", "head_a": "head_b"}), "b")
