@@ -3,108 +3,248 @@ partitions train the latent states, the scaled forward recursion gives the
 exact likelihood of a text.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased,
-then one end.  Symbols of the hidden chain are the ``HEAD`` most frequent
-words, ``TAILS`` classes of all other words (by their last two bytes) and the
-end; a word outside the head has, within its class, its smoothed share of the
-class's training count, with one share for all words never seen, so that the
-probabilities of all texts sum to one.
-
-Counts cover all training documents.  Every round of Baum-Welch reads all of
-them: expected counts are summed in each task for its documents and combined
-by Spark, one row a symbol; the driver holds the model, bounded by HEAD,
-TAILS and STATES.  Counts of the words outside the head stay distributed:
-words of documents meet them in a join.
+then one end.  Symbols of the hidden chain are all words of the training texts,
+the end, and one symbol for all words that these never hold, so that the
+probabilities of all texts sum to one.  Every symbol has its own emissions by
+state; there is no bound on their number.
+
+Texts are cut once into slices of whole documents, numbered by the slice's own
+words; the slice's word list is dealt by hash into parts.  A round of
+Baum-Welch is two shuffles: each slice runs forward-backward with its words'
+emissions and sends their expected counts to the words' parts; each part adds
+them up and sends the new emissions back to the slices that hold its words.
+What travels is one row a slice and part, of one entry for each different word
+of the slice.  A part's task holds its words' sums and the places of its words
+(about 28 bytes a place), never the rows themselves; the number of parts grows
+with the places, and the most frequent word has one place a slice.  The driver
+holds the start and move probabilities and the totals alone.
 
 For training, documents are cut into lanes of ``LANE`` tokens (a later lane
-begins with the stationary start probabilities); scores run over whole texts.
+begins with the stationary probabilities and adds nothing to the starts);
+scores run over whole texts.
 
 Defined cases: null and empty texts are one end token; a document without an
 id counts as training text (its remainder is unknown) and is scored; repeated
 rows count and are scored each; other columns are not looked at; with no
-training text all words are unknown and the model is uniform.
+training text all words are unknown and have probability one.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchpulse.llm.tables import rows_with_key, ship_package, text_slices, written
+from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_slices, written
 
 STATES = 8
-HEAD = 50_000
-TAILS = 256
 ROUNDS = 4
 LANE = 256
 ALPHA = 0.1
-SLICE_BYTES = 4 << 20
+#: Text bytes of a slice (a longer text stands alone).
+SLICE_BYTES = 16 << 20
+#: Places of words (a word in a slice) that a part has on average, at most.
+PART_PLACES = 500_000
 #: Weight of the whole training text's distribution in each state's.
 PRIOR = 20.0
+#: Tokens that forward-backward takes at a time.
+STEP_TOKENS = 400_000
+
+SLICES = "slice long, doc_ids array<long>, held array<boolean>, sizes array<int>, symbols binary, words binary, n binary, n_words long"
+BLOCKS = "part int, slice long, at binary, words binary, n binary"
+EXPECTED = "part int, slice long, at binary, idx binary, n binary, weights binary, totals array<double>"
+REPLIES = "slice long, part int, at binary, idx binary, n binary, c binary, weights binary, totals array<double>"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()  # bytes: A-Z only, and the six white-space bytes
 
 
-def tail_class(word: bytes) -> int:
-    return (word[-1] * 31 + (word[-2] * 7 if len(word) > 1 else 3) + min(len(word), 12) // 4 * 101) % TAILS
-
-
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def _count_words(batches):
-    for rows, texts in text_slices(batches, 4 * SLICE_BYTES):
-        counts: Counter = Counter()
-        for t in texts:
-            counts.update(tokens(t))
+def unpacked(column, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a binary column, and how many each row has."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    flat = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].copy() if data is not None else np.empty(0, np.uint8)
+    return flat.view(dtype), np.diff(bounds) // np.dtype(dtype).itemsize
+
+
+def packed_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A binary column of rows of so many numbers each."""
+    flat = np.ascontiguousarray(flat)
+    bounds = (np.concatenate([[0], np.cumsum(counts)]) * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+
+
+def _cut(slice_bytes: int):
+    """Slices: documents as numbers of the slice's words (0 is the end), the
+    words, and how often each occurs in training documents."""
+    def cut(batches):
+        base, k = TaskContext.get().partitionId() << 32, 0
+        for rows, texts in text_slices(batches, slice_bytes):
+            numbers: defaultdict = defaultdict()
+            numbers.default_factory = numbers.__len__
+            end = numbers[b""]
+            lines = []
+            for t in texts:
+                line = list(map(numbers.__getitem__, tokens(t)))
+                line.append(end)
+                lines.append(np.array(line, np.int32))
+            held = rows.column("held_out").to_pylist()
+            seen = [x for x, h in zip(lines, held) if not h]
+            n = np.bincount(np.concatenate(seen), minlength=len(numbers)) if seen else np.zeros(len(numbers), np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "slice": pa.array([base + k], pa.int64()), "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    "held": pa.array([held], pa.list_(pa.bool_())), "sizes": pa.array([[len(x) for x in lines]], pa.list_(pa.int32())),
+                    "symbols": pa.array([np.concatenate(lines).tobytes()], pa.binary()), "words": pa.array([b" ".join(numbers)], pa.binary()),
+                    "n": pa.array([n.astype(np.int64).tobytes()], pa.binary()), "n_words": pa.array([len(numbers)], pa.int64()),
+                }
+            )
+            k += 1
+
+    return cut
+
+
+def _deal(parts: int):
+    """A row for each slice and part: places of the part's words in the slice."""
+    def deal(batches):
+        for batch in batches:
+            for name, words, n in zip(batch.column("slice").to_pylist(), batch.column("words").to_pylist(), batch.column("n").to_pylist()):
+                words, n = words.split(b" "), np.frombuffer(n, np.int64)
+                part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+                order = np.argsort(part, kind="stable").astype(np.int32)
+                used, counts = np.unique(part, return_counts=True)
+                ends = np.cumsum(counts)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array(used, pa.int32()), "slice": pa.array([name] * len(used), pa.int64()), "at": packed_rows(order, counts),
+                        "words": pa.array([b" ".join(words[i] for i in order[e - c : e]) for e, c in zip(ends, counts)], pa.binary()),
+                        "n": packed_rows(n[order], counts),
+                    }
+                )
+
+    return deal
+
+
+def _parts(batches):
+    """Runs of rows of one part, in order; ``(part, None)`` after its last."""
+    last = None
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if last is not None and part[a] != last:
+                yield last, None
+            last = int(part[a])
+            yield last, batch.slice(a, b - a)
+    if last is not None:
+        yield last, None
+
+
+def _grown(a: np.ndarray, size: int) -> np.ndarray:
+    """``a`` with at least ``size`` rows, new ones zero."""
+    if len(a) >= size:
+        return a
+    out = np.zeros((max(size, 2 * len(a)), *a.shape[1:]), a.dtype)
+    out[: len(a)] = a
+    return out
+
+
+def noise(words: list[bytes], states: int) -> np.ndarray:
+    """Factors that differ by word and state, fixed by the word's hash."""
+    rng = np.random.default_rng(7)
+    one, two = rng.normal(0, 1, (4099, states)), rng.normal(0, 1, (4093, states))
+    h = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    return np.exp((one[h % 4099] + two[h // 4099 % 4093]) / math.sqrt(2))
+
+
+def _replies(part: int, kept: list, c: np.ndarray, weights: np.ndarray):
+    """New weights of a part's words, for each slice that holds them; a row of
+    slice -1 has the part's totals: training tokens, words, weights by state."""
+    known = c > 0
+    totals = [float(c.sum()), float(known.sum()), *weights[known].sum(axis=0)]
+    schema = ["slice", "part", "at", "idx", "n", "c", "weights", "totals"]
+    none = pa.array([b""], pa.binary())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([-1], pa.int64()), pa.array([part], pa.int32()), none, none, none, none, none, pa.array([totals], pa.list_(pa.float64()))], names=schema
+    )
+    weights = weights.astype(np.float32)
+    for slices, at, idx, n, counts in kept:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+            [
+                pa.array(slices, pa.int64()), pa.array([part] * len(slices), pa.int32()), packed_rows(at, counts), packed_rows(idx, counts), packed_rows(n, counts),
+                packed_rows(c[idx], counts), packed_rows(weights[idx].ravel(), counts * weights.shape[1]), pa.nulls(len(slices), pa.list_(pa.float64())),
+            ],
+            names=schema,
         )
 
 
-class Symbols:
-    """Numbers of the chain's symbols: head words, tail classes, the end."""
-
-    def __init__(self, head: list[bytes]):
-        self.head = {w: i for i, w in enumerate(head)}
-        self.tails = len(head)
-        self.end = self.tails + TAILS
-        self.size = self.end + 1
-
-    def encode(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
-        words = tokens(text)
-        get = self.head.get
-        out = np.empty(len(words) + 1, np.int32)
-        out[:-1] = [get(w, -1) for w in words]
-        out[-1] = self.end
-        tail = [words[i] for i in np.flatnonzero(out[:-1] < 0)]
-        out[out < 0] = [self.tails + tail_class(w) for w in tail]
-        return out, tail
-
-
-def _encode(sent):
-    """Symbols of each text; of the words outside the head, their counts."""
-    def encode(batches):
-        symbols = Symbols(sent.value)
-        for rows, texts in text_slices(batches, SLICE_BYTES):
-            lines, tails = [], []
-            for t in texts:
-                line, tail = symbols.encode(t)
-                lines.append(line)
-                tails.append([{"word": w, "n": n} for w, n in Counter(tail).items()])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("held_out"), rows.column("text_hash"), pa.array(lines, pa.list_(pa.int32())),
-                 pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
-                names=["doc_id", "held_out", "text_hash", "symbols", "tail"],
-            )
-
-    return encode
+def _first_weights(states: int):
+    """Numbers of the words of each part, and the weights the training starts
+    from: counts times a fixed factor for each word and state, so that
+    Baum-Welch can tell the states apart."""
+    def first(batches):
+        numbers, kept, c = None, [], None
+        for part, rows in _parts(batches):
+            if numbers is None:
+                numbers, kept, c = defaultdict(), [], np.zeros(1 << 10, np.int64)
+                numbers.default_factory = numbers.__len__
+            if rows is not None:
+                lists = [w.split(b" ") for w in rows.column("words").to_pylist()]
+                idx = np.fromiter((numbers[w] for some in lists for w in some), np.int32)
+                at, counts = unpacked(rows.column("at"), np.int32)
+                n, _ = unpacked(rows.column("n"), np.int64)
+                c = _grown(c, len(numbers))
+                np.add.at(c, idx, n)
+                kept.append((rows.column("slice").to_numpy().copy(), at, idx, n, counts))
+                continue
+            c = c[: len(numbers)]
+            factor = np.where(c[:, None] > 0, noise(list(numbers), states), 1.0)
+            yield from _replies(part, kept, c, (c[:, None] + ALPHA) * factor)
+            numbers = None
+
+    return first
+
+
+def _add(states: int, prior: float):
+    """Expected counts of each part's words added up, with the share ``prior``
+    of their smoothed training counts."""
+    def add(batches):
+        total = None
+        for part, rows in _parts(batches):
+            if total is None:
+                total, c, kept, size = np.zeros((1 << 10, states)), np.zeros(1 << 10, np.int64), [], 0
+            if rows is not None:
+                idx, counts = unpacked(rows.column("idx"), np.int32)
+                at, _ = unpacked(rows.column("at"), np.int32)
+                n, _ = unpacked(rows.column("n"), np.int64)
+                found, _ = unpacked(rows.column("weights"), np.float32)
+                found = found.reshape(-1, states)
+                size = max(size, int(idx.max(initial=-1)) + 1)
+                total, c = _grown(total, size), _grown(c, size)
+                np.add.at(c, idx, n)
+                for s in range(states):
+                    total[:size, s] += np.bincount(idx, weights=found[:, s], minlength=size)
+                kept.append((rows.column("slice").to_numpy().copy(), at, idx, n, counts))
+                continue
+            c, total = c[:size], total[:size]
+            yield from _replies(part, kept, c, total + prior * (c[:, None] + ALPHA))
+            total = None
+
+    return add
 
 
 def packed(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +263,8 @@ def packed(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def forward(symbols, active, start, move, emit):
     """Scaled forward recursion: state probabilities and the scale of each
-    step (the probability of its symbol given those before)."""
+    step (the probability of its symbol given those before).  ``start`` is one
+    row for all sequences or one for each, longest first."""
     alpha = emit[symbols]
     scale = np.empty(len(symbols), alpha.dtype)
     at, before = 0, None
@@ -137,200 +278,176 @@ def forward(symbols, active, start, move, emit):
     return alpha, scale
 
 
-def expected_counts(lines, start, move, emit, size: int):
-    """Baum-Welch: expected starts, moves and emissions of some sequences."""
-    symbols, active, _ = packed(lines)
-    alpha, scale = forward(symbols, active, start, move, emit)
+def stationary(move: np.ndarray) -> np.ndarray:
+    """The distribution that ``move`` leaves as it is."""
+    states = len(move)
+    left = np.vstack([move.T - np.eye(states), np.ones(states)])
+    return np.clip(np.linalg.lstsq(left, np.append(np.zeros(states), 1.0), rcond=None)[0], 1e-12, None)
+
+
+def expected_counts(lines, begins, start, move, emit, size: int):
+    """Baum-Welch: expected starts, moves and emissions of some sequences;
+    ``begins`` says which of them begin a document."""
+    symbols, active, order = packed(lines)
+    begins = np.asarray(begins)[order]
+    rows = np.where(begins[:, None], start, stationary(move)).astype(emit.dtype)
+    alpha, scale = forward(symbols, active, rows, move.astype(emit.dtype), emit)
     beta = np.ones_like(alpha)
     base = np.cumsum(active) - active
     weighted = emit[symbols]
     weighted /= scale[:, None]
+    back = move.T.astype(emit.dtype)
     for t in range(len(active) - 1, 0, -1):
         n, b, p = active[t], base[t], base[t - 1]
         weighted[b : b + n] *= beta[b : b + n]
-        beta[p : p + n] = weighted[b : b + n] @ move.T
+        beta[p : p + n] = weighted[b : b + n] @ back
     step = np.repeat(np.arange(len(active)), active)
     later = np.flatnonzero(step > 0)
     earlier = base[step[later] - 1] + (later - base[step[later]])
     moves = move * (alpha[earlier].T.astype(np.float64) @ weighted[later])
     gamma = alpha * beta
     emissions = np.stack([np.bincount(symbols, weights=gamma[:, s], minlength=size) for s in range(len(start))], axis=1)
-    return gamma[: active[0]].sum(axis=0), moves, emissions
-
-
-def _expect(sent, states: int):
-    """A row for each symbol with its expected counts by state; the moves and
-    starts are rows -1 - s and -1 - states."""
-    def expect(batches):
-        start, move, emit = sent.value
-        total = None
-        for batch in batches:
-            lines, room = [], 0
-            texts = batch.column("symbols")
-            flat, bounds = texts.flatten().to_numpy(zero_copy_only=False), texts.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            for i in range(len(texts)):
-                for a in range(bounds[i], bounds[i + 1], LANE):
-                    lines.append(flat[a : min(a + LANE, bounds[i + 1])])
-                room += bounds[i + 1] - bounds[i]
-                if room >= 400_000 or i == len(texts) - 1:
-                    found = expected_counts(lines, start, move, emit, len(emit))
-                    total = found if total is None else tuple(x + y for x, y in zip(total, found))
-                    lines, room = [], 0
-        if total is not None:
-            starts, moves, emissions = total
-            used = np.flatnonzero(emissions.sum(axis=1) > 0)
-            ids = np.concatenate([used, -1 - np.arange(states + 1)])
-            values = np.concatenate([emissions[used], moves, starts[None]]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(values[:, s]) for s in range(states)]], names=["symbol", *[f"s{s}" for s in range(states)]])
+    return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), moves, emissions
+
+
+def _lines(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A slice's symbols, document bounds, and whether each is held out."""
+    symbols, _ = unpacked(rows.column("symbols"), np.int32)
+    sizes = np.array(rows.column("sizes")[0].as_py(), np.int64)
+    return symbols, np.concatenate([[0], np.cumsum(sizes)]), np.array(rows.column("held")[0].as_py(), bool)
+
+
+def _emissions(replies: pa.Table, states: int, norm: np.ndarray):
+    """Places of a slice's words in its replies, and emissions by word."""
+    at, counts = unpacked(replies.column("at"), np.int32)
+    weights, _ = unpacked(replies.column("weights"), np.float32)
+    emit = np.empty((len(at), states), np.float32)
+    emit[at] = weights.reshape(-1, states) / norm
+    return at, counts, emit
+
+
+def _expect(start, move, norm):
+    """A slice's expected counts: those of its words to their parts, of starts
+    and moves in a row of part -1."""
+    states = len(start)
+
+    def expect(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        symbols, bounds, held = _lines(rows)
+        at, counts, emit = _emissions(replies, states, norm)
+        starts, moves, found = np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)
+        lines, begins, room = [], [], 0
+
+        def take():
+            nonlocal starts, moves, found
+            s, m, e = expected_counts(lines, begins, start, move, emit, len(emit))
+            starts, moves, found = starts + s, moves + m, found + e
+
+        for i in np.flatnonzero(~held):
+            for a in range(bounds[i], bounds[i + 1], LANE):
+                lines.append(symbols[a : min(a + LANE, bounds[i + 1])])
+                begins.append(a == bounds[i])
+                room += len(lines[-1])
+                if room >= STEP_TOKENS:
+                    take()
+                    lines, begins, room = [], [], 0
+        if lines:
+            take()
+        k, name = replies.num_rows, rows.column("slice")[0].as_py()
+        one = lambda column: pa.concat_arrays([column.combine_chunks().cast(pa.binary()), pa.array([b""], pa.binary())])
+        weights = packed_rows(found[at].astype(np.float32).ravel(), counts * states)
+        return pa.table(
+            {
+                "part": pa.array([*replies.column("part").to_pylist(), -1], pa.int32()), "slice": pa.array([name] * (k + 1), pa.int64()),
+                "at": one(replies.column("at")), "idx": one(replies.column("idx")), "n": one(replies.column("n")),
+                "weights": pa.concat_arrays([weights, pa.array([b""], pa.binary())]),
+                "totals": pa.array([None] * k + [[*starts, *moves.ravel()]], pa.list_(pa.float64())),
+            }
+        )
 
     return expect
 
 
-def first_model(unigram: np.ndarray, states: int):
-    """States that differ by a fixed factor for each symbol and state, so that
-    Baum-Welch can tell them apart, and tend to stay."""
-    rng = np.random.default_rng(7)
-    emit = unigram[:, None] * np.exp(rng.normal(0, 1.0, (len(unigram), states)))
-    move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    return np.full(states, 1 / states), move, emit / emit.sum(axis=0)
-
-
-class Model:
-    """The trained chain, and where the counts of all words are."""
-
-    def __init__(self, head, chain, counts, tail_totals, totals):
-        self.head, self.chain, self.counts, self.tail_totals, self.totals = head, chain, counts, tail_totals, totals
-
-
-def train(docs: DataFrame, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model of the documents that are not held out, and all documents
-    encoded with its symbols."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = rows_with_key(docs, "doc_id", "text").withColumns({"held_out": held_out(), "text_hash": F.xxhash64("text")})
-    words = rows.where(~F.col("held_out")).select("text").mapInArrow(_count_words, "word binary, n long")
-    counts = written(words.groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    ends = rows.where(~F.col("held_out")).count()
-    n_words, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(head).collect()  # the model's own bound
-    symbols = Symbols([bytes(r["word"]) for r in top])
-    names = list(symbols.head)
-    sent = spark.sparkContext.broadcast(names)
-    encoded = written(
-        rows.mapInArrow(_encode(sent), "doc_id long, held_out boolean, text_hash long, symbols array<int>, tail array<struct<word:binary,n:long>>"), "encoded"
-    )
-    # totals of the tail classes: counts and different words
-    named = counts.join(F.broadcast(spark.createDataFrame([(r["word"],) for r in top], "word binary")), "word", "left_anti") if top else counts
-    last = F.substring("word", -1, 1)
-    code = lambda c: F.conv(F.hex(c), 16, 10).cast("int")
-    cls = F.pmod(
-        code(last) * 31 + F.when(F.octet_length("word") > 1, code(F.expr("substring(word, -2, 1)")) * 7).otherwise(3)
-        + F.floor(F.least(F.octet_length("word"), F.lit(12)) / 4) * 101, F.lit(TAILS),
-    ).cast("int")
-    tail_totals = np.zeros((TAILS, 2))
-    for r in named.groupBy(cls.alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
-        tail_totals[r["c"]] = r["n"], r["v"]
-    unigram = np.concatenate([[float(r["n"]) for r in top], tail_totals[:, 0], [float(ends)]]) + ALPHA
-    unigram /= unigram.sum()
-    chain = first_model(unigram, states)
-    schema = "symbol long, " + ", ".join(f"s{s} float" for s in range(states))
-    training = encoded.where(~F.col("held_out")).select("symbols")
-    for _ in range(rounds if ends else 0):
-        model = spark.sparkContext.broadcast(tuple(x.astype(np.float32) for x in chain))
-        found = training.mapInArrow(_expect(model, states), schema).groupBy("symbol").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(states)])
-        chain = _maximised(found.toArrow(), unigram, states)
-    return Model(names, chain, counts, tail_totals, (n_words + ends, n_types + (1 if ends else 0), ends)), encoded
-
-
-def _maximised(found: pa.Table, unigram: np.ndarray, states: int):
-    """The model of expected counts, with a share of the unigram distribution."""
-    ids = found["symbol"].to_numpy()
-    values = np.stack([found[f"s{s}"].to_numpy() for s in range(states)], axis=1)
-    emit = unigram[:, None] * PRIOR * np.ones((1, states))
-    emit[ids[ids >= 0]] += values[ids >= 0]
-    move, start = np.full((states, states), 0.1), np.full(states, 0.1)
-    for i, v in zip(ids, values):
-        if -1 - states < i < 0:
-            move[-1 - i] += v
-        elif i == -1 - states:
-            start += v
-    return start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
-
-
-def _score(sent, base_log: np.ndarray):
-    """Per text: log10 of its symbols' likelihood, the head's part of the
-    base, and the words that still need their counts."""
-    def score(batches):
-        start, move, emit = sent.value
-        for batch in batches:
-            column = batch.column("symbols")
-            flat, bounds = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            likelihood, base, size = (np.zeros(len(column)) for _ in range(3))
-            at = 0
-            while at < len(column):
-                end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + 600_000, side="right")) - 1)
-                lines = [flat[bounds[i] : bounds[i + 1]] for i in range(at, end)]
-                symbols, active, order = packed(lines)
-                _, scale = forward(symbols, active, start, move, emit)
-                who = at + order[np.arange(len(symbols)) - np.repeat(np.cumsum(active) - active, active)]
-                likelihood += np.bincount(who, weights=np.log10(scale), minlength=len(column))
-                at = end
-            text = np.repeat(np.arange(len(column)), np.diff(bounds))
-            known = ~((flat >= len(base_log) - 1 - TAILS) & (flat < len(base_log) - 1))
-            base = np.bincount(text, weights=np.where(known, base_log[flat], 0.0), minlength=len(column))
-            size = np.bincount(text[known], minlength=len(column))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), batch.column("text_hash"), pa.array(np.diff(bounds), pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(base), pa.array(likelihood)],
-                names=["doc_id", "held_out", "text_hash", "n_tokens", "n_known", "base_score", "score"],
-            )
+def _score(start, move, norm, under: float):
+    """Documents of a slice: log10 of the likelihood, and the unigram base."""
+    states = len(start)
+
+    def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        symbols, bounds, held = _lines(rows)
+        at, _, emit = _emissions(replies, states, norm)
+        c = np.empty(len(at), np.int64)
+        c[at], _ = unpacked(replies.column("c"), np.int64)
+        likelihood, first = np.zeros(len(held)), 0
+        while first < len(held):
+            end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + STEP_TOKENS, side="right")) - 1)
+            line, active, order = packed([symbols[bounds[i] : bounds[i + 1]] for i in range(first, end)])
+            _, scale = forward(line, active, start.astype(np.float32), move.astype(np.float32), emit)
+            who = first + order[np.arange(len(line)) - np.repeat(np.cumsum(active) - active, active)]
+            likelihood += np.bincount(who, weights=np.log10(scale, dtype=np.float64), minlength=len(held))
+            first = end
+        base, known = np.log10((c + ALPHA) / under)[symbols], (c > 0)[symbols]
+        return pa.table(
+            {
+                "doc_id": pa.array(rows.column("doc_ids")[0].as_py(), pa.int64()), "held_out": pa.array(held),
+                "n_tokens": pa.array(np.diff(bounds), pa.int64()), "n_known": pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1])),
+                "base_score": pa.array(np.add.reduceat(base, bounds[:-1])), "score": pa.array(likelihood),
+            }
+        )
 
     return score
 
 
-SCORE_SCHEMA = "doc_id long, held_out boolean, text_hash long, n_tokens long, n_known long, base_score double, score double"
+def _totals(rows: DataFrame, size: int) -> np.ndarray:
+    """The sums of the rows of totals, one number each."""
+    found = rows.where(F.col("totals").isNotNull()).agg(*[F.sum(F.col("totals")[i]) for i in range(size)]).first()
+    return np.array([x or 0.0 for x in found])
 
 
-def score_documents(docs: DataFrame, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+class Model:
+    """The trained chain, the words' weights by slice with what they sum to by
+    state, and the numbers of training tokens and different words."""
+
+    def __init__(self, start, move, norm, replies, n_tokens: int, n_types: int):
+        self.start, self.move, self.norm, self.replies, self.n_tokens, self.n_types = start, move, norm, replies, n_tokens, n_types
+
+    @property
+    def under(self) -> float:
+        return self.n_tokens + ALPHA * (self.n_types + 1)
+
+
+def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES) -> tuple[Model, DataFrame]:
+    """The model of the documents that are not held out, and all documents in
+    slices."""
+    ship_package(docs.sparkSession)
+    rows = rows_with_key(docs, "doc_id", "text").withColumn("held_out", held_out())
+    slices = written(rows.mapInArrow(_cut(slice_bytes), SLICES), "slices", **{"parquet.block.size": str(max(2 * slice_bytes, 1 << 20))})
+    places = slices.agg(F.sum("n_words")).first()[0] or 0
+    by_part = lambda df: df.repartition("part").sortWithinPartitions("part", "slice")
+    dealt = slices.select("slice", "words", "n").mapInArrow(_deal(max(1, -(-places // part_places))), BLOCKS)
+    replies = written(by_part(dealt).mapInArrow(_first_weights(states), REPLIES), "replies")
+    n_tokens, n_types, *norm = _totals(replies, states + 2)
+    move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
+    model = Model(np.full(states, 1 / states), move, np.array(norm) + ALPHA, replies, int(n_tokens), int(n_types))
+    for _ in range(rounds if n_tokens else 0):
+        found = written(with_replies(slices, model).applyInArrow(_expect(model.start, model.move, model.norm), EXPECTED), "expected")
+        sums = _totals(found.where("part = -1"), states * (states + 1))
+        start, move = sums[:states] + 0.1, sums[states:].reshape(states, states) + 0.1
+        prior = PRIOR / model.under
+        replies = written(by_part(found.where("part >= 0").drop("totals")).mapInArrow(_add(states, prior), REPLIES), "replies")
+        norm = _totals(replies, states + 2)[2:] + prior * ALPHA
+        done_with(found, model.replies)
+        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), norm, replies, model.n_tokens, model.n_types)
+    return model, slices
+
+
+def with_replies(slices: DataFrame, model: Model):
+    """Each slice together with its words' weights."""
+    replies = model.replies.where("slice >= 0").drop("totals")
+    return slices.drop("words", "n").groupBy("slice").cogroup(replies.groupBy("slice"))
+
+
+def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` of every row."""
-    spark = docs.sparkSession
-    model, encoded = train(docs, states, head, rounds)
-    n, types, ends = model.totals
-    under = n + ALPHA * (types + 1)
-    base = lambda c: F.log10((c + ALPHA) / under)
-    head_counts = np.array([r["n"] for r in model.counts.orderBy(F.desc("n"), "word").limit(head).collect()], float)
-    base_log = np.log10((np.concatenate([head_counts, np.zeros(TAILS), [float(ends)]]) + ALPHA) / under)
-    chain = spark.sparkContext.broadcast(tuple(model.chain))
-    scored = encoded.select("doc_id", "held_out", "text_hash", "symbols").mapInArrow(_score(chain, base_log), SCORE_SCHEMA)
-    # shares of words outside the head within their class
-    classes = spark.createDataFrame([(i, float(np.log10(c + ALPHA * (v + 1)))) for i, (c, v) in enumerate(model.tail_totals)], "class int, under double")
-    keys = ["doc_id", "text_hash"]
-    tails = encoded.select(*keys, F.explode("tail").alias("t")).select(*keys, F.col("t.word").alias("word"), F.col("t.n").alias("n"))
-    code = lambda c: F.conv(F.hex(c), 16, 10).cast("int")
-    cls = F.pmod(
-        code(F.substring("word", -1, 1)) * 31 + F.when(F.octet_length("word") > 1, code(F.expr("substring(word, -2, 1)")) * 7).otherwise(3)
-        + F.floor(F.least(F.octet_length("word"), F.lit(12)) / 4) * 101, F.lit(TAILS),
-    ).cast("int")
-    met = (
-        tails.join(model.counts.withColumnRenamed("n", "c"), "word", "left").withColumn("class", cls).join(F.broadcast(classes), "class")
-        .select(
-            *keys, F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0)).alias("n_known"),
-            (F.col("n") * base(F.coalesce("c", F.lit(0)))).alias("base_score"),
-            (F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + ALPHA) - F.col("under"))).alias("score"),
-        )
-    )
-    parts = ["n_known", "base_score", "score"]
-    met = met.groupBy(*keys).agg(*[F.sum(c).alias(f"tail_{c}") for c in parts])
-    # rows of equal id and text share their sums: their tails were summed over all of them
-    copies = scored.groupBy(*keys).agg(
-        F.first("held_out").alias("held_out"), F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in parts]
-    )
-    same = copies.alias("a").join(met.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.text_hash <=> b.text_hash"), "left")
-    whole = {c: F.col(f"a.{c}") + F.coalesce(F.col(f"b.tail_{c}") / F.col("a.copies"), F.lit(0)) for c in parts}
-    return same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("a.copies")))).select(
-        "a.doc_id", "a.held_out", "a.n_tokens", whole["n_known"].cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        whole["base_score"].alias("base_score"), whole["score"].alias("score"),
-    )
+    model, slices = train(docs, states, rounds, part_places, slice_bytes)
+    scored = with_replies(slices, model).applyInArrow(_score(model.start, model.move, model.norm, model.under), SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

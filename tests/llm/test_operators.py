@@ -106,7 +106,7 @@ def test_passages(docs, empty):
 
 
 def test_hidden_markov_scores(docs, empty):
-    got = [r for r in hmm.score_documents(docs, states=3, head=50, rounds=2).collect()]
+    got = [r for r in hmm.score_documents(docs, states=3, rounds=2).collect()]
     assert len(got) == len(corpus()) + 1
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in got if r.doc_id is not None)
     train = [r for r in got if not r.held_out]
