@@ -14,9 +14,10 @@ Baum-Welch is two shuffles: each slice runs forward-backward with its words'
 emissions and sends their expected counts to the words' parts; each part adds
 them up and sends the new emissions back to the slices that hold its words.
 What travels is one row a slice and part, of one entry for each different word
-of the slice.  A part's task holds its words' sums and the places of its words
-(about 28 bytes a place), never the rows themselves; the number of parts grows
-with the places, and the most frequent word has one place a slice.  The driver
+of the slice: the word's number, its training count, and its counts' shares by
+state in 65,535ths.  A part's task holds its words' sums and the places of its
+words (about 16 bytes a place), never the rows themselves; the number of parts
+grows with the places, and the most frequent word has one place a slice.  The driver
 holds the start and move probabilities and the totals alone.
 
 For training, documents are cut into lanes of ``LANE`` tokens (a later lane
@@ -57,9 +58,9 @@ PRIOR = 20.0
 STEP_TOKENS = 400_000
 
 SLICES = "slice long, doc_ids array<long>, held array<boolean>, sizes array<int>, symbols binary, words binary, n binary, n_words long"
-BLOCKS = "part int, slice long, at binary, words binary, n binary"
-EXPECTED = "part int, slice long, at binary, idx binary, n binary, weights binary, totals array<double>"
-REPLIES = "slice long, part int, at binary, idx binary, n binary, c binary, weights binary, totals array<double>"
+BLOCKS = "part int, slice long, first long, words binary, n binary"
+EXPECTED = "part int, slice long, first long, idx binary, c binary, n binary, shares binary, totals array<double>"
+REPLIES = "slice long, part int, first long, idx binary, c binary, shares binary, totals array<double>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -90,7 +91,8 @@ def packed_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 def _cut(slice_bytes: int):
     """Slices: documents as numbers of the slice's words (0 is the end), the
-    words, and how often each occurs in training documents."""
+    words in order of their hash, so that each part has a run of them, and how
+    often each occurs in training documents."""
     def cut(batches):
         base, k = TaskContext.get().partitionId() << 32, 0
         for rows, texts in text_slices(batches, slice_bytes):
@@ -102,15 +104,19 @@ def _cut(slice_bytes: int):
                 line = list(map(numbers.__getitem__, tokens(t)))
                 line.append(end)
                 lines.append(np.array(line, np.int32))
+            words = list(numbers)
+            order = np.argsort(np.fromiter(map(zlib.crc32, words), np.int64, len(words)), kind="stable")  # the end's is 0
+            rank = np.empty(len(words), np.int32)
+            rank[order] = np.arange(len(words))
+            lines = [rank[x] for x in lines]
             held = rows.column("held_out").to_pylist()
-            seen = [x for x, h in zip(lines, held) if not h]
-            n = np.bincount(np.concatenate(seen), minlength=len(numbers)) if seen else np.zeros(len(numbers), np.int64)
+            n = np.bincount(np.concatenate([np.empty(0, np.int32), *(x for x, h in zip(lines, held) if not h)]), minlength=len(words))
             yield pa.RecordBatch.from_pydict(
                 {
                     "slice": pa.array([base + k], pa.int64()), "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     "held": pa.array([held], pa.list_(pa.bool_())), "sizes": pa.array([[len(x) for x in lines]], pa.list_(pa.int32())),
-                    "symbols": pa.array([np.concatenate(lines).tobytes()], pa.binary()), "words": pa.array([b" ".join(numbers)], pa.binary()),
-                    "n": pa.array([n.astype(np.int64).tobytes()], pa.binary()), "n_words": pa.array([len(numbers)], pa.int64()),
+                    "symbols": pa.array([np.concatenate(lines).tobytes()], pa.binary()), "words": pa.array([b" ".join([words[i] for i in order.tolist()])], pa.binary()),
+                    "n": pa.array([n.astype(np.int64).tobytes()], pa.binary()), "n_words": pa.array([len(words)], pa.int64()),
                 }
             )
             k += 1
@@ -124,15 +130,12 @@ def _deal(parts: int):
         for batch in batches:
             for name, words, n in zip(batch.column("slice").to_pylist(), batch.column("words").to_pylist(), batch.column("n").to_pylist()):
                 words, n = words.split(b" "), np.frombuffer(n, np.int64)
-                part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
-                order = np.argsort(part, kind="stable").astype(np.int32)
-                used, counts = np.unique(part, return_counts=True)
-                ends = np.cumsum(counts)
+                part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) * parts >> 32
+                used, first, counts = np.unique(part, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "part": pa.array(used, pa.int32()), "slice": pa.array([name] * len(used), pa.int64()), "at": packed_rows(order, counts),
-                        "words": pa.array([b" ".join(words[i] for i in order[e - c : e]) for e, c in zip(ends, counts)], pa.binary()),
-                        "n": packed_rows(n[order], counts),
+                        "part": pa.array(used, pa.int32()), "slice": pa.array([name] * len(used), pa.int64()), "first": pa.array(first, pa.int64()),
+                        "words": pa.array([b" ".join(words[a : a + c]) for a, c in zip(first, counts)], pa.binary()), "n": packed_rows(n, counts),
                     }
                 )
 
@@ -171,31 +174,34 @@ def noise(words: list[bytes], states: int) -> np.ndarray:
     return np.exp((one[h % 4099] + two[h // 4099 % 4093]) / math.sqrt(2))
 
 
-def _replies(part: int, kept: list, c: np.ndarray, weights: np.ndarray):
-    """New weights of a part's words, for each slice that holds them; a row of
-    slice -1 has the part's totals: training tokens, words, weights by state."""
-    known = c > 0
-    totals = [float(c.sum()), float(known.sum()), *weights[known].sum(axis=0)]
-    schema = ["slice", "part", "at", "idx", "n", "c", "weights", "totals"]
+def quantised(shares: np.ndarray) -> np.ndarray:
+    return np.rint(shares * 65535).astype(np.uint16)
+
+
+def _replies(part: int, kept: list, c: np.ndarray, shares: np.ndarray):
+    """Counts and shares by state of a part's words, for each slice that holds
+    them; a row of slice -1 has the part's totals: training tokens, different
+    words, counts by state."""
+    shares = quantised(shares)
+    totals = [float(c.sum()), float((c > 0).sum()), *(c @ shares.astype(np.float64) / 65535)]
+    schema = ["slice", "part", "first", "idx", "c", "shares", "totals"]
     none = pa.array([b""], pa.binary())
     yield pa.RecordBatch.from_arrays(
-        [pa.array([-1], pa.int64()), pa.array([part], pa.int32()), none, none, none, none, none, pa.array([totals], pa.list_(pa.float64()))], names=schema
+        [pa.array([-1], pa.int64()), pa.array([part], pa.int32()), pa.array([0], pa.int64()), none, none, none, pa.array([totals], pa.list_(pa.float64()))], names=schema
     )
-    weights = weights.astype(np.float32)
-    for slices, at, idx, n, counts in kept:
+    for slices, first, idx, counts in kept:
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(slices, pa.int64()), pa.array([part] * len(slices), pa.int32()), packed_rows(at, counts), packed_rows(idx, counts), packed_rows(n, counts),
-                packed_rows(c[idx], counts), packed_rows(weights[idx].ravel(), counts * weights.shape[1]), pa.nulls(len(slices), pa.list_(pa.float64())),
+                pa.array(slices, pa.int64()), pa.array([part] * len(slices), pa.int32()), pa.array(first, pa.int64()), packed_rows(idx, counts),
+                packed_rows(c[idx], counts), packed_rows(shares[idx].ravel(), counts * shares.shape[1]), pa.nulls(len(slices), pa.list_(pa.float64())),
             ],
             names=schema,
         )
 
 
-def _first_weights(states: int):
-    """Numbers of the words of each part, and the weights the training starts
-    from: counts times a fixed factor for each word and state, so that
-    Baum-Welch can tell the states apart."""
+def _first_shares(states: int):
+    """Numbers of the words of each part, and the shares the training starts
+    from, which differ by word, so that Baum-Welch can tell the states apart."""
     def first(batches):
         numbers, kept, c = None, [], None
         for part, rows in _parts(batches):
@@ -205,23 +211,20 @@ def _first_weights(states: int):
             if rows is not None:
                 lists = [w.split(b" ") for w in rows.column("words").to_pylist()]
                 idx = np.fromiter((numbers[w] for some in lists for w in some), np.int32)
-                at, counts = unpacked(rows.column("at"), np.int32)
-                n, _ = unpacked(rows.column("n"), np.int64)
+                n, counts = unpacked(rows.column("n"), np.int64)
                 c = _grown(c, len(numbers))
                 np.add.at(c, idx, n)
-                kept.append((rows.column("slice").to_numpy().copy(), at, idx, n, counts))
+                kept.append((rows.column("slice").to_numpy().copy(), rows.column("first").to_numpy().copy(), idx, counts))
                 continue
-            c = c[: len(numbers)]
-            factor = np.where(c[:, None] > 0, noise(list(numbers), states), 1.0)
-            yield from _replies(part, kept, c, (c[:, None] + ALPHA) * factor)
+            shares = noise(list(numbers), states)
+            yield from _replies(part, kept, c[: len(numbers)], shares / shares.sum(axis=1, keepdims=True))
             numbers = None
 
     return first
 
 
-def _add(states: int, prior: float):
-    """Expected counts of each part's words added up, with the share ``prior``
-    of their smoothed training counts."""
+def _add(states: int):
+    """Expected counts of each part's words added up."""
     def add(batches):
         total = None
         for part, rows in _parts(batches):
@@ -229,19 +232,18 @@ def _add(states: int, prior: float):
                 total, c, kept, size = np.zeros((1 << 10, states)), np.zeros(1 << 10, np.int64), [], 0
             if rows is not None:
                 idx, counts = unpacked(rows.column("idx"), np.int32)
-                at, _ = unpacked(rows.column("at"), np.int32)
-                n, _ = unpacked(rows.column("n"), np.int64)
-                found, _ = unpacked(rows.column("weights"), np.float32)
+                n, _ = unpacked(rows.column("n"), np.int32)
+                found, _ = unpacked(rows.column("shares"), np.uint16)
                 found = found.reshape(-1, states)
                 size = max(size, int(idx.max(initial=-1)) + 1)
                 total, c = _grown(total, size), _grown(c, size)
-                np.add.at(c, idx, n)
+                c[idx], _ = unpacked(rows.column("c"), np.int64)  # the same wherever the word is
                 for s in range(states):
-                    total[:size, s] += np.bincount(idx, weights=found[:, s], minlength=size)
-                kept.append((rows.column("slice").to_numpy().copy(), at, idx, n, counts))
+                    total[:size, s] += np.bincount(idx, weights=found[:, s] * n.astype(np.float64), minlength=size)
+                kept.append((rows.column("slice").to_numpy().copy(), rows.column("first").to_numpy().copy(), idx, counts))
                 continue
-            c, total = c[:size], total[:size]
-            yield from _replies(part, kept, c, total + prior * (c[:, None] + ALPHA))
+            total = total[:size]
+            yield from _replies(part, kept, c[:size], total / np.maximum(total.sum(axis=1, keepdims=True), 1e-300))
             total = None
 
     return add
@@ -310,6 +312,20 @@ def expected_counts(lines, begins, start, move, emit, size: int):
     return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), moves, emissions
 
 
+class Chain:
+    """The trained chain but for its words: starts, moves, the words' weights
+    added up by state, and the numbers of training tokens and different words.
+    A word's weight in a state is its count there and ``prior`` times its
+    smoothed count, so that the weights of all words and of the unknown one
+    add up to the counts of the state and ``PRIOR``."""
+
+    def __init__(self, start: np.ndarray, move: np.ndarray, counts: np.ndarray, n_tokens: int, n_types: int):
+        self.start, self.move, self.norm = start / start.sum(), move / move.sum(axis=1, keepdims=True), counts + PRIOR
+        self.n_tokens, self.n_types = n_tokens, n_types
+        self.under = n_tokens + ALPHA * (n_types + 1)
+        self.prior = PRIOR / self.under
+
+
 def _lines(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A slice's symbols, document bounds, and whether each is held out."""
     symbols, _ = unpacked(rows.column("symbols"), np.int32)
@@ -317,23 +333,25 @@ def _lines(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return symbols, np.concatenate([[0], np.cumsum(sizes)]), np.array(rows.column("held")[0].as_py(), bool)
 
 
-def _emissions(replies: pa.Table, states: int, norm: np.ndarray):
-    """Places of a slice's words in its replies, and emissions by word."""
-    at, counts = unpacked(replies.column("at"), np.int32)
-    weights, _ = unpacked(replies.column("weights"), np.float32)
-    emit = np.empty((len(at), states), np.float32)
-    emit[at] = weights.reshape(-1, states) / norm
-    return at, counts, emit
+def _emissions(replies: pa.Table, chain: Chain):
+    """The replies of a slice in order of its words, the words' training
+    counts, and their emissions."""
+    replies = replies.sort_by("first").combine_chunks()
+    c, _ = unpacked(replies.column("c"), np.int64)
+    shares, _ = unpacked(replies.column("shares"), np.uint16)
+    emit = shares.reshape(len(c), -1) * (c / 65535.0)[:, None]
+    emit += (chain.prior * (c + ALPHA))[:, None]
+    return replies, c, (emit / chain.norm).astype(np.float32)
 
 
-def _expect(start, move, norm):
+def _expect(chain: Chain):
     """A slice's expected counts: those of its words to their parts, of starts
     and moves in a row of part -1."""
-    states = len(start)
+    start, move, states = chain.start, chain.move, len(chain.start)
 
     def expect(rows: pa.Table, replies: pa.Table) -> pa.Table:
         symbols, bounds, held = _lines(rows)
-        at, counts, emit = _emissions(replies, states, norm)
+        replies, _, emit = _emissions(replies, chain)
         starts, moves, found = np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)
         lines, begins, room = [], [], 0
 
@@ -352,14 +370,18 @@ def _expect(start, move, norm):
                     lines, begins, room = [], [], 0
         if lines:
             take()
+        n = np.rint(found.sum(axis=1))  # a word's states sum to one at each place
+        _, counts = unpacked(replies.column("idx"), np.int32)
+        shares = quantised(found / np.maximum(found.sum(axis=1, keepdims=True), 1e-300))
         k, name = replies.num_rows, rows.column("slice")[0].as_py()
-        one = lambda column: pa.concat_arrays([column.combine_chunks().cast(pa.binary()), pa.array([b""], pa.binary())])
-        weights = packed_rows(found[at].astype(np.float32).ravel(), counts * states)
+        none = pa.array([b""], pa.binary())
+        one = lambda column: pa.concat_arrays([*column.cast(pa.binary()).chunks, none])
         return pa.table(
             {
                 "part": pa.array([*replies.column("part").to_pylist(), -1], pa.int32()), "slice": pa.array([name] * (k + 1), pa.int64()),
-                "at": one(replies.column("at")), "idx": one(replies.column("idx")), "n": one(replies.column("n")),
-                "weights": pa.concat_arrays([weights, pa.array([b""], pa.binary())]),
+                "first": pa.array([*replies.column("first").to_pylist(), 0], pa.int64()), "idx": one(replies.column("idx")), "c": one(replies.column("c")),
+                "n": pa.concat_arrays([packed_rows(n.astype(np.int32), counts), none]),
+                "shares": pa.concat_arrays([packed_rows(shares.ravel(), counts * states), none]),
                 "totals": pa.array([None] * k + [[*starts, *moves.ravel()]], pa.list_(pa.float64())),
             }
         )
@@ -367,24 +389,22 @@ def _expect(start, move, norm):
     return expect
 
 
-def _score(start, move, norm, under: float):
+def _score(chain: Chain):
     """Documents of a slice: log10 of the likelihood, and the unigram base."""
-    states = len(start)
+    start, move = chain.start.astype(np.float32), chain.move.astype(np.float32)
 
     def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
         symbols, bounds, held = _lines(rows)
-        at, _, emit = _emissions(replies, states, norm)
-        c = np.empty(len(at), np.int64)
-        c[at], _ = unpacked(replies.column("c"), np.int64)
+        _, c, emit = _emissions(replies, chain)
         likelihood, first = np.zeros(len(held)), 0
         while first < len(held):
             end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + STEP_TOKENS, side="right")) - 1)
             line, active, order = packed([symbols[bounds[i] : bounds[i + 1]] for i in range(first, end)])
-            _, scale = forward(line, active, start.astype(np.float32), move.astype(np.float32), emit)
+            _, scale = forward(line, active, start, move, emit)
             who = first + order[np.arange(len(line)) - np.repeat(np.cumsum(active) - active, active)]
             likelihood += np.bincount(who, weights=np.log10(scale, dtype=np.float64), minlength=len(held))
             first = end
-        base, known = np.log10((c + ALPHA) / under)[symbols], (c > 0)[symbols]
+        base, known = np.log10((c + ALPHA) / chain.under)[symbols], (c > 0)[symbols]
         return pa.table(
             {
                 "doc_id": pa.array(rows.column("doc_ids")[0].as_py(), pa.int64()), "held_out": pa.array(held),
@@ -402,52 +422,40 @@ def _totals(rows: DataFrame, size: int) -> np.ndarray:
     return np.array([x or 0.0 for x in found])
 
 
-class Model:
-    """The trained chain, the words' weights by slice with what they sum to by
-    state, and the numbers of training tokens and different words."""
-
-    def __init__(self, start, move, norm, replies, n_tokens: int, n_types: int):
-        self.start, self.move, self.norm, self.replies, self.n_tokens, self.n_types = start, move, norm, replies, n_tokens, n_types
-
-    @property
-    def under(self) -> float:
-        return self.n_tokens + ALPHA * (self.n_types + 1)
-
-
-def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES) -> tuple[Model, DataFrame]:
-    """The model of the documents that are not held out, and all documents in
-    slices."""
+def train(
+    docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES
+) -> tuple[Chain, DataFrame, DataFrame]:
+    """The chain of the documents that are not held out, all documents in
+    slices, and the counts and shares of each slice's words."""
     ship_package(docs.sparkSession)
     rows = rows_with_key(docs, "doc_id", "text").withColumn("held_out", held_out())
     slices = written(rows.mapInArrow(_cut(slice_bytes), SLICES), "slices", **{"parquet.block.size": str(max(2 * slice_bytes, 1 << 20))})
     places = slices.agg(F.sum("n_words")).first()[0] or 0
     by_part = lambda df: df.repartition("part").sortWithinPartitions("part", "slice")
     dealt = slices.select("slice", "words", "n").mapInArrow(_deal(max(1, -(-places // part_places))), BLOCKS)
-    replies = written(by_part(dealt).mapInArrow(_first_weights(states), REPLIES), "replies")
-    n_tokens, n_types, *norm = _totals(replies, states + 2)
+    replies = written(by_part(dealt).mapInArrow(_first_shares(states), REPLIES), "replies")
+    n_tokens, n_types, *counts = _totals(replies, states + 2)
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    model = Model(np.full(states, 1 / states), move, np.array(norm) + ALPHA, replies, int(n_tokens), int(n_types))
+    chain = Chain(np.ones(states), move, np.array(counts), int(n_tokens), int(n_types))
     for _ in range(rounds if n_tokens else 0):
-        found = written(with_replies(slices, model).applyInArrow(_expect(model.start, model.move, model.norm), EXPECTED), "expected")
+        found = written(with_replies(slices, replies).applyInArrow(_expect(chain), EXPECTED), "expected")
+        done_with(replies)
         sums = _totals(found.where("part = -1"), states * (states + 1))
-        start, move = sums[:states] + 0.1, sums[states:].reshape(states, states) + 0.1
-        prior = PRIOR / model.under
-        replies = written(by_part(found.where("part >= 0").drop("totals")).mapInArrow(_add(states, prior), REPLIES), "replies")
-        norm = _totals(replies, states + 2)[2:] + prior * ALPHA
-        done_with(found, model.replies)
-        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), norm, replies, model.n_tokens, model.n_types)
-    return model, slices
+        replies = written(by_part(found.where("part >= 0").drop("totals")).mapInArrow(_add(states), REPLIES), "replies")
+        done_with(found)
+        chain = Chain(sums[:states] + 0.1, sums[states:].reshape(states, states) + 0.1, _totals(replies, states + 2)[2:], chain.n_tokens, chain.n_types)
+    return chain, slices, replies
 
 
-def with_replies(slices: DataFrame, model: Model):
-    """Each slice together with its words' weights."""
-    replies = model.replies.where("slice >= 0").drop("totals")
-    return slices.drop("words", "n").groupBy("slice").cogroup(replies.groupBy("slice"))
+def with_replies(slices: DataFrame, replies: DataFrame):
+    """Each slice together with its words' counts and shares."""
+    words = replies.where("slice >= 0").drop("totals")
+    return slices.drop("words", "n", "n_words").groupBy("slice").cogroup(words.groupBy("slice"))
 
 
 def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` of every row."""
-    model, slices = train(docs, states, rounds, part_places, slice_bytes)
-    scored = with_replies(slices, model).applyInArrow(_score(model.start, model.move, model.norm, model.under), SCORES)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    chain, slices, replies = train(docs, states, rounds, part_places, slice_bytes)
+    scored = with_replies(slices, replies).applyInArrow(_score(chain), SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(chain.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

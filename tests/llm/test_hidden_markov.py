@@ -29,8 +29,9 @@ def plain(rows, states, rounds):
     n, types = sum(c.values()), len(c)
     under = n + hmm.ALPHA * (types + 1)
     words = list(c)
-    weights = {w: (c[w] + hmm.ALPHA) * f for w, f in zip(words, hmm.noise(words, states))}
-    unknown = np.full(states, hmm.ALPHA)
+    prior = hmm.PRIOR / under
+    weights = {w: c[w] * f / f.sum() + prior * (c[w] + hmm.ALPHA) for w, f in zip(words, hmm.noise(words, states))}
+    unknown = np.full(states, prior * hmm.ALPHA)
     start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     for _ in range(rounds):
         norm = sum(weights.values()) + unknown
@@ -57,9 +58,7 @@ def plain(rows, states, rounds):
                         beta /= beta.sum()
                 if a == 0:
                     starts += gamma
-        prior = hmm.PRIOR / under
         weights = {w: found[w] + prior * (c[w] + hmm.ALPHA) for w in words}
-        unknown = np.full(states, prior * hmm.ALPHA)
         start, move = starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True)
     norm = sum(weights.values()) + unknown
     out = []
@@ -95,13 +94,12 @@ def test_only_held_out_texts_are_all_unknown(spark):
 
 def test_probabilities_of_one_symbol_sum_to_one(spark):
     docs = spark.createDataFrame([(k, t) for k, t in texts()], "doc_id long, text string")
-    model, _ = hmm.train(docs, states=3, rounds=1)
-    total = np.zeros(3)
+    chain, _, replies = hmm.train(docs, states=3, rounds=1)
     seen = {}
-    for r in model.replies.where("slice >= 0").collect():
-        c, w = np.frombuffer(r["c"], np.int64), np.frombuffer(r["weights"], np.float32).reshape(-1, 3)
+    for r in replies.where("slice >= 0").collect():
+        c, shares = np.frombuffer(r["c"], np.int64), np.frombuffer(r["shares"], np.uint16).reshape(-1, 3)
         for i, x in enumerate(np.frombuffer(r["idx"], np.int32)):
             if c[i]:
-                seen[r["part"], int(x)] = w[i]
-    total = sum(x.astype(float) for x in seen.values()) + hmm.PRIOR / model.under * hmm.ALPHA
-    assert len(seen) == model.n_types and total / model.norm == pytest.approx(np.ones(3), rel=1e-5)
+                seen[r["part"], int(x)] = c[i] * shares[i] / 65535 + chain.prior * (c[i] + hmm.ALPHA)
+    total = sum(seen.values()) + chain.prior * hmm.ALPHA
+    assert len(seen) == chain.n_types and total / chain.norm == pytest.approx(np.ones(3), rel=1e-9)
