@@ -55,7 +55,10 @@ PART_PLACES = 500_000
 #: Weight of the whole training text's distribution in each state's.
 PRIOR = 20.0
 #: Tokens that forward-backward takes at a time.
-STEP_TOKENS = 400_000
+STEP_TOKENS = 200_000
+
+#: Tables of large rows: small row groups, as a task reads one at a time.
+ZSTD = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
 
 SLICES = "slice long, doc_ids array<long>, held array<boolean>, sizes array<int>, symbols binary, words binary, n binary, n_words long"
 BLOCKS = "part int, slice long, first long, words binary, n binary"
@@ -287,9 +290,10 @@ def stationary(move: np.ndarray) -> np.ndarray:
     return np.clip(np.linalg.lstsq(left, np.append(np.zeros(states), 1.0), rcond=None)[0], 1e-12, None)
 
 
-def expected_counts(lines, begins, start, move, emit, size: int):
-    """Baum-Welch: expected starts, moves and emissions of some sequences;
-    ``begins`` says which of them begin a document."""
+def expected_counts(lines, begins, start, move, emit, found: np.ndarray):
+    """Baum-Welch: expected starts and moves of some sequences; their expected
+    emissions are added to ``found``, a row for each state.  ``begins`` says
+    which of the sequences begin a document."""
     symbols, active, order = packed(lines)
     begins = np.asarray(begins)[order]
     rows = np.where(begins[:, None], start, stationary(move)).astype(emit.dtype)
@@ -308,8 +312,9 @@ def expected_counts(lines, begins, start, move, emit, size: int):
     earlier = base[step[later] - 1] + (later - base[step[later]])
     moves = move * (alpha[earlier].T.astype(np.float64) @ weighted[later])
     gamma = alpha * beta
-    emissions = np.stack([np.bincount(symbols, weights=gamma[:, s], minlength=size) for s in range(len(start))], axis=1)
-    return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), moves, emissions
+    for s, row in enumerate(found):
+        row += np.bincount(symbols, weights=gamma[:, s], minlength=len(row))
+    return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), moves
 
 
 class Chain:
@@ -339,9 +344,11 @@ def _emissions(replies: pa.Table, chain: Chain):
     replies = replies.sort_by("first").combine_chunks()
     c, _ = unpacked(replies.column("c"), np.int64)
     shares, _ = unpacked(replies.column("shares"), np.uint16)
-    emit = shares.reshape(len(c), -1) * (c / 65535.0)[:, None]
-    emit += (chain.prior * (c + ALPHA))[:, None]
-    return replies, c, (emit / chain.norm).astype(np.float32)
+    emit = shares.reshape(len(c), -1).astype(np.float32)
+    emit *= (c / 65535.0).astype(np.float32)[:, None]
+    emit += (chain.prior * (c + ALPHA)).astype(np.float32)[:, None]
+    emit /= chain.norm.astype(np.float32)
+    return replies, c, emit
 
 
 def _expect(chain: Chain):
@@ -352,13 +359,13 @@ def _expect(chain: Chain):
     def expect(rows: pa.Table, replies: pa.Table) -> pa.Table:
         symbols, bounds, held = _lines(rows)
         replies, _, emit = _emissions(replies, chain)
-        starts, moves, found = np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)
+        starts, moves, found = np.zeros(states), np.zeros((states, states)), np.zeros((states, len(emit)))
         lines, begins, room = [], [], 0
 
         def take():
-            nonlocal starts, moves, found
-            s, m, e = expected_counts(lines, begins, start, move, emit, len(emit))
-            starts, moves, found = starts + s, moves + m, found + e
+            nonlocal starts, moves
+            s, m = expected_counts(lines, begins, start, move, emit, found)
+            starts, moves = starts + s, moves + m
 
         for i in np.flatnonzero(~held):
             for a in range(bounds[i], bounds[i + 1], LANE):
@@ -370,9 +377,12 @@ def _expect(chain: Chain):
                     lines, begins, room = [], [], 0
         if lines:
             take()
-        n = np.rint(found.sum(axis=1))  # a word's states sum to one at each place
         _, counts = unpacked(replies.column("idx"), np.int32)
-        shares = quantised(found / np.maximum(found.sum(axis=1, keepdims=True), 1e-300))
+        total = found.sum(axis=0)
+        n = np.rint(total)  # a word's states sum to one at each place
+        shares = np.empty(emit.shape, np.uint16)
+        for s, row in enumerate(found):
+            shares[:, s] = quantised(row / np.maximum(total, 1e-300))
         k, name = replies.num_rows, rows.column("slice")[0].as_py()
         none = pa.array([b""], pa.binary())
         one = lambda column: pa.concat_arrays([*column.cast(pa.binary()).chunks, none])
@@ -429,19 +439,21 @@ def train(
     slices, and the counts and shares of each slice's words."""
     ship_package(docs.sparkSession)
     rows = rows_with_key(docs, "doc_id", "text").withColumn("held_out", held_out())
-    slices = written(rows.mapInArrow(_cut(slice_bytes), SLICES), "slices", **{"parquet.block.size": str(max(2 * slice_bytes, 1 << 20))})
+    slices = written(rows.mapInArrow(_cut(slice_bytes), SLICES), "slices", **ZSTD)
     places = slices.agg(F.sum("n_words")).first()[0] or 0
     by_part = lambda df: df.repartition("part").sortWithinPartitions("part", "slice")
     dealt = slices.select("slice", "words", "n").mapInArrow(_deal(max(1, -(-places // part_places))), BLOCKS)
-    replies = written(by_part(dealt).mapInArrow(_first_shares(states), REPLIES), "replies")
+    replies = written(by_part(dealt).mapInArrow(_first_shares(states), REPLIES), "replies", **ZSTD)
+    whole, slices = slices, written(slices.drop("words", "n", "n_words"), "symbols", **ZSTD)
+    done_with(whole)
     n_tokens, n_types, *counts = _totals(replies, states + 2)
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     chain = Chain(np.ones(states), move, np.array(counts), int(n_tokens), int(n_types))
     for _ in range(rounds if n_tokens else 0):
-        found = written(with_replies(slices, replies).applyInArrow(_expect(chain), EXPECTED), "expected")
+        found = written(with_replies(slices, replies).applyInArrow(_expect(chain), EXPECTED), "expected", **ZSTD)
         done_with(replies)
         sums = _totals(found.where("part = -1"), states * (states + 1))
-        replies = written(by_part(found.where("part >= 0").drop("totals")).mapInArrow(_add(states), REPLIES), "replies")
+        replies = written(by_part(found.where("part >= 0").drop("totals")).mapInArrow(_add(states), REPLIES), "replies", **ZSTD)
         done_with(found)
         chain = Chain(sums[:states] + 0.1, sums[states:].reshape(states, states) + 0.1, _totals(replies, states + 2)[2:], chain.n_tokens, chain.n_types)
     return chain, slices, replies
@@ -450,7 +462,7 @@ def train(
 def with_replies(slices: DataFrame, replies: DataFrame):
     """Each slice together with its words' counts and shares."""
     words = replies.where("slice >= 0").drop("totals")
-    return slices.drop("words", "n", "n_words").groupBy("slice").cogroup(words.groupBy("slice"))
+    return slices.groupBy("slice").cogroup(words.groupBy("slice"))
 
 
 def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, part_places: int = PART_PLACES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
