@@ -302,19 +302,16 @@ def expected_counts(lines, begins, start, move, emit, found: np.ndarray):
     base = np.cumsum(active) - active
     weighted = emit[symbols]
     weighted /= scale[:, None]
-    back = move.T.astype(emit.dtype)
+    back, pairs = move.T.astype(emit.dtype), np.zeros(move.shape)
     for t in range(len(active) - 1, 0, -1):
         n, b, p = active[t], base[t], base[t - 1]
         weighted[b : b + n] *= beta[b : b + n]
         beta[p : p + n] = weighted[b : b + n] @ back
-    step = np.repeat(np.arange(len(active)), active)
-    later = np.flatnonzero(step > 0)
-    earlier = base[step[later] - 1] + (later - base[step[later]])
-    moves = move * (alpha[earlier].T.astype(np.float64) @ weighted[later])
+        pairs += alpha[p : p + n].T @ weighted[b : b + n]
     gamma = alpha * beta
     for s, row in enumerate(found):
         row += np.bincount(symbols, weights=gamma[:, s], minlength=len(row))
-    return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), moves
+    return gamma[: active[0]][begins].sum(axis=0, dtype=np.float64), move * pairs
 
 
 class Chain:
