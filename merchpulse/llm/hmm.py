@@ -317,12 +317,14 @@ def expected_counts(lines, begins, start, move, emit, found: np.ndarray):
 class Chain:
     """The trained chain but for its words: starts, moves, the words' weights
     added up by state, and the numbers of training tokens and different words.
-    A word's weight in a state is its count there and ``prior`` times its
-    smoothed count, so that the weights of all words and of the unknown one
-    add up to the counts of the state and ``PRIOR``."""
+    A word's weight in a state is its count there, ``ALPHA`` times the state's
+    share of all tokens (``flat``) and ``prior`` times its smoothed count; the
+    weights of all words and of the unknown one add up to ``norm``."""
 
     def __init__(self, start: np.ndarray, move: np.ndarray, counts: np.ndarray, n_tokens: int, n_types: int):
-        self.start, self.move, self.norm = start / start.sum(), move / move.sum(axis=1, keepdims=True), counts + PRIOR
+        self.start, self.move = start / start.sum(), move / move.sum(axis=1, keepdims=True)
+        self.flat = ALPHA * counts / max(n_tokens, 1)
+        self.norm = counts + (n_types + 1) * self.flat + PRIOR
         self.n_tokens, self.n_types = n_tokens, n_types
         self.under = n_tokens + ALPHA * (n_types + 1)
         self.prior = PRIOR / self.under
@@ -344,6 +346,7 @@ def _emissions(replies: pa.Table, chain: Chain):
     emit = shares.reshape(len(c), -1).astype(np.float32)
     emit *= (c / 65535.0).astype(np.float32)[:, None]
     emit += (chain.prior * (c + ALPHA)).astype(np.float32)[:, None]
+    emit += chain.flat.astype(np.float32)
     emit /= chain.norm.astype(np.float32)
     return replies, c, emit
 

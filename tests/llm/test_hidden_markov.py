@@ -30,8 +30,10 @@ def plain(rows, states, rounds):
     under = n + hmm.ALPHA * (types + 1)
     words = list(c)
     prior = hmm.PRIOR / under
-    weights = {w: c[w] * f / f.sum() + prior * (c[w] + hmm.ALPHA) for w, f in zip(words, hmm.noise(words, states))}
-    unknown = np.full(states, prior * hmm.ALPHA)
+    found = {w: c[w] * f / f.sum() for w, f in zip(words, hmm.noise(words, states))}
+    smooth = hmm.ALPHA * sum(found.values()) / n
+    weights = {w: found[w] + smooth + prior * (c[w] + hmm.ALPHA) for w in words}
+    unknown = smooth + prior * hmm.ALPHA
     start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     for _ in range(rounds):
         norm = sum(weights.values()) + unknown
@@ -58,7 +60,9 @@ def plain(rows, states, rounds):
                         beta /= beta.sum()
                 if a == 0:
                     starts += gamma
-        weights = {w: found[w] + prior * (c[w] + hmm.ALPHA) for w in words}
+        smooth = hmm.ALPHA * sum(found.values()) / n
+        weights = {w: found[w] + smooth + prior * (c[w] + hmm.ALPHA) for w in words}
+        unknown = smooth + prior * hmm.ALPHA
         start, move = starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True)
     norm = sum(weights.values()) + unknown
     out = []
@@ -100,6 +104,6 @@ def test_probabilities_of_one_symbol_sum_to_one(spark):
         c, shares = np.frombuffer(r["c"], np.int64), np.frombuffer(r["shares"], np.uint16).reshape(-1, 3)
         for i, x in enumerate(np.frombuffer(r["idx"], np.int32)):
             if c[i]:
-                seen[r["part"], int(x)] = c[i] * shares[i] / 65535 + chain.prior * (c[i] + hmm.ALPHA)
-    total = sum(seen.values()) + chain.prior * hmm.ALPHA
+                seen[r["part"], int(x)] = c[i] * shares[i] / 65535 + chain.flat + chain.prior * (c[i] + hmm.ALPHA)
+    total = sum(seen.values()) + chain.flat + chain.prior * hmm.ALPHA
     assert len(seen) == chain.n_types and total / chain.norm == pytest.approx(np.ones(3), rel=1e-9)
