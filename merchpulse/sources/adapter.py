@@ -20,10 +20,14 @@ threshold, else a shuffle join).  Joined rows are dealt out once by merchant,
 month and a salt of the customer; order sums, customer sums, the salt's
 totals and its ten largest customers all use that partitioning, so a hot
 (supplier, month) is split over ``SALTS`` groups and sends on at most ten
-values from each.  Part totals need no join; their top list uses
-``row_number`` with a limit, which Spark turns into a per-partition group
-limit before the shuffle, so a hot (supplier, month) ships at most three
-rows per map task.
+values from each.  Part totals need no join; they are dealt out by merchant,
+month and part, and their top list uses ``row_number`` with a limit, which
+Spark turns into a per-partition group limit before the shuffle, so a hot
+(supplier, month) ships at most three rows per map task.
+
+A task of these deals holds groups, sorts and windows of its rows at once, so
+the number of parts follows the lines (``LINES_PER_PART``): a task's memory
+stays as it is while the table grows.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ from merchpulse.schema import (
 
 #: Groups into which the customers of a merchant's month are split.
 SALTS = 32
+#: Lines behind one part of a deal.
+LINES_PER_PART = 200_000
 
 
 def _m10(e: Column) -> Column:
@@ -100,8 +106,11 @@ def monthly_metrics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         (F.col("l_returnflag") == "R").alias("is_r"),
         _line_units(F.col("l_extendedprice"), F.col("l_discount")).alias("x"),
     )
-    joined = lines.join(orders.select(F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck")), "ok")
-    dealt = joined.withColumn("salt", F.pmod(F.xxhash64("ck"), F.lit(SALTS))).repartition("sk", "ym", "salt")
+    parts = max(1, -(-lineitem.count() // LINES_PER_PART))
+    joined = lines.repartition(parts, "ok").join(
+        orders.select(F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck")), "ok"
+    )
+    dealt = joined.withColumn("salt", F.pmod(F.xxhash64("ck"), F.lit(SALTS))).repartition(parts, "sk", "ym", "salt")
     by_order = dealt.groupBy("sk", "ym", "salt", "ck", "ok").agg(
         F.sum("x").alias("ox"), F.sum(F.when(F.col("is_r"), F.col("x")).otherwise(F.lit(0))).alias("orx")
     )
@@ -133,7 +142,7 @@ def monthly_metrics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
                                        lambda total, x: total + x))
         .drop("top")
     )
-    by_part = lines.groupBy("sk", "ym", "pk").agg(F.sum("x").alias("px"))
+    by_part = lines.repartition(parts, "sk", "ym", "pk").groupBy("sk", "ym", "pk").agg(F.sum("x").alias("px"))
     top3 = _top_sum(by_part, "pk", "px", 3, "t3")
     m = (
         month.join(top3, ["sk", "ym"], "left")
