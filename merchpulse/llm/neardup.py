@@ -10,8 +10,10 @@ similarity, and the full sets confirm it exactly.
    its rarest values only: two classes that share t of k values share one of
    the k - t + 1 rarest of either (prefix filter), so text that very many
    documents share makes no list unless a document has little else.  Coarse
-   sketches (k = 64) give a shortlist of classes, fine ones (k = 256) of these
-   the lists.
+   sketches (k = 64) give a shortlist of classes, fine ones (k = 1024) of these
+   the lists.  Where both sets are whole, a list brings a pair together only if
+   enough values follow the list's one in either: an edited copy has shingles
+   that nobody shares, which come first, and drops out.
 3. In each list, hubs are compared with all other members that are not yet in
    their component; hubs are members whose values are the most common, which
    an original has and its edited copies have not.  Then the hubs leave the
@@ -50,7 +52,7 @@ from merchpulse.llm.tables import done_with, rows_with_key, ship_package, text_s
 from merchpulse.llm.textbytes import NONSPACE, U, mix, split_words
 
 #: Values of the coarse sketch, and of the fine one of documents that it shortlists.
-K, FINE_K = 64, 256
+K, FINE_K = 64, 1024
 #: The probability that a pair is missed by a sketch's threshold.
 MISSED = 1e-8
 SLICE_BYTES = 4 << 20
@@ -132,8 +134,9 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
 
 
 def postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, class, n, weight, near``: each class under its rarest retained
-    values; ``near`` marks those that the smaller of a pair is found by."""
+    """``value, class, n, weight, place, near``: each class under its rarest
+    retained values; ``place`` counts the rarer ones that it retains, ``near``
+    marks those that the smaller of a pair is found by."""
     values = classes.select("class", F.col("n_shingles").alias("n"), F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
     shared = (
@@ -153,11 +156,21 @@ def postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
     return (
         shared.withColumns({"far": (n - far + 1 - unshared).cast("int"), "close": (n - near + 1 - unshared).cast("int")})
         .where(F.col("far") > 0)
-        .select("class", "n", "weight", "close", F.posexplode(F.slice("shared", 1, F.col("far"))).alias("place", "s"))
-        .select(F.col("s.value").alias("value"), "class", "n", "weight", (F.col("place") < F.col("close")).alias("near"))
+        .select("class", "n", "weight", "close", unshared.alias("unshared"), F.posexplode(F.slice("shared", 1, F.col("far"))).alias("at", "s"))
+        .select(
+            F.col("s.value").alias("value"), "class", "n", "weight", (F.col("unshared") + F.col("at")).alias("place"),
+            (F.col("at") < F.col("close")).alias("near"),
+        )
     )
 
 
+def can_begin(n: Column, place: Column, other: Column, percent: int) -> Column:
+    """If the value at ``place`` of a set of ``n``, all retained, can be the
+    rarest one common with a set of ``other``, as similar as asked for: what
+    follows must hold all common values, ``percent / (100 + percent)`` of both."""
+    return (100 + percent) * (n - place) >= percent * (n + other)
+
+
 def union_estimate(a: Column, b: Column, k: int) -> tuple[Column, Column]:
     """Common values in the k smallest of both sketches, and how many these are."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
@@ -200,15 +213,21 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
         deal = F.pmod(F.xxhash64("class", F.lit(round_)), F.lit(4 ** min(max(round_ - 1, 0), 15)))
         hubs = (
             member.groupBy("value", deal.alias("deal"))
-            .agg(F.max(F.struct("weight", "class", F.col("component").alias("hub_component"), F.col("n").alias("hub_n"), F.col("near").alias("hub_near"))).alias("h"))
-            .select("value", F.col("h.class").alias("hub"), "h.hub_component", "h.hub_n", "h.hub_near")
+            .agg(
+                F.max(
+                    F.struct("weight", "class", F.col("component").alias("hub_component"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("near").alias("hub_near"))
+                ).alias("h")
+            )
+            .select("value", F.col("h.class").alias("hub"), "h.hub_component", "h.hub_n", "h.hub_place", "h.hub_near")
         )
         hubs = written(hubs, "hubs")
         smaller = (F.col("n") < F.col("hub_n")) | (F.col("n") == F.col("hub_n")) & (F.col("class") < F.col("hub"))
+        whole = F.greatest("n", "hub_n") <= FINE_K
+        begins = can_begin(F.col("n"), F.col("place"), F.col("hub_n"), percent) & can_begin(F.col("hub_n"), F.col("hub_place"), F.col("n"), percent)
         pairs = (
             member.join(hubs, "value")
             .where((F.col("component") != F.col("hub_component")) & _sizes_fit("n", "hub_n", percent))
-            .where(F.when(smaller, F.col("near")).otherwise(F.col("hub_near")))
+            .where(F.when(whole, begins).otherwise(F.when(smaller, F.col("near")).otherwise(F.col("hub_near"))))
             .select(F.least("class", "hub").alias("class"), F.greatest("class", "hub").alias("hub"), "n", "hub_n")
             .dropDuplicates(["class", "hub"])
         )

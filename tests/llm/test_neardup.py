@@ -69,3 +69,27 @@ def test_thue_morse_words_and_what_is_left(spark):
     assert got == {0: 0, 1: 1, 2: 2, 3: 2}
     left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
     assert not left & {"lists", "hubs", "pairs", "postings", "sets", "sketch", "sketches", "classes", "shortlist", "edges"}
+
+
+def test_edited_copies_below_the_threshold_are_not_paired(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base)]
+    for c in range(40):  # 10 words of 300 changed: similarities of about 0.76 to the first, 0.6 to one another
+        w = list(base)
+        for i in rnd.sample(range(5, 295), 10):
+            w[i] = f"e{c}x{i}"
+        texts.append(" ".join(w))
+    paired, written = [], neardup.written
+
+    def counted(df, name, **options):
+        out = written(df, name, **options)
+        if name == "pairs":
+            paired.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 4, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 4, 80)
+    assert sum(paired) <= 2 * len(texts)
