@@ -28,6 +28,7 @@ at; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -48,11 +49,11 @@ END_ID = 0
 #: Text bytes behind one partition of the id order.
 PART_BYTES = 32 << 20
 #: Pieces whose ids a worker remembers, and the most ids of them.
-MEMORY, MEMORY_IDS = 1_500_000, 8 << 20
-#: New pieces that one call of the tokenizer gets.
-TOGETHER = 512
+MEMORY, MEMORY_IDS = 750_000, 4 << 20
+#: New pieces in one text for the tokenizer.
+TOGETHER = 128
 #: Text bytes encoded at a time (a longer text stands alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SYMBOLS = 19  # order 2, order 1, and ranks of 0 to 16 further bits
 C1, C2 = 512, 1024
@@ -69,6 +70,10 @@ CHUNKS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<int>,
 #: White space beyond ASCII; a text that has it is encoded whole.
 _RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _IS_WHITE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+#: Kinds of bytes: 0 other, 1 letters (of Latin-1 and Latin Extended above ASCII), 2 digits.
+_KIND = np.array([1 if chr(b).isalpha() and b < 128 or 128 <= b <= 0xBF or 0xC3 <= b <= 0xC8 else 2 if 48 <= b <= 57 else 0 for b in range(256)], np.int8)
+#: Bytes that leave the split of a word to the tokenizer: the apostrophe and all that begin other characters.
+_OPEN = np.array([b == 39 or b == 0xC2 or b > 0xC8 for b in range(256)])
 _tokenizers: dict = {}
 
 
@@ -87,6 +92,20 @@ def cut_pieces(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def cut_words(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of what the byte-level expression makes of the words that lie in
+    ``buf`` from ``starts`` on (a blank may stand before each): runs of letters,
+    of digits and of others; and the words for which that is not settled."""
+    times = (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+    unsettled = _OPEN[buf]
+    unsettled[:-1] |= times
+    kind = _KIND[buf]
+    cut = np.zeros(len(buf), bool)
+    cut[1:] = (kind[1:] != kind[:-1]) & (buf[:-1] != 32)  # a blank goes with what follows
+    cut[starts] = True
+    return np.flatnonzero(cut), np.logical_or.reduceat(unsettled, starts)
+
+
 def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of runs that begin at ``begins``, one after the other."""
     after = np.cumsum(sizes)
@@ -120,34 +139,61 @@ class PieceEncoder:
             self.length = np.array([len(x) for x in spelled])
             self.at = np.cumsum(self.length) - self.length
             self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+            # the same model, given words that are cut and spelled in its letters
+            self.spelling = {b: c for c, b in letter.items()} | {10: "\n"}
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self.forget()
 
     def forget(self) -> None:
         self.hashes, self.begin, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Remember new pieces: words many at a time, with line feeds between
-        them, and white space each for itself."""
-        is_word = np.array([p[-1] not in b" \t\n\v\f\r" for p in pieces])
-        order = np.argsort(~is_word, kind="stable")
-        words, blanks = [pieces[i] for i in order[: is_word.sum()]], [pieces[i] for i in order[is_word.sum() :]]
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)] + [[p] for p in blanks]
-        found = self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)
+        """Remember new pieces, many at a time: words whose runs are known are
+        given to the model cut, with line feeds between the runs; others go
+        through the whole tokenizer, with line feeds between them, and white
+        space each for itself."""
+        kind = np.array([2 * (p[-1] in b" \t\n\v\f\r") for p in pieces])  # 0 settled words, 1 other words, 2 white space
+        size = np.array([len(p) for p in pieces])
+        buf = np.frombuffer(b"".join(pieces), np.uint8)
+        kind = np.maximum(kind, cut_words(buf, np.cumsum(size) - size)[1])
+        order = np.argsort(kind, kind="stable")
+        n_cut, n_words = np.searchsorted(kind[order], [1, 2]).tolist()
+        pieces, size = [pieces[i] for i in order], size[order]
+        cut_ids = [self.words.encode_batch_fast(self.in_letters(pieces[:n_cut], size[:n_cut]), add_special_tokens=False)] if n_cut else []
+        groups = [pieces[i : min(i + TOGETHER, n_words)] for i in range(n_cut, n_words, TOGETHER)] + [[p] for p in pieces[n_words:]]
+        whole = self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)
         begins, sizes, all_ids, total = [], [], [self.ids], len(self.ids)
-        for group, e in zip(groups, found):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(p) + 1 for p in group])
+
+        def keep(ends: np.ndarray, gap: int, found: list) -> None:
+            nonlocal total
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
             first = np.cumsum(self.length[ids]) - self.length[ids]
             a = np.searchsorted(first, np.append(0, ends[:-1]))
             begins.append(total + a)
-            sizes.append(np.searchsorted(first, ends - 1) - a)
+            sizes.append(np.searchsorted(first, ends - gap) - a)
             all_ids.append(ids)
             total += len(ids)
+
+        for found in cut_ids:
+            keep(np.cumsum(size[:n_cut]), 0, found)
+        for group, e in zip(groups, whole):
+            keep(np.cumsum([len(p) + 1 for p in group]), 1, [e])
         hashes = np.append(self.hashes, hashes[order])
         at = np.argsort(hashes, kind="stable")
         self.hashes, self.ids = hashes[at], np.concatenate(all_ids)
         self.begin, self.size = np.concatenate([self.begin, *begins])[at], np.concatenate([self.size, *sizes])[at]
 
+    def in_letters(self, words: list[bytes], size: np.ndarray) -> list[str]:
+        """Settled words, cut into their runs, in the model's letters, many in
+        a text."""
+        buf, starts = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+        cuts, _ = cut_words(buf, starts)
+        # a byte that never stands in a word (a line feed) goes before each run but the first
+        text = np.insert(buf, cuts[1:], 10).tobytes().decode("latin1").translate(self.spelling)
+        begin = starts[::TOGETHER] + np.searchsorted(cuts, starts[::TOGETHER])
+        return [text[a:b] for a, b in zip(begin.tolist(), [*(begin[1:] - 1).tolist(), len(text)])]
+
     def whole(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
@@ -410,6 +456,7 @@ def read_chunk(data: bytes) -> np.ndarray:
 def _encode_part(path: str, end_id: int):
     """Chunks of whole documents, in the order of the partition's rows."""
     def encode(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         encoder, part = piece_encoder(path), TaskContext.get().partitionId()
         seq, docs, sizes, lines, size = 0, [], [], [], 0
 
