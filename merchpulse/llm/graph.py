@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``done_with`` removes.
     """
     edges = edges.where(F.col("a") != F.col("b"))
-    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
     while True:
         near = (

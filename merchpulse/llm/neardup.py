@@ -15,12 +15,15 @@ similarity, and the full sets confirm it exactly.
    enough values follow the list's one in either: an edited copy has shingles
    that nobody shares, which come first, and drops out.
 3. In each list, hubs are compared with all other members that are not yet in
-   their component; hubs are members whose values are the most common, which
-   an original has and its edited copies have not.  Then the hubs leave the
-   list.  Each round from the third takes four times
-   the hubs of a list and no pair is compared twice; rounds go on until every pair of
-   every list was compared or lies in one component, so no link is lost, while
-   a group of copies costs about one comparison a member.
+   their component.  The first round takes one hub a list, the member whose
+   values are the most common, which an original has and its edited copies
+   have not.  From then on, a list with few members outside its largest
+   component is done in one round, with all of these as hubs: of two members
+   of different components, one is outside.  Longer lists take some hubs, which
+   then leave the list, and both numbers grow sixteenfold a round.  No pair is
+   compared twice; rounds go on until every pair of every list was compared or
+   lies in one component, so no link is lost, while a group of copies costs
+   about one comparison a member.
 4. Components of confirmed links; the smallest id names a component.
 
 The prefix and estimate thresholds follow from the similarity asked for: of
@@ -39,6 +42,7 @@ smallest; other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 from math import comb
 
@@ -181,22 +185,25 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
+def links(classes: DataFrame, texts, width: int, percent: int) -> tuple[list[DataFrame], DataFrame | None]:
     """Links between classes that connect all similar ones: every pair with
-    ``100 * common >= percent * union`` is a link or joined by links.
+    ``100 * common >= percent * union`` is a link or joined by links.  Written
+    tables: links of each round, and the components they make (none without links).
 
     ``classes``: class, n_shingles, sketch; ``texts(classes)`` gives
     rows with the texts of the classes asked for.
     """
-    coarse = postings(classes, K, percent)
+    coarse = written(postings(classes, K, percent).select("value", "class"), "coarse")
     shared = coarse.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1).select("value")
     in_lists = written(coarse.join(shared, "value").select("class").distinct(), "shortlist")
+    done_with(coarse)
     sets = texts(in_lists).mapInArrow(_set_batches(width), "class long, members array<long>").join(in_lists, "class", "left_semi")
     sets = written(sets.dropDuplicates(["class"]), "sets")
     fine = sets.select("class", F.size("members").cast("long").alias("n_shingles"), F.slice("members", 1, FINE_K).alias("sketch"))
     live = written(postings(fine, FINE_K, percent), "postings")
     sketch = written(classes.select("class", "sketch").join(live.select("class").distinct(), "class"), "sketch")
-    labels = all_links = tested = None
+    labels = tested = None
+    all_links = []
     kept = [in_lists, sets, sketch]
     for round_ in count():
         member = live
@@ -205,14 +212,20 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
         else:
             member = live.withColumn("component", F.col("class"))
         member = member.withColumn("component", F.coalesce("component", "class"))
-        open_ = member.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
+        # members outside the list's largest component, and hubs of longer lists
+        few, some = (1, 1) if round_ == 0 else (4 * 16 ** min(round_, 14), 4 * 16 ** min(round_ - 1, 13))
+        each = member.groupBy("value", "component").agg(F.count(F.lit(1)).alias("members")) if labels is not None else member.withColumn("members", F.lit(1).cast("long"))
+        open_ = (
+            each.groupBy("value").agg((F.sum("members") - F.max("members")).alias("outside"), F.max(F.struct("members", "component")).alias("largest"))
+            .where("outside > 0").select("value", (F.col("outside") <= few).alias("last"), F.col("largest.component").alias("largest"))
+        )
         member = written(member.join(open_, "value"), "lists")
         if member.isEmpty():
             kept += [live, member]
             break
-        deal = F.pmod(F.xxhash64("class", F.lit(round_)), F.lit(4 ** min(max(round_ - 1, 0), 15)))
+        deal = F.when(F.col("last"), F.col("class")).otherwise(F.pmod(F.xxhash64("class", F.lit(round_)), F.lit(some)))
         hubs = (
-            member.groupBy("value", deal.alias("deal"))
+            member.where("not last or component <> largest").groupBy("value", deal.alias("deal"))
             .agg(
                 F.max(
                     F.struct("weight", "class", F.col("component").alias("hub_component"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("near").alias("hub_near"))
@@ -249,20 +262,21 @@ def links(classes: DataFrame, texts, width: int, percent: int) -> DataFrame:
             .select(F.col("class").alias("a"), F.col("hub").alias("b")),
             "links",
         )
-        all_links = found if all_links is None else all_links.union(found)
+        all_links.append(found)
         if not found.isEmpty():
-            before, labels = labels, components(all_links)
+            before, labels = labels, components(united(all_links))
             if before is not None:
                 done_with(before)
-        rest = written(
-            member.drop("component").join(hubs.select("value", F.col("hub").alias("class")), ["value", "class"], "left_anti"), "postings"
-        )
+        left = member.where("not last").drop("component", "last", "largest")
+        rest = written(left.join(hubs.select("value", F.col("hub").alias("class")), ["value", "class"], "left_anti"), "postings")
         done_with(live, member, hubs)
         live = rest
-    done_with(*kept, *([] if labels is None else [labels]))
-    if all_links is None:
-        return classes.sparkSession.createDataFrame([], "a long, b long")
-    return all_links
+    done_with(*kept)
+    return all_links, labels
+
+
+def united(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, tables)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -281,18 +295,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         ids = heads.join(wanted, "class").select("doc_id").distinct()
         return rows_with_key(docs, "doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
 
-    found = links(classes, texts, width, percent)
+    found, labels = links(classes, texts, width, percent)
     done_with(classes)
-    named = heads.withColumnsRenamed({"class": "a", "doc_id": "head_a"})
-    between = (
-        found.join(named, "a").join(named.withColumnsRenamed({"a": "b", "head_a": "head_b"}), "b")
-        .select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
-    )
-    # copies hang on their head; rows of one id with other texts hold their classes together
-    copies = fit.select("doc_id", "class").join(heads.withColumnRenamed("doc_id", "head"), "class").where("doc_id <> head")
-    reach = components(between.union(copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))))
-    reach = reach.withColumnsRenamed({"node": "doc_id", "component": "component_id"})
-    out = drawn.select("doc_id", "n_shingles").join(reach, "doc_id", "left")
+    # rows of one id with other texts hold their classes together
+    several = fit.groupBy("doc_id").agg(F.min("class").alias("b"), F.max("class").alias("hi")).where("b < hi").select("doc_id", "b")
+    held = written(fit.join(several, "doc_id").where("class <> b").select(F.col("class").alias("a"), "b"), "held")
+    if not held.isEmpty():
+        done_with(*([] if labels is None else [labels]))
+        labels = components(united([*found, held]))
+    done_with(held, *found)
+    reach = heads.withColumn("component", F.col("class"))
+    if labels is not None:
+        reach = heads.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # a component's smallest id is that of one of its classes; most ids are alone
+    first = reach.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = reach.join(first, "component").select("class", "component_id")
+    moved = fit.join(named, "class").where("component_id < doc_id").select("doc_id", "component_id").distinct()
+    moved = written(moved, "reach")
+    done_with(heads, *([] if labels is None else [labels]))
+    out = drawn.select("doc_id", "n_shingles").join(moved, "doc_id", "left")
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id")).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
     )

@@ -93,3 +93,21 @@ def test_edited_copies_below_the_threshold_are_not_paired(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 4, 80).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts, 4, 80)
     assert sum(paired) <= 2 * len(texts)
+
+
+def test_short_lists_are_done_in_two_rounds(spark, monkeypatch):
+    rnd = random.Random(6)
+    parts = [" ".join(f"p{i}w{rnd.randrange(10**6)}" for _ in range(40)) for i in range(9)]
+    texts = [f"{parts[i]} {parts[j]}" for i in range(9) for j in range(i)]  # each part in 8 texts, none similar
+    texts += [texts[0] + " more", texts[0]]
+    lists, written = [], neardup.written
+
+    def counted(df, name, **options):
+        lists.extend([name] if name == "lists" else [])
+        return written(df, name, **options)
+
+    monkeypatch.setattr(neardup, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 4, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 4, 80)
+    assert len(lists) <= 3  # the last is empty
