@@ -49,7 +49,7 @@ END_ID = 0
 #: Text bytes behind one partition of the id order.
 PART_BYTES = 32 << 20
 #: Pieces whose ids a worker remembers, and the most ids of them.
-MEMORY, MEMORY_IDS = 750_000, 4 << 20
+MEMORY, MEMORY_IDS = 1_500_000, 8 << 20
 #: New pieces in one text for the tokenizer.
 TOGETHER = 128
 #: Text bytes encoded at a time (a longer text stands alone).
@@ -62,6 +62,8 @@ TOTAL_BITS, ROW = 16, 32
 TOTAL = 1 << TOTAL_BITS
 #: Ids between two mixes of a block, once it has this many.
 MIX_EVERY = 128
+#: Blocks whose symbols are found, or whose counts are mixed, at a time.
+LANES = 128
 #: The coder works on 64 bits and puts out words of 32.
 MASK, WORD = (1 << 64) - 1, 1 << 32
 
@@ -113,7 +115,9 @@ def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """The tokenizer with a memory of pieces, by 64-bit hash.
+    """The tokenizer with a memory of pieces, by 64-bit hash: sorted, with
+    late pieces apart until they are many.  A full memory keeps the pieces met
+    again since it was last full.
 
     A byte-level tokenizer's ids spell the text's bytes, so what the memory
     gave is checked against the text; where it doesn't spell the text (two
@@ -137,62 +141,117 @@ class PieceEncoder:
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
                 spelled[i] = bytes(letter[c] for c in token)
             self.length = np.array([len(x) for x in spelled])
-            self.at = np.cumsum(self.length) - self.length
-            self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
-            # the same model, given words that are cut and spelled in its letters
+            self.spelled = pa.array(spelled, pa.large_binary())
+            # the same model, given words that are cut and spelled in its letters, each once
             self.spelling = {b: c for c, b in letter.items()} | {10: "\n"}
-            self.words = Tokenizer(self.tokenizer.model)
-            self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+            self.words = Tokenizer(Tokenizer.from_file(path).model)
+            self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            if hasattr(self.words.model, "_resize_cache"):
+                self.words.model._resize_cache(0)
         self.forget()
 
     def forget(self) -> None:
-        self.hashes, self.begin, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.hashes, self.begin, self.size, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.late = (self.hashes, self.begin, self.size, self.again)
+        self.ids, self.n_ids = np.zeros(1 << 16, "<u4"), 0
+
+    def settle(self, full: bool = False) -> None:
+        """Sort the late pieces in; of a full memory, keep those met again."""
+        old = (self.hashes, self.begin, self.size, self.again)
+        hashes, begin, size, again = (np.concatenate(x) for x in zip(old, self.late))
+        if full:
+            if not 0 < np.count_nonzero(again) <= MEMORY // 2 or size[again].sum() > MEMORY_IDS // 2:
+                return self.forget()
+            hashes, begin, size = hashes[again], begin[again], size[again]
+            self.ids = self.ids[_runs(begin, size)]
+            self.n_ids = len(self.ids)
+            begin, again = (np.cumsum(size) - size).astype(np.int32), np.zeros(len(size), bool)
+        at = np.argsort(hashes, kind="stable")  # two sorted runs
+        self.hashes, self.begin, self.size, self.again = hashes[at], begin[at], size[at], again[at]
+        self.late = tuple(x[:0] for x in old)
+
+    def recall(self, hashes: np.ndarray, met: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of pieces begin (-1: unknown), and how many they are."""
+        begin, size = np.full(len(hashes), -1, np.int32), np.zeros(len(hashes), np.int32)
+        for known, begins, sizes, again in ((self.hashes, self.begin, self.size, self.again), self.late):
+            if len(known):
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = np.flatnonzero(known[place] == hashes)
+                place = place[hit]
+                begin[hit], size[hit] = begins[place], sizes[place]
+                again[place] |= met
+        return begin, size
+
+    def remember(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        hashes = np.append(self.late[0], hashes)
+        at = np.argsort(hashes, kind="stable")
+        begin, size = (np.append(x, new.astype(np.int32))[at] for x, new in ((self.late[1], begin), (self.late[2], size)))
+        self.late = (hashes[at], begin, size, np.append(self.late[3], np.zeros(len(at) - len(self.late[3]), bool))[at])
+        if len(hashes) > len(self.hashes) // 8:
+            self.settle()
+
+    def keep(self, ids: np.ndarray) -> int:
+        """Store ids; gives their place."""
+        begin, self.n_ids = self.n_ids, self.n_ids + len(ids)
+        if self.n_ids > len(self.ids):
+            self.ids = np.append(self.ids[:begin], np.zeros(begin + 2 * len(ids), "<u4"))
+        self.ids[begin : self.n_ids] = ids
+        return begin
+
+    def keep_texts(self, found: list, sizes: list[np.ndarray], gap: int) -> tuple[np.ndarray, np.ndarray]:
+        """Store the ids of encoded texts of pieces of these bytes, of whose
+        ids ``gap`` bytes' stand between two; gives each piece's place and ids."""
+        begins, counts = [], []
+        for e, size in zip(found, sizes):
+            ids = np.array(e.ids, "<u4")
+            first = np.cumsum(self.length[ids]) - self.length[ids]
+            ends = np.cumsum(size + gap)
+            a = np.searchsorted(first, np.append(0, ends[:-1]))
+            begins.append(self.keep(ids) + a)
+            counts.append(np.searchsorted(first, ends - gap) - a)
+        return np.concatenate(begins), np.concatenate(counts)
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Remember new pieces, many at a time: words whose runs are known are
-        given to the model cut, with line feeds between the runs; others go
-        through the whole tokenizer, with line feeds between them, and white
-        space each for itself."""
+        put together from runs; others go through the whole tokenizer, with
+        line feeds between them, and white space each for itself."""
         kind = np.array([2 * (p[-1] in b" \t\n\v\f\r") for p in pieces])  # 0 settled words, 1 other words, 2 white space
         size = np.array([len(p) for p in pieces])
         buf = np.frombuffer(b"".join(pieces), np.uint8)
         kind = np.maximum(kind, cut_words(buf, np.cumsum(size) - size)[1])
         order = np.argsort(kind, kind="stable")
         n_cut, n_words = np.searchsorted(kind[order], [1, 2]).tolist()
-        pieces, size = [pieces[i] for i in order], size[order]
-        cut_ids = [self.words.encode_batch_fast(self.in_letters(pieces[:n_cut], size[:n_cut]), add_special_tokens=False)] if n_cut else []
+        pieces, hashes = [pieces[i] for i in order], hashes[order]
+        if n_cut:
+            self.learn_words(hashes[:n_cut], pieces[:n_cut], size[order[:n_cut]])
         groups = [pieces[i : min(i + TOGETHER, n_words)] for i in range(n_cut, n_words, TOGETHER)] + [[p] for p in pieces[n_words:]]
-        whole = self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)
-        begins, sizes, all_ids, total = [], [], [self.ids], len(self.ids)
-
-        def keep(ends: np.ndarray, gap: int, found: list) -> None:
-            nonlocal total
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
-            first = np.cumsum(self.length[ids]) - self.length[ids]
-            a = np.searchsorted(first, np.append(0, ends[:-1]))
-            begins.append(total + a)
-            sizes.append(np.searchsorted(first, ends - gap) - a)
-            all_ids.append(ids)
-            total += len(ids)
-
-        for found in cut_ids:
-            keep(np.cumsum(size[:n_cut]), 0, found)
-        for group, e in zip(groups, whole):
-            keep(np.cumsum([len(p) + 1 for p in group]), 1, [e])
-        hashes = np.append(self.hashes, hashes[order])
-        at = np.argsort(hashes, kind="stable")
-        self.hashes, self.ids = hashes[at], np.concatenate(all_ids)
-        self.begin, self.size = np.concatenate([self.begin, *begins])[at], np.concatenate([self.size, *sizes])[at]
-
-    def in_letters(self, words: list[bytes], size: np.ndarray) -> list[str]:
-        """Settled words, cut into their runs, in the model's letters, many in
-        a text."""
-        buf, starts = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+        if groups:
+            whole = self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)
+            self.remember(hashes[n_cut:], *self.keep_texts(whole, [np.array([len(p) for p in g]) for g in groups], 1))
+
+    def learn_words(self, hashes: np.ndarray, words: list[bytes], size: np.ndarray) -> None:
+        """Remember settled words and their runs, of which the model gets the
+        new ones, each once and spelled in its letters."""
+        joined, starts = b"".join(words), np.cumsum(size) - size
+        buf = np.frombuffer(joined, np.uint8)
         cuts, _ = cut_words(buf, starts)
-        # a byte that never stands in a word (a line feed) goes before each run but the first
-        text = np.insert(buf, cuts[1:], 10).tobytes().decode("latin1").translate(self.spelling)
-        begin = starts[::TOGETHER] + np.searchsorted(cuts, starts[::TOGETHER])
-        return [text[a:b] for a, b in zip(begin.tolist(), [*(begin[1:] - 1).tolist(), len(text)])]
+        ends = np.append(cuts[1:], len(buf))
+        runs, at, which = np.unique(span_hash(prefix_sums(buf), cuts, ends), return_index=True, return_inverse=True)
+        new = np.flatnonzero(self.recall(runs)[0] < 0)
+        if len(new):
+            some = [joined[a:b] for a, b in zip(cuts[at[new]].tolist(), ends[at[new]].tolist())]
+            groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            found = self.words.encode_batch_fast([b"\n".join(g).decode("latin1").translate(self.spelling) for g in groups], add_special_tokens=False)
+            self.remember(runs[new], *self.keep_texts(found, [np.array([len(p) for p in g]) for g in groups], 0))
+        begin, size = (x[which] for x in self.recall(runs, met=False))
+        first = np.searchsorted(cuts, starts)
+        count = np.diff(np.append(first, len(cuts)))
+        several = np.flatnonzero(count > 1)  # a single run is remembered
+        if len(several):
+            parts = _runs(first[several], count[several])
+            place = self.keep(self.ids[_runs(begin[parts], size[parts])])
+            size = np.add.reduceat(size, first)[several]
+            self.remember(hashes[several], place + np.cumsum(size) - size, size)
 
     def whole(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
@@ -206,16 +265,25 @@ class PieceEncoder:
             return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
         starts = cut_pieces(buf, bounds[:-1])
         ends = np.append(starts[1:], len(buf))
-        hashes, at, which = np.unique(span_hash(prefix_sums(buf), starts, ends), return_index=True, return_inverse=True)
-        if len(self.hashes) > MEMORY or len(self.ids) > MEMORY_IDS:
-            self.forget()
-        new = np.flatnonzero(np.append(self.hashes, np.uint64(0))[np.searchsorted(self.hashes, hashes)] != hashes)
+        found = pa.array(span_hash(prefix_sums(buf), starts, ends)).dictionary_encode()
+        hashes, which = found.dictionary.to_numpy(), found.indices.to_numpy()
+        order = np.argsort(hashes)
+        hashes, at = hashes[order], np.empty(len(hashes), np.int64)
+        at[which] = np.arange(len(which))  # one of the places of each
+        if len(self.hashes) + len(self.late[0]) > MEMORY or self.n_ids > MEMORY_IDS:
+            self.settle(full=True)
+        begin, size = self.recall(hashes)
+        new = np.flatnonzero(begin < 0)
         if len(new):
-            self.learn(hashes[new], [joined[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
-        place = np.searchsorted(self.hashes, hashes)[which]
-        size = self.size[place]
-        ids = self.ids[_runs(self.begin[place], size)]
-        if not np.array_equal(self.spelled[_runs(self.at[ids], self.length[ids])], buf):
+            some = at[order[new]]
+            self.learn(hashes[new], [joined[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            begin, size = self.recall(hashes, met=False)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        place = place[which]
+        size = size[place]
+        ids = self.ids[_runs(begin[place], size)]
+        if self.length[ids].sum() != len(buf) or not np.array_equal(np.frombuffer(self.spelled.take(pa.array(ids)).buffers()[2], np.uint8, len(buf)), buf):
             parts = self.whole(texts)
             return np.concatenate(parts), np.array([len(p) for p in parts])
         return ids, np.diff(np.append(0, np.cumsum(size))[np.searchsorted(starts, bounds)])
@@ -247,68 +315,122 @@ def piece_encoder(path: str) -> PieceEncoder:
     return _tokenizers[path]
 
 
-class Model:
-    """The adaptive state of many blocks, each for itself.
+class Mixes:
+    """The symbols' adaptive counts of many blocks, each for itself.
+    ``table`` holds each mix's cumulative counts by block, confidence of
+    order 1 and confidence of order 2; ``row`` is a block's first place."""
 
-    A slot holds the id that last followed a context, times 4, and the
-    confidence in it; ``table`` holds each mix's cumulative counts.
-    """
+    def __init__(self, lanes: int):
+        self.row = np.arange(lanes) * (16 * ROW)
+        self.counts = [
+            (np.ones((SYMBOLS, 1, 1, n), np.uint32), np.ones((SYMBOLS, 4, 1, n), np.uint32), np.ones((SYMBOLS, 1, 4, n), np.uint32))
+            for n in (min(LANES, lanes - i) for i in range(0, lanes, LANES))
+        ]
+        self.table = np.full(lanes * 16 * ROW, TOTAL, np.uint32)
+        self.table[::ROW] = 0
+        self.mix(None)
+
+    def mix(self, seen: np.ndarray | None) -> None:
+        """Take in the symbols since the last mix: their places in the table,
+        by step and block (those of ended blocks don't matter)."""
+        for i, (counts0, counts1, counts2) in enumerate(self.counts):
+            lanes = counts0.shape[3]
+            if i == 0 or lanes < LANES:  # places by symbol, mix and block
+                turned = np.arange(ROW * 16 * lanes).reshape(ROW, 16, lanes).transpose(2, 1, 0).ravel()
+            at = i * LANES * 16 * ROW
+            table = self.table[at : at + lanes * 16 * ROW].reshape(lanes, 16, ROW)
+            if seen is not None:
+                places = turned.take((seen[:, i * LANES : i * LANES + lanes] - at).ravel())
+                new = np.bincount(places, minlength=ROW * 16 * lanes)[: SYMBOLS * 16 * lanes].astype(np.uint32).reshape(SYMBOLS, 4, 4, lanes)
+                new1, new2 = new.sum(axis=2, keepdims=True, dtype=np.uint32), new.sum(axis=1, keepdims=True, dtype=np.uint32)
+                counts0 += 2 * new1.sum(axis=1, keepdims=True, dtype=np.uint32)
+                counts1 += 6 * new1
+                counts2 += 12 * new2
+            c = (counts0 + counts1 + counts2).reshape(SYMBOLS, 16, lanes)
+            for a, b in zip(c, c[1:]):
+                b += a
+            # every symbol keeps a share of one: TOTAL - SYMBOLS is dealt by counts
+            c *= np.uint32((TOTAL - SYMBOLS) << 16) // c[-1]
+            c >>= np.uint32(16)
+            c += np.arange(1, SYMBOLS + 1, dtype=np.uint32)[:, None, None]
+            table[..., 1:SYMBOLS] = c[:-1].transpose(2, 1, 0)
+
+
+def _context1(last1: np.ndarray) -> np.ndarray:
+    return last1 * 0x9E3779B1 >> 12 & (C1 - 1)
+
+
+def _context2(last1: np.ndarray, last2: np.ndarray) -> np.ndarray:
+    return last1 * 0x85EBCA6B + last2 * 0xC2B2AE35 >> 11 & (C2 - 1)
+
+
+class Slots:
+    """What the decoder knows of many blocks' contexts: a slot holds the id
+    that last followed a context, times 4, and the confidence in it."""
 
     def __init__(self, lanes: int):
-        self.lanes, self.steps = lanes, 0
-        self.base1, self.base2, self.row, self.base = (np.arange(lanes) * n for n in (C1, C2, 16 * ROW, 4 * ROW))
+        self.base1, self.base2 = np.arange(lanes) * C1, np.arange(lanes) * C2
         self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.slots1, self.slots2 = np.full(lanes * C1, -4, np.int32), np.full(lanes * C2, -4, np.int32)
-        self.counts0 = np.ones((lanes, SYMBOLS), np.uint32)
-        self.counts1, self.counts2 = np.ones((lanes, 4, SYMBOLS), np.uint32), np.ones((lanes, 4, SYMBOLS), np.uint32)
-        self.seen1, self.seen2 = [], []
-        mixes = np.full((lanes, 4, 4, ROW), TOTAL, np.uint32)
-        mixes[..., 0] = 0
-        self.table, self.mixes = mixes.reshape(-1), mixes
-        self.mix()
-
-    def mix(self) -> None:
-        """Take in the symbols since the last mix."""
-        if self.seen1:
-            new1, new2 = (
-                np.bincount(np.concatenate(s), minlength=self.lanes * 4 * ROW).reshape(self.lanes, 4, ROW)[..., :SYMBOLS].astype(np.uint32)
-                for s in (self.seen1, self.seen2)
-            )
-            self.counts0 += 2 * new1.sum(axis=1, dtype=np.uint32)
-            self.counts1 += 6 * new1
-            self.counts2 += 12 * new2
-            self.seen1, self.seen2 = [], []
-        c = (self.counts0[:, None] + self.counts1)[:, :, None] + self.counts2[:, None]
-        np.cumsum(c, axis=3, out=c)
-        # every symbol keeps a share of one: TOTAL - SYMBOLS is dealt by counts
-        c *= np.uint32((TOTAL - SYMBOLS) << 16) // c[..., -1:]
-        c >>= np.uint32(16)
-        c += np.arange(1, SYMBOLS + 1, dtype=np.uint32)
-        self.mixes[..., 1:SYMBOLS] = c[..., :-1]
 
     def narrow(self, n: int) -> None:
         """Go on with the first ``n`` blocks (blocks are sorted by length)."""
-        if n < len(self.row):
-            self.base1, self.base2, self.row, self.base = self.base1[:n], self.base2[:n], self.row[:n], self.base[:n]
-            self.last1, self.last2 = self.last1[:n], self.last2[:n]
+        self.base1, self.base2 = self.base1[:n], self.base2[:n]
+        self.last1, self.last2 = self.last1[:n], self.last2[:n]
 
     def predict(self):
-        """Predicted ids of both orders and the place of the mix to use."""
-        self.at1 = self.base1 + (self.last1 * 0x9E3779B1 >> 12 & (C1 - 1))
-        self.at2 = self.base2 + (self.last1 * 0x85EBCA6B + self.last2 * 0xC2B2AE35 >> 11 & (C2 - 1))
+        """Predicted ids of both orders and the place of the mix to use, from
+        its block's first."""
+        self.at1 = self.base1 + _context1(self.last1)
+        self.at2 = self.base2 + _context2(self.last1, self.last2)
         self.slot1, self.slot2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
         self.sure1, self.sure2 = self.slot1 & 3, self.slot2 & 3
-        return self.slot1 >> 2, self.slot2 >> 2, self.row + (self.sure1 * (4 * ROW) + self.sure2 * ROW)
+        return self.slot1 >> 2, self.slot2 >> 2, (self.sure1 * 4 + self.sure2).astype(np.int64) * ROW
 
-    def update(self, ids, symbol, p1, p2) -> None:
-        self.seen1.append(self.base + (self.sure1 * ROW + symbol))
-        self.seen2.append(self.base + (self.sure2 * ROW + symbol))
+    def update(self, ids, p1, p2) -> None:
         for slots, at, slot, sure, p in ((self.slots1, self.at1, self.slot1, self.sure1, p1), (self.slots2, self.at2, self.slot2, self.sure2, p2)):
             slots[at] = (ids << 2) + np.where(p == ids, np.minimum(sure + 1, 3), slot < 0)
         self.last2, self.last1 = self.last1, ids.astype(np.int64)
-        self.steps += 1
-        if self.steps % MIX_EVERY == 0 or self.steps in (16, 32, 64):
-            self.mix()
+
+
+def _followed(context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``Slots`` predicts at each place of the rows of ``ids``, and its
+    confidence, for one order: found at once, place after place of a context."""
+    at = np.argsort(context.astype(np.uint16), axis=1, kind="stable")
+    at += np.arange(len(ids))[:, None] * ids.shape[1]
+    at = at.ravel()
+    context, following = context.ravel().take(at), ids.ravel().take(at)
+    first = np.ones(len(at), bool)
+    np.not_equal(context[1:], context[:-1], out=first[1:])
+    first[:: ids.shape[1]] = True
+    right = np.zeros(len(at), bool)
+    np.equal(following[1:], following[:-1], out=right[1:])
+    right &= ~first
+    sure = first.astype(np.int8)  # after a place; three rounds reach the highest
+    for _ in range(3):
+        up = np.minimum(sure[:-1] + np.int8(1), np.int8(3))
+        up *= right[1:]
+        up += first[1:]
+        sure[1:] = up
+    predicted, confidence = np.empty(len(at), np.int32), np.empty(len(at), np.int32)
+    # the first of a context has no prediction
+    predicted[at] = np.where(first, -1, np.roll(following, 1))
+    confidence[at] = np.roll(sure, 1) * ~first
+    return predicted.reshape(ids.shape), confidence.reshape(ids.shape)
+
+
+def _symbols(ranks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each place of the rows of ``ranks``: mix (from its block's first)
+    and symbol as a place in the table, direct bits and their value."""
+    last = np.zeros((len(ranks), ranks.shape[1] + 2), np.int64)
+    last[:, 2:] = ranks
+    p1, sure1 = _followed(_context1(last[:, 1:-1]), ranks)
+    p2, sure2 = _followed(_context2(last[:, 1:-1], last[:, :-2]), ranks)
+    size = _bits.take(ranks + 1)
+    symbol = np.where(p2 == ranks, 0, np.where(p1 == ranks, 1, size + 2))
+    direct = symbol >= 2
+    size *= direct
+    return sure1 * (4 * ROW) + sure2 * ROW + symbol, size.astype(np.uint8), (ranks.view(np.uint32) + 1 - (1 << size)) * direct
 
 
 def _shift(low, rng) -> tuple[np.ndarray, np.ndarray]:
@@ -334,7 +456,7 @@ _bits[1:] = np.floor(np.log2(np.arange(1, 1 << 17)))
 def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """Code the rows of ``ranks``, of which ``sizes`` (falling) are used."""
     lanes, steps = ranks.shape
-    model = Model(lanes)
+    mixes = Mixes(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
     lows, width = low, steps + 2
     words, at = np.zeros(lanes * width, ">u4"), np.arange(lanes) * width
@@ -344,25 +466,26 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         words[place] = word
         at[who] = place + 1
 
-    columns = np.ascontiguousarray(ranks.T)
-    for t, n in enumerate(_live(sizes, steps)):
-        if n < len(low):
-            model.narrow(n)
+    # what is coded, by step
+    columns = [np.empty((steps, lanes), d) for d in (np.int32, np.uint8, np.uint32)]
+    for i in range(0, lanes, LANES):
+        for column, x in zip(columns, _symbols(ranks[i : i + LANES])):
+            column[:, i : i + LANES] = x.T
+    live, begin = _live(sizes, steps), 0
+    for end in [t for t in (16, 32, 64) if t < steps] + [*range(MIX_EVERY, steps, MIX_EVERY), steps]:
+        place = columns[0][begin:end] + mixes.row
+        below = mixes.table.take(place).astype(np.uint64)
+        share = mixes.table.take(place + 1) - below
+        size, rest = (c[begin:end].astype(np.uint64) for c in columns[1:])
+        for t, n in enumerate(live[begin:end]):
             low, rng = low[:n], rng[:n]
-        ids = columns[t, :n]
-        p1, p2, row = model.predict()
-        size = _bits.take(ids + 1)
-        symbol = np.where(p2 == ids, 0, np.where(p1 == ids, 1, size + 2))
-        direct = symbol >= 2
-        size *= direct
-        rest = (ids.view(np.uint32) + 1 - (1 << size)) * direct
-        place = row + symbol
-        below = model.table.take(place)
-        unit = rng >> TOTAL_BITS
-        rng = unit * (model.table.take(place + 1) - below) >> size
-        low += unit * below + rng * rest
-        put(*_shift(low, rng))
-        model.update(ids, symbol, p1, p2)
+            unit = rng >> TOTAL_BITS
+            rng = unit * share[t, :n] >> size[t, :n]
+            low += unit * below[t, :n] + rng * rest[t, :n]
+            put(*_shift(low, rng))
+        if end < steps:
+            mixes.mix(place)
+        begin = end
     for _ in range(2):
         put(np.arange(lanes), lows >> 32)
         lows = lows << 32
@@ -371,7 +494,7 @@ def encode_blocks(ranks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
 
 def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
     lanes, steps = len(coded), int(sizes.max(initial=0))
-    model = Model(lanes)
+    slots, mixes = Slots(lanes), Mixes(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
     width = max(map(len, coded), default=0) // 4 + 2
     words = np.zeros((lanes, width), np.uint32)
@@ -389,20 +512,23 @@ def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
     for _ in range(2):
         take(value, np.arange(lanes))
     columns = np.zeros((steps, lanes), np.int32)
+    # places in the table since the last mix; an ended block has its first
+    places, begin = np.repeat(mixes.row[None], MIX_EVERY, axis=0), 0
     for t, n in enumerate(_live(sizes, steps)):
         if n < len(low):
-            model.narrow(n)
+            slots.narrow(n)
             low, rng, value = low[:n], rng[:n], value[:n]
-        p1, p2, row = model.predict()
+        p1, p2, row = slots.predict()
+        row += mixes.row[:n]
         unit = rng >> TOTAL_BITS
         target = np.minimum(value // unit, TOTAL - 1).astype(np.uint32)
         place = row
         for half in (16, 8, 4, 2, 1):
-            place = place + half * (model.table.take(place + half) <= target)
+            place = place + half * (mixes.table.take(place + half) <= target)
         symbol = place - row
-        below = model.table.take(place)
+        below = mixes.table.take(place)
         size = np.maximum(symbol - 2, 0).astype(np.uint32)
-        rng = unit * (model.table.take(place + 1) - below) >> size
+        rng = unit * (mixes.table.take(place + 1) - below) >> size
         before = unit * below
         value = value - before
         most = (1 << size) - 1
@@ -413,7 +539,11 @@ def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
         low += before + inside
         value -= inside
         take(value, _shift(low, rng)[0])
-        model.update(ids, symbol, p1, p2)
+        slots.update(ids, p1, p2)
+        places[t - begin, :n] = place
+        if t + 1 in (16, 32, 64) or (t + 1) % MIX_EVERY == 0:
+            mixes.mix(places[: t + 1 - begin])
+            begin = t + 1
     return np.ascontiguousarray(columns.T)
 
 
